@@ -1,0 +1,103 @@
+"""Find keys and days that hold too many rows for one task, and cut them into time slices."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import epoch_seconds
+from ..schema import DAY_SECONDS
+
+# A key with more rows than this leaves the plain window, whose range frames re-read their rows
+# for every output row and whose sort runs in one task.
+KEY_ROWS = 10_000
+# A hot-key list is held on the driver and broadcast only up to this many keys.
+MAX_HOT_KEYS = 50_000
+# A day of one key with more rows than this is cut further.
+SLICE_ROWS = 1_000_000
+# Only the heaviest days are looked up when cutting. The list is bounded, so it may be broadcast;
+# a day outside it holds less than 1/65,536 of all rows.
+MAX_HEAVY_DAYS = 65_536
+_SLICES_PER_DAY = 1 << 20
+_UNDATED = -(1 << 62)
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys above a row limit: a bounded frame, or a mark that there are too many to list."""
+
+    keys: DataFrame | None
+    overflow: bool = False
+
+
+def find_hot_keys(
+    df: DataFrame, key: str, limit: int = KEY_ROWS, max_keys: int = MAX_HOT_KEYS
+) -> HotKeys:
+    """Runs one job that reads the key column alone; counts combine before the shuffle."""
+    heavy = df.groupBy(key).count().filter(F.col("count") > limit).select(key)
+    listed = heavy.limit(max_keys + 1).collect()
+    if len(listed) > max_keys:
+        return HotKeys(None, overflow=True)
+    if not listed:
+        return HotKeys(None)
+    return HotKeys(df.sparkSession.createDataFrame(listed, heavy.schema))
+
+
+def split_by_heat(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the other keys and rows of the hot keys. ``hot`` is bounded, so it is broadcast."""
+    marks = F.broadcast(hot.select(F.col(key).alias("_hot_key"), F.lit(True).alias("_hot")))
+    marked = df.join(marks, F.col(key).eqNullSafe(F.col("_hot_key")), "left").drop("_hot_key")
+    cold = marked.filter(F.col("_hot").isNull()).drop("_hot")
+    return cold, marked.filter(F.col("_hot").isNotNull()).drop("_hot")
+
+
+def day_number(seconds: Column) -> Column:
+    """Days since 1970 of an epoch second, rounded down."""
+    return ((seconds - F.pmod(seconds, F.lit(DAY_SECONDS))) / DAY_SECONDS).cast("long")
+
+
+def with_slices(
+    df: DataFrame,
+    key: str,
+    time: str,
+    slice_rows: int = SLICE_ROWS,
+    max_heavy_days: int = MAX_HEAVY_DAYS,
+) -> DataFrame:
+    """Add ``_slice``, a number that never falls as a key's time rises.
+
+    A slice is one day of one key. A day with more than ``slice_rows`` rows is cut into equal
+    spans of time, as many as its row count asks for. Rows without time form the first slice.
+    Later steps may group by (key, slice) without meeting a group that grows with the table.
+    """
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    day_micros = DAY_SECONDS * 1_000_000
+    dated = df.withColumn("_day", day_number(epoch_seconds(F.col(time))))
+    heavy = (
+        dated.groupBy(key, "_day")
+        .count()
+        .filter((F.col("count") > slice_rows) & F.col("_day").isNotNull())
+        .orderBy(F.desc("count"), key, "_day")
+        .limit(max_heavy_days)
+        .select(
+            F.col(key).alias("_heavy_key"),
+            F.col("_day").alias("_heavy_day"),
+            F.least(F.ceil(F.col("count") / slice_rows), F.lit(_SLICES_PER_DAY)).alias("_parts"),
+        )
+    )
+    part = F.floor(F.pmod(micros, F.lit(day_micros)) * F.col("_parts") / day_micros)
+    return (
+        dated.join(
+            F.broadcast(heavy),
+            F.col(key).eqNullSafe(F.col("_heavy_key")) & (F.col("_day") == F.col("_heavy_day")),
+            "left",
+        )
+        .withColumn(
+            "_slice",
+            F.coalesce(
+                F.col("_day") * _SLICES_PER_DAY + F.coalesce(part, F.lit(0)), F.lit(_UNDATED)
+            ),
+        )
+        .drop("_day", "_heavy_key", "_heavy_day", "_parts")
+    )
