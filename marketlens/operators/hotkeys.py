@@ -20,8 +20,8 @@ SLICE_ROWS = 1_000_000
 # Only the heaviest days are looked up when cutting. The list is bounded, so it may be broadcast;
 # a day outside it holds less than 1/65,536 of all rows.
 MAX_HEAVY_DAYS = 65_536
-_SLICES_PER_DAY = 1 << 20
-_UNDATED = -(1 << 62)
+# Stands for the second of a row without time: earlier than any other.
+UNDATED = -(1 << 42)
 
 
 @dataclass(frozen=True)
@@ -53,51 +53,57 @@ def split_by_heat(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, D
     return cold, marked.filter(F.col("_hot").isNotNull()).drop("_hot")
 
 
-def day_number(seconds: Column) -> Column:
+def second_of(time: str) -> Column:
+    """Whole epoch second of a time column; never null."""
+    return F.coalesce(epoch_seconds(F.col(time)), F.lit(UNDATED))
+
+
+def day_number(second: Column) -> Column:
     """Days since 1970 of an epoch second, rounded down."""
-    return ((seconds - F.pmod(seconds, F.lit(DAY_SECONDS))) / DAY_SECONDS).cast("long")
+    return F.floor(second / DAY_SECONDS)
 
 
-def with_slices(
+def heavy_days(
     df: DataFrame,
     key: str,
     time: str,
     slice_rows: int = SLICE_ROWS,
-    max_heavy_days: int = MAX_HEAVY_DAYS,
+    max_days: int = MAX_HEAVY_DAYS,
 ) -> DataFrame:
-    """Add ``_slice``, a number that never falls as a key's time rises.
+    """The days of a key that need cutting, and into how many parts.
 
-    A slice is one day of one key. A day with more than ``slice_rows`` rows is cut into equal
-    spans of time, as many as its row count asks for. Rows without time form the first slice.
-    Later steps may group by (key, slice) without meeting a group that grows with the table.
+    At most ``max_days`` rows, the heaviest days: small enough to broadcast whatever the table.
     """
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    day_micros = DAY_SECONDS * 1_000_000
-    dated = df.withColumn("_day", day_number(epoch_seconds(F.col(time))))
-    heavy = (
-        dated.groupBy(key, "_day")
+    return (
+        df.groupBy(key, day_number(second_of(time)).alias("_day"))
         .count()
-        .filter((F.col("count") > slice_rows) & F.col("_day").isNotNull())
+        .filter((F.col("count") > slice_rows) & (F.col("_day") > day_number(F.lit(UNDATED))))
         .orderBy(F.desc("count"), key, "_day")
-        .limit(max_heavy_days)
+        .limit(max_days)
         .select(
             F.col(key).alias("_heavy_key"),
             F.col("_day").alias("_heavy_day"),
-            F.least(F.ceil(F.col("count") / slice_rows), F.lit(_SLICES_PER_DAY)).alias("_parts"),
+            F.least(F.ceil(F.col("count") / slice_rows), F.lit(DAY_SECONDS)).alias("_parts"),
         )
     )
-    part = F.floor(F.pmod(micros, F.lit(day_micros)) * F.col("_parts") / day_micros)
+
+
+def with_slice(df: DataFrame, key: str, second: str, heavy: DataFrame) -> DataFrame:
+    """Add ``_slice``, the second in which the row's slice begins.
+
+    A slice is one day of one key; a heavy day is cut into equal spans, as many as its row count
+    asks for. Later steps may group by (key, slice) without meeting a group that grows with the
+    table.
+    """
+    day, of_day = day_number(F.col(second)), F.pmod(F.col(second), F.lit(DAY_SECONDS))
+    part = F.floor(of_day * F.col("_parts") / DAY_SECONDS)
+    within = F.coalesce(F.ceil(part * DAY_SECONDS / F.col("_parts")), F.lit(0))
     return (
-        dated.join(
+        df.join(
             F.broadcast(heavy),
-            F.col(key).eqNullSafe(F.col("_heavy_key")) & (F.col("_day") == F.col("_heavy_day")),
+            (F.col(key) == F.col("_heavy_key")) & (day == F.col("_heavy_day")),
             "left",
         )
-        .withColumn(
-            "_slice",
-            F.coalesce(
-                F.col("_day") * _SLICES_PER_DAY + F.coalesce(part, F.lit(0)), F.lit(_UNDATED)
-            ),
-        )
-        .drop("_day", "_heavy_key", "_heavy_day", "_parts")
+        .withColumn("_slice", day * DAY_SECONDS + within)
+        .drop("_heavy_key", "_heavy_day", "_parts")
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import epoch_seconds
 from ..schema import DAY_SECONDS
-from .hotkeys import SLICE_ROWS, day_number, with_slices
+from .hotkeys import SLICE_ROWS, UNDATED, day_number, heavy_days, second_of, with_slice
 
 
 def plain_lags(
@@ -38,32 +38,67 @@ def plain_trailing_means(
     )
 
 
-def sliced_lags(
+def sliced_windows(
     df: DataFrame,
     key: str,
     time: str,
     order: Sequence[str],
     value: str,
     lags: Mapping[str, int],
+    means: Mapping[str, int],
     slice_rows: int = SLICE_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """As ``plain_lags``, by time slices of each key.
+    """As ``plain_lags`` and ``plain_trailing_means``, by time slices of each key.
 
-    Within a slice a lag is an ordinary window. The first rows of a slice look further back, so
-    each slice also gets the last few values before it: the slices' own last rows (at most the
-    largest offset each) are lined up per key, and joined back as one short array per slice.
-    ``order`` must begin with ``time``.
+    Rows are shuffled once, by slice. Lags look within the slice, and what they miss at its
+    start is joined from the slices before; means are joined per second. Both joined sides
+    carry the slice, so the rows need not move again. ``key`` must not be null, and ``order``
+    must begin with ``time`` and be free of ties.
+
+    Slices follow the row counts in ``counted``, by default ``df`` itself. It may hold more rows
+    than ``df``, so a table before de-duplication serves, and costs less to count.
     """
     if order[0] != time:
         raise ValueError("order must begin with the time column")
-    depth = max(lags.values())
-    sliced = with_slices(df, key, time, slice_rows)
+    heavy = heavy_days(df if counted is None else counted, key, time, slice_rows)
+    rows = with_slice(df.withColumn("_second", second_of(time)), key, "_second", heavy)
+    result = rows
+    if lags:
+        result = _with_sliced_lags(rows, key, order, value, lags)
+    if means:
+        averaged = with_slice(
+            means_by_second(rows, key, "_second", value, means), key, "_second", heavy
+        ).select(
+            F.col(key).alias("_key"),
+            F.col("_slice").alias("_at"),
+            F.col("_second").alias("_mean_second"),
+            *means,
+        )
+        result = result.join(
+            averaged.repartition("_key", "_at"),
+            (F.col(key) == F.col("_key"))
+            & (F.col("_slice") == F.col("_at"))
+            & (F.col("_second") == F.col("_mean_second")),
+            "left",
+        )
+    return result.select(*df.columns, *lags, *means)
+
 
+def _with_sliced_lags(
+    rows: DataFrame, key: str, order: Sequence[str], value: str, lags: Mapping[str, int]
+) -> DataFrame:
+    """The lags of sliced rows.
+
+    A slice's own last rows (at most the largest offset each) are lined up per key; the values
+    before a slice's first row make a short array, which is joined to the slice's rows.
+    """
+    depth = max(lags.values())
     backwards = Window.partitionBy(key, "_slice").orderBy(
         *[F.col(c).desc_nulls_last() for c in order]
     )
     tails = (
-        sliced.select(key, "_slice", *order, value)
+        rows.select(key, "_slice", *order, value)
         .withColumn("_rank", F.row_number().over(backwards))
         .filter(F.col("_rank") <= depth)
     )
@@ -78,32 +113,31 @@ def sliced_lags(
         .filter(F.col("_last_slice") < F.col("_slice"))
         .select(F.col(key).alias("_key"), F.col("_slice").alias("_at"), "_before")
     )
-
     within = Window.partitionBy(key, "_slice").orderBy(*order)
-    near = sliced.withColumns(
+    near = rows.withColumns(
         {
             "_row": F.row_number().over(within),
             **{f"_near_{name}": F.lag(value, k).over(within) for name, k in lags.items()},
         }
     )
     joined = near.join(
-        carried,
-        F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_at")),
-        "left",
+        carried, (F.col(key) == F.col("_key")) & (F.col("_slice") == F.col("_at")), "left"
+    )
+    return joined.select(
+        *rows.columns,
+        *[
+            F.when(F.col("_row") > k, F.col(f"_near_{name}"))
+            .otherwise(F.get("_before", (F.lit(k) - F.col("_row")).cast("int")))
+            .alias(name)
+            for name, k in lags.items()
+        ],
     )
-    looked_up = {
-        name: F.when(F.col("_row") > k, F.col(f"_near_{name}")).otherwise(
-            F.get("_before", (F.lit(k) - F.col("_row")).cast("int"))
-        )
-        for name, k in lags.items()
-    }
-    return joined.select(*df.columns, *[c.alias(name) for name, c in looked_up.items()])
 
 
-def sliced_trailing_means(
-    df: DataFrame, key: str, time: str, value: str, means: Mapping[str, int]
+def means_by_second(
+    df: DataFrame, key: str, second: str, value: str, means: Mapping[str, int]
 ) -> DataFrame:
-    """As ``plain_trailing_means``, from pre-aggregated seconds and days.
+    """Trailing means per key and second that occurs: the key, the second and the means.
 
     Frames are on whole seconds, so rows first combine to one sum and count per second. A frame
     of d days ending at t is then: t's own day up to t, the d - 1 whole days before it, and the
@@ -112,41 +146,36 @@ def sliced_trailing_means(
     parts are added, never subtracted, so no precision is lost; a group holds at most one day's
     seconds per part.
     """
-    seconds = (
-        df.select(key, epoch_seconds(F.col(time)).alias("_second"), value)
-        .groupBy(key, "_second")
-        .agg(F.sum(value).alias("_sum"), F.count(value).alias("_n"))
+    lengths = sorted(set(means.values()))
+    seconds = df.groupBy(key, second).agg(
+        F.sum(value).alias("_sum"), F.count(value).alias("_n")
     )
 
     by_day = Window.partitionBy(key).orderBy("_day")
     whole_days = (
-        seconds.groupBy(key, day_number(F.col("_second")).alias("_day"))
+        seconds.groupBy(key, day_number(F.col(second)).alias("_day"))
         .agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"))
         .select(
             F.col(key).alias("_key"),
             F.col("_day").alias("_of_day"),
             *[
                 F.sum(part).over(by_day.rangeBetween(1 - days, -1)).alias(f"_whole{part}_{days}")
-                for days in set(means.values())
+                for days in lengths
                 for part in ("_sum", "_n")
-                if days > 1
             ],
         )
     )
 
-    sent = F.array(
-        *[
-            F.struct(
-                F.lit(days).alias("_ahead"),
-                (F.col("_second") + days * DAY_SECONDS).alias("_at"),
-            )
-            for days in (0, *sorted(set(means.values())))
-        ]
-    )
+    sent = [
+        F.struct(
+            F.lit(days).alias("_ahead"), (F.col(second) + days * DAY_SECONDS).alias("_at")
+        )
+        for days in (0, *lengths)
+    ]
     parts = (
-        seconds.withColumn("_sent", F.explode(sent))
+        seconds.withColumn("_sent", F.explode(F.array(*sent)))
         .select(key, "_sent._ahead", "_sent._at", "_sum", "_n")
-        .filter(F.col("_at").isNotNull() | (F.col("_ahead") == 0))
+        .filter((F.col("_ahead") == 0) | (F.col("_at") >= UNDATED + 2 * max(lengths) * DAY_SECONDS))
         .withColumn("_day", day_number(F.col("_at")))
     )
     forward = Window.partitionBy(key, "_day").orderBy("_at")
@@ -156,42 +185,29 @@ def sliced_trailing_means(
         return F.sum(F.when(F.col("_ahead") == ahead, F.col(part))).over(window)
 
     summed = parts.withColumns(
-        {
-            f"_own{part}": running(part, 0, forward)
-            for part in ("_sum", "_n")
-        }
+        {f"_own{part}": running(part, 0, forward) for part in ("_sum", "_n")}
         | {
             f"_rest{part}_{days}": running(part, days, from_end)
-            for days in set(means.values())
+            for days in lengths
             for part in ("_sum", "_n")
         }
     ).filter(F.col("_ahead") == 0)
     placed = summed.join(
-        whole_days,
-        F.col(key).eqNullSafe(F.col("_key")) & F.col("_day").eqNullSafe(F.col("_of_day")),
-        "left",
+        whole_days, (F.col(key) == F.col("_key")) & (F.col("_day") == F.col("_of_day")), "left"
     )
 
     def total(part: str, days: int) -> Column:
-        pieces = [F.col(f"_own{part}"), F.col(f"_rest{part}_{days}")]
-        if days > 1:
-            pieces.append(F.col(f"_whole{part}_{days}"))
-        result = F.coalesce(pieces[0], F.lit(0))
-        for piece in pieces[1:]:
-            result = result + F.coalesce(piece, F.lit(0))
-        return result
-
-    averaged = placed.select(
-        F.col(key).alias("_mean_key"),
-        F.col("_at").alias("_mean_second"),
+        own, rest, whole = (
+            F.coalesce(F.col(c), F.lit(0))
+            for c in (f"_own{part}", f"_rest{part}_{days}", f"_whole{part}_{days}")
+        )
+        return own + rest + whole
+
+    return placed.select(
+        key,
+        F.col("_at").alias(second),
         *[
             F.try_divide(total("_sum", days), total("_n", days)).alias(name)
             for name, days in means.items()
         ],
     )
-    return df.join(
-        averaged,
-        F.col(key).eqNullSafe(F.col("_mean_key"))
-        & epoch_seconds(F.col(time)).eqNullSafe(F.col("_mean_second")),
-        "left",
-    ).select(*df.columns, *means)

@@ -13,8 +13,7 @@ from ..operators.quality import clean
 from ..operators.windows import (
     plain_lags,
     plain_trailing_means,
-    sliced_lags,
-    sliced_trailing_means,
+    sliced_windows,
 )
 from ..schema import (
     ASSET,
@@ -36,6 +35,7 @@ from ..schema import (
 
 # Order within an asset. The symbol only breaks ties, so results do not depend on input order.
 _ORDER = [TIME, SYMBOL]
+_NAMELESS = "\u0000"
 
 
 def clean_prices(prices: DataFrame) -> DataFrame:
@@ -87,9 +87,22 @@ def _plain(prices: DataFrame) -> DataFrame:
 
 
 def _sliced(prices: DataFrame, slice_rows: int) -> DataFrame:
-    rows = clean_prices(prices)
-    lagged = sliced_lags(rows, ASSET, TIME, _ORDER, PRICE, LAG_ROWS, slice_rows)
-    return sliced_trailing_means(lagged, ASSET, TIME, PRICE, TRAILING_DAYS)
+    # Slices are joined by asset, so rows without a name need one for the time being.
+    named = prices.withColumn(ASSET, F.coalesce(ASSET, F.lit(_NAMELESS))).withColumn(
+        TIME, to_instant(F.col(TIME))
+    )
+    windowed = sliced_windows(
+        clean_prices(named),
+        ASSET,
+        TIME,
+        _ORDER,
+        PRICE,
+        LAG_ROWS,
+        TRAILING_DAYS,
+        slice_rows,
+        counted=named,
+    )
+    return windowed.withColumn(ASSET, F.nullif(ASSET, F.lit(_NAMELESS)))
 
 
 def asset_metrics(features: DataFrame, assets: Iterable[str]) -> DataFrame:

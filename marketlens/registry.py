@@ -28,8 +28,7 @@ from .operators.selection import page, sample_rows
 from .operators.windows import (
     plain_lags,
     plain_trailing_means,
-    sliced_lags,
-    sliced_trailing_means,
+    sliced_windows,
 )
 from .plans import analytics, ingest
 from .plans.features import asset_metrics, clean_prices, price_features
@@ -357,7 +356,9 @@ def _(spark, folder):
 @_query("lags_by_type_sliced", _LAGS_SQL)
 def _(spark, folder):
     events = _table(spark, folder, "events").select("event_id", "event_type", "ts", "value")
-    lagged = sliced_lags(events, "event_type", "ts", ["ts", "event_id"], "value", _BACK)
+    lagged = sliced_windows(
+        events, "event_type", "ts", ["ts", "event_id"], "value", _BACK, {}
+    )
     return lagged.select("event_id", *_BACK)
 
 
@@ -380,7 +381,7 @@ for _days in (7, 30):
     def _(spark, folder, days=_days):
         rows = clean_prices(type_ticks(spark, folder))
         name = f"avg_price_{days}d"
-        means = sliced_trailing_means(rows, ASSET, TIME, PRICE, {name: days})
+        means = sliced_windows(rows, ASSET, TIME, [TIME], PRICE, {}, {name: days})
         return _shown(means.select(ASSET, TIME, name))
 
 
