@@ -35,7 +35,13 @@ def write_plain(df: DataFrame, path: str) -> None:
 
 
 def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Give a written Parquet dataset a name in the catalog. The files stay where they are."""
+    """Give a written Parquet dataset, with its partitions, a name in the catalog.
+
+    The files stay where they are.
+    """
     quoted = ".".join(f"`{part}`" for part in name.split("."))
     spark.sql(f"DROP TABLE IF EXISTS {quoted}")
-    return spark.catalog.createTable(name, path=path, source="parquet")
+    table = spark.catalog.createTable(name, path=path, source="parquet")
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+    return table

@@ -30,7 +30,11 @@ def run_available(rows: DataFrame, path: str, checkpoint: str) -> DataFrame:
 
 
 def await_all(spark: SparkSession, timeout: float | None = None) -> bool:
-    """Wait until any query ends or the time is over, then stop the rest after their batch."""
+    """Wait until any query ends or the time is over, then stop those still running.
+
+    A query that ended before counts too, unless ``spark.streams.resetTerminated()`` was called
+    since. True if one ended, False if the time was over.
+    """
     ended = spark.streams.awaitAnyTermination(timeout)
     for query in spark.streams.active:
         query.stop()

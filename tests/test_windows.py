@@ -1,0 +1,206 @@
+"""Both window forms against brute force on small tables."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from marketlens.operators.hotkeys import (
+    find_hot_keys,
+    heavy_days,
+    second_of,
+    split_by_heat,
+    with_slice,
+)
+from marketlens.operators.windows import plain_lags, plain_trailing_means, sliced_windows
+
+LAGS = {"back_1": 1, "back_3": 3, "back_7": 7}
+MEANS = {"mean_1": 1, "mean_7": 7, "mean_30": 30}
+START = dt.datetime(2024, 1, 1)
+
+
+def _brute(rows):
+    """{row id: values} from (id, key, time, value) rows without ties in time."""
+    expected = {}
+    for key in {r[1] for r in rows}:
+        mine = sorted(
+            (r for r in rows if r[1] == key), key=lambda r: (r[2] is not None, r[2] or START)
+        )
+        for i, (row_id, _, time, _) in enumerate(mine):
+            back = [mine[i - k][3] if i >= k else None for k in LAGS.values()]
+            means = []
+            for days in MEANS.values():
+                if time is None:
+                    frame = [r[3] for r in mine if r[2] is None]
+                else:
+                    end = math.floor((time - START).total_seconds())
+                    frame = [
+                        r[3]
+                        for r in mine
+                        if r[2] is not None
+                        and end - days * 86400
+                        <= math.floor((r[2] - START).total_seconds())
+                        <= end
+                    ]
+                frame = [v for v in frame if v is not None]
+                means.append(sum(frame) / len(frame) if frame else None)
+            expected[row_id] = (*back, *means)
+    return expected
+
+
+def _result(df):
+    return {r[0]: tuple(r)[1:] for r in df.select("id", *LAGS, *MEANS).collect()}
+
+
+def _check(actual, expected):
+    assert actual.keys() == expected.keys()
+    for row_id, values in expected.items():
+        for got, want in zip(actual[row_id], values, strict=True):
+            if want is None:
+                assert got is None, (row_id, actual[row_id], values)
+            else:
+                assert got == pytest.approx(want, rel=1e-12), (row_id, actual[row_id], values)
+
+
+def _sliced(df, slice_rows):
+    return sliced_windows(df, "k", "t", ["t", "id"], "v", LAGS, MEANS, slice_rows)
+
+
+def _plain(df):
+    return plain_trailing_means(
+        plain_lags(df, "k", ["t", "id"], "v", LAGS), "k", "t", "v", MEANS
+    )
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame(rows, "id int, k string, t timestamp, v double")
+
+
+def _random_rows(seed, n, keys=3, span_seconds=60 * 86400, null_times=0):
+    rng = random.Random(seed)
+    times = rng.sample(range(-span_seconds, span_seconds), n)
+    rows = [
+        (
+            i,
+            f"k{rng.randrange(keys)}",
+            START + dt.timedelta(seconds=s, microseconds=rng.randrange(1_000_000)),
+            None if rng.random() < 0.1 else rng.uniform(1, 1000),
+        )
+        for i, s in enumerate(times)
+    ]
+    return rows + [(n + i, "k0", None, float(i)) for i in range(null_times)]
+
+
+@pytest.mark.parametrize("slice_rows", [1, 3, 1_000_000])
+@pytest.mark.parametrize(
+    "rows",
+    [
+        _random_rows(1, 300),
+        _random_rows(2, 200, keys=1, span_seconds=40_000),
+        _random_rows(3, 120, keys=2, span_seconds=400 * 86400),
+        _random_rows(4, 60, null_times=1),
+    ],
+    ids=["spread", "one-day-burst", "sparse", "undated"],
+)
+def test_sliced_equals_brute_force(spark, rows, slice_rows):
+    _check(_result(_sliced(_frame(spark, rows), slice_rows)), _brute(rows))
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_plain_equals_brute_force(spark, seed):
+    rows = _random_rows(seed, 200, null_times=1)
+    _check(_result(_plain(_frame(spark, rows))), _brute(rows))
+
+
+def test_ends_of_a_frame_are_included(spark):
+    rows = [
+        (0, "a", START, 1.0),
+        (1, "a", START + dt.timedelta(days=7), 3.0),
+        (2, "a", START + dt.timedelta(days=7, seconds=1), 5.0),
+    ]
+    for df in (_plain(_frame(spark, rows)), _sliced(_frame(spark, rows), 1_000_000)):
+        means = {r.id: r.mean_7 for r in df.collect()}
+        assert means == {0: 1.0, 1: 2.0, 2: 4.0}
+
+
+def test_small_value_after_large_ones_keeps_its_precision(spark):
+    rows = [(i, "a", START + dt.timedelta(seconds=i), 1e15) for i in range(50)]
+    rows.append((50, "a", START + dt.timedelta(days=9), 7.722392071539077e-06))
+    means = {r.id: r.mean_7 for r in _sliced(_frame(spark, rows), 10).collect()}
+    assert means[50] == 7.722392071539077e-06
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    points=st.lists(
+        st.tuples(st.integers(0, 90 * 24), st.floats(0.01, 1e6)), min_size=1, max_size=60,
+        unique_by=lambda p: p[0],
+    ),
+    slice_rows=st.integers(1, 5),
+    seed=st.integers(0, 9),
+)
+def test_input_order_and_slicing_do_not_matter(spark, points, slice_rows, seed):
+    rows = [(i, "a", START + dt.timedelta(hours=h), v) for i, (h, v) in enumerate(points)]
+    shuffled = random.Random(seed).sample(rows, len(rows))
+    _check(_result(_sliced(_frame(spark, shuffled), slice_rows)), _brute(rows))
+
+
+def test_slices_bound_the_rows_of_a_group(spark):
+    """A key with one day of dense ticks is cut into groups of about the size asked for."""
+    dense = spark.range(5_000).select(
+        F.lit("hot").alias("k"), F.timestamp_seconds(F.col("id") * 17 + 1_704_067_200).alias("t")
+    )
+    sparse = spark.range(100).select(
+        F.concat(F.lit("k"), F.col("id")).alias("k"), F.timestamp_seconds(F.lit(1_704_067_200)).alias("t")
+    )
+    df = dense.union(sparse)
+    sliced = with_slice(
+        df.withColumn("s", second_of("t")), "k", "s", heavy_days(df, "k", "t", slice_rows=100)
+    )
+    groups = sliced.groupBy("k", "_slice").agg(F.count("*").alias("n"), F.min("s"), F.max("s"))
+    assert groups.agg(F.max("n")).first()[0] <= 110
+    assert groups.agg(F.sum("n")).first()[0] == 5_100
+    # The slice number is the second at which the slice begins.
+    assert groups.filter(F.col("min(s)") < F.col("_slice")).isEmpty()
+
+
+def test_heavy_day_list_is_bounded_and_the_rest_still_right(spark):
+    rows = _random_rows(7, 150, keys=2, span_seconds=5 * 86400)
+    df = _frame(spark, rows)
+    assert heavy_days(df, "k", "t", slice_rows=1, max_days=3).count() == 3
+
+
+def test_hot_keys(spark):
+    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2 + [(None,)] * 4, "k string")
+    hot = find_hot_keys(df, "k", limit=3)
+    assert sorted(str(r.k) for r in hot.keys.collect()) == ["None", "a"]
+    assert find_hot_keys(df, "k", limit=9).keys is None
+    assert find_hot_keys(df, "k", limit=1, max_keys=2).overflow
+    cold, warm = split_by_heat(df, "k", hot.keys)
+    assert (cold.count(), warm.count()) == (2, 9)
+    assert cold.columns == warm.columns == ["k"]
+
+
+def test_rows_move_once_by_slice(spark, tmp_path):
+    """The slice shuffle serves the lag window and both joins."""
+    rows = _random_rows(8, 50)
+    _frame(spark, rows).write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = _sliced(df, 1_000)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    left_side = plan[plan.index("SortMergeJoin") :]
+    exchanges = [
+        line for line in left_side.split("\n") if "Exchange hashpartitioning(k#" in line
+    ]
+    assert "_slice" in exchanges[0]
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
