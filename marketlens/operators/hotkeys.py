@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from ..functions import epoch_seconds
 from ..schema import DAY_SECONDS
 
-# A key with more rows than this leaves the plain window, whose range frames re-read their rows
-# for every output row and whose sort runs in one task.
-KEY_ROWS = 10_000
+# Keys beyond either limit leave the plain window. Its sort takes all rows of a key into one task;
+# its range frames re-read their rows for every output row, which is slower than slicing from
+# some hundred rows in a frame on.
+KEY_ROWS = 100_000
+FRAME_ROWS = 1_000
 # A hot-key list is held on the driver and broadcast only up to this many keys.
 MAX_HOT_KEYS = 50_000
 # A day of one key with more rows than this is cut further.
@@ -33,10 +35,27 @@ class HotKeys:
 
 
 def find_hot_keys(
-    df: DataFrame, key: str, limit: int = KEY_ROWS, max_keys: int = MAX_HOT_KEYS
+    df: DataFrame,
+    key: str,
+    time: str,
+    frame_days: int,
+    key_rows: int = KEY_ROWS,
+    frame_rows: int = FRAME_ROWS,
+    max_keys: int = MAX_HOT_KEYS,
 ) -> HotKeys:
-    """Runs one job that reads the key column alone; counts combine before the shuffle."""
-    heavy = df.groupBy(key).count().filter(F.col("count") > limit).select(key)
+    """Keys with more than ``key_rows`` rows, or ``frame_rows`` in a period of ``frame_days``.
+
+    Runs one job that reads the key and the time alone; counts combine before the shuffle.
+    """
+    period = F.floor(second_of(time) / (frame_days * DAY_SECONDS))
+    heavy = (
+        df.groupBy(key, period.alias("_period"))
+        .count()
+        .groupBy(key)
+        .agg(F.sum("count").alias("_rows"), F.max("count").alias("_dense"))
+        .filter((F.col("_rows") > key_rows) | (F.col("_dense") > frame_rows))
+        .select(key)
+    )
     listed = heavy.limit(max_keys + 1).collect()
     if len(listed) > max_keys:
         return HotKeys(None, overflow=True)

@@ -51,44 +51,44 @@ def sliced_windows(
 ) -> DataFrame:
     """As ``plain_lags`` and ``plain_trailing_means``, by time slices of each key.
 
-    Rows are shuffled once, by slice. Lags look within the slice, and what they miss at its
-    start is joined from the slices before; means are joined per second. Both joined sides
-    carry the slice, so the rows need not move again. ``key`` must not be null, and ``order``
-    must begin with ``time`` and be free of ties.
+    Rows are shuffled once, by slice. Lags look within the slice, and what they miss at its start
+    is joined from the slices before. Means are computed per second and travel with the rows in
+    that same shuffle. A query that does not use the means does not compute them.
 
-    Slices follow the row counts in ``counted``, by default ``df`` itself. It may hold more rows
-    than ``df``, so a table before de-duplication serves, and costs less to count.
+    ``key`` must not be null, and ``order`` must begin with ``time`` and be free of ties. Slices
+    follow the row counts in ``counted``, by default ``df`` itself. It may hold more rows than
+    ``df``, so a table before de-duplication serves, and costs less to count.
     """
     if order[0] != time:
         raise ValueError("order must begin with the time column")
     heavy = heavy_days(df if counted is None else counted, key, time, slice_rows)
     rows = with_slice(df.withColumn("_second", second_of(time)), key, "_second", heavy)
     result = rows
-    if lags:
-        result = _with_sliced_lags(rows, key, order, value, lags)
     if means:
-        averaged = with_slice(
-            means_by_second(rows, key, "_second", value, means), key, "_second", heavy
-        ).select(
-            F.col(key).alias("_key"),
-            F.col("_slice").alias("_at"),
-            F.col("_second").alias("_mean_second"),
-            *means,
+        averaged = means_by_second(rows, key, "_second", value, means)
+        together = rows.withColumn("_is_row", F.lit(True)).unionByName(
+            with_slice(averaged, key, "_second", heavy), allowMissingColumns=True
         )
-        result = result.join(
-            averaged.repartition("_key", "_at"),
-            (F.col(key) == F.col("_key"))
-            & (F.col("_slice") == F.col("_at"))
-            & (F.col("_second") == F.col("_mean_second")),
-            "left",
+        same_second = Window.partitionBy(key, "_slice", "_second")
+        result = (
+            together.repartition(key, "_slice")
+            .withColumns({name: F.max(name).over(same_second) for name in means})
+            .filter("_is_row")
         )
+    if lags:
+        result = _with_sliced_lags(result, rows, key, order, value, lags)
     return result.select(*df.columns, *lags, *means)
 
 
 def _with_sliced_lags(
-    rows: DataFrame, key: str, order: Sequence[str], value: str, lags: Mapping[str, int]
+    df: DataFrame,
+    rows: DataFrame,
+    key: str,
+    order: Sequence[str],
+    value: str,
+    lags: Mapping[str, int],
 ) -> DataFrame:
-    """The lags of sliced rows.
+    """Add the lags of the sliced ``rows`` to ``df``, which holds the same rows.
 
     A slice's own last rows (at most the largest offset each) are lined up per key; the values
     before a slice's first row make a short array, which is joined to the slice's rows.
@@ -114,7 +114,7 @@ def _with_sliced_lags(
         .select(F.col(key).alias("_key"), F.col("_slice").alias("_at"), "_before")
     )
     within = Window.partitionBy(key, "_slice").orderBy(*order)
-    near = rows.withColumns(
+    near = df.withColumns(
         {
             "_row": F.row_number().over(within),
             **{f"_near_{name}": F.lag(value, k).over(within) for name, k in lags.items()},
@@ -124,7 +124,7 @@ def _with_sliced_lags(
         carried, (F.col(key) == F.col("_key")) & (F.col("_slice") == F.col("_at")), "left"
     )
     return joined.select(
-        *rows.columns,
+        *df.columns,
         *[
             F.when(F.col("_row") > k, F.col(f"_near_{name}"))
             .otherwise(F.get("_before", (F.lit(k) - F.col("_row")).cast("int")))

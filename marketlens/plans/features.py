@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import change_or_zero, segment_of, to_instant
-from ..operators.hotkeys import KEY_ROWS, SLICE_ROWS, find_hot_keys, split_by_heat
+from ..operators.hotkeys import (
+    FRAME_ROWS,
+    KEY_ROWS,
+    SLICE_ROWS,
+    find_hot_keys,
+    split_by_heat,
+)
 from ..operators.quality import clean
 from ..operators.windows import (
     plain_lags,
@@ -53,21 +59,25 @@ def price_features(
     stable_symbols: Iterable[str] = STABLE_SYMBOLS,
     normalize_symbol: bool = False,
     key_rows: int = KEY_ROWS,
+    frame_rows: int = FRAME_ROWS,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Price rows to the feature table: changes replaced, and five columns added.
 
-    Assets of up to ``key_rows`` rows go through plain windows after a single shuffle by asset,
-    which serves de-duplication, lags and trailing means alike. Larger assets are cut into time
-    slices. To tell them apart, one job counts rows per asset before the frame is returned.
+    Assets of up to ``key_rows`` rows, and ``frame_rows`` a month, go through plain windows after
+    a single shuffle by asset, which serves de-duplication, lags and trailing means alike. Larger
+    assets are cut into time slices. To tell them apart, one job counts rows per asset and month
+    before the frame is returned.
     """
-    hot = find_hot_keys(prices, ASSET, key_rows)
+    timed = prices.withColumn(TIME, to_instant(F.col(TIME)))
+    longest = max(TRAILING_DAYS.values())
+    hot = find_hot_keys(timed, ASSET, TIME, longest, key_rows, frame_rows)
     if hot.overflow:
-        windowed = _sliced(prices, slice_rows)
+        windowed = _sliced(timed, slice_rows)
     elif hot.keys is None:
-        windowed = _plain(prices)
+        windowed = _plain(timed)
     else:
-        few, many = split_by_heat(prices, ASSET, hot.keys)
+        few, many = split_by_heat(timed, ASSET, hot.keys)
         windowed = _plain(few).unionByName(_sliced(many, slice_rows))
     price = F.col(PRICE)
     added = [CHANGE_1, CHANGE_7, PREV_1, PREV_7, SEGMENT, *TRAILING_DAYS]
@@ -88,9 +98,7 @@ def _plain(prices: DataFrame) -> DataFrame:
 
 def _sliced(prices: DataFrame, slice_rows: int) -> DataFrame:
     # Slices are joined by asset, so rows without a name need one for the time being.
-    named = prices.withColumn(ASSET, F.coalesce(ASSET, F.lit(_NAMELESS))).withColumn(
-        TIME, to_instant(F.col(TIME))
-    )
+    named = prices.withColumn(ASSET, F.coalesce(ASSET, F.lit(_NAMELESS)))
     windowed = sliced_windows(
         clean_prices(named),
         ASSET,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import day_start_text, field, field_or
+from ..operators.quality import drop_duplicate_keys
 from ..schema import ASSET, CORRUPT, SNAPSHOT_COLUMNS, TIME
 from ..sources.files import read_snapshot_lines
 
@@ -69,7 +70,7 @@ def ingest_payloads(markets: DataFrame, histories: DataFrame) -> DataFrame:
     """Market lists and history payloads to snapshot rows; change columns are 0.0."""
     return (
         history_rows(histories)
-        .join(market_rows(markets).dropDuplicates(["id"]), "id")
+        .join(drop_duplicate_keys(market_rows(markets), ["id"]), "id")
         .select(
             F.col("name").alias(ASSET),
             "symbol",

@@ -1,8 +1,8 @@
 """Named queries over the driver tables, each with its SQL counterpart.
 
 ``events`` serves as the price table in two ways: ``ticks`` takes the user as the asset (many
-assets with few rows each), ``type_ticks`` the event type (few assets that hold a fifth of all
-rows each, so from 50,000 events on they take the sliced windows).
+assets with few rows each), ``type_ticks`` the event type (five assets that hold a fifth of all
+rows each, so they soon take the sliced windows).
 """
 
 from __future__ import annotations
@@ -469,6 +469,26 @@ def _(spark, folder):
     return _shown(analytics.asset_volatility(_features(ticks(spark, folder))), 4)
 
 
+@_query(
+    "asset_volatility_sql",
+    _BY_TYPE
+    + """SELECT cryptocurrency, round(avg(abs(price_change_percent_24h)) + 1e-9, 4) AS avg_volatility
+         FROM features WHERE date BETWEEN '2024-01-05' AND '2024-01-20' GROUP BY cryptocurrency""",
+)
+def _(spark, folder):
+    """The same question as a SQL text over the feature table."""
+    return _shown(
+        sources.select_from(
+            spark,
+            """SELECT cryptocurrency, AVG(ABS(price_change_percent_24h)) AS avg_volatility
+               FROM {features} WHERE date BETWEEN '2024-01-05' AND '2024-01-20'
+               GROUP BY cryptocurrency ORDER BY avg_volatility DESC""",
+            features=_features(type_ticks(spark, folder)),
+        ),
+        4,
+    )
+
+
 @_query(
     "asset_volatility_rounded",
     _BY_TYPE
@@ -658,6 +678,20 @@ def _(spark, folder):
     return sample_rows(_table(spark, folder, "events"), 100, seed=7)
 
 
+@_query(
+    "sample_membership",
+    """SELECT least(100, count(*)) AS sampled, least(100, count(DISTINCT event_id)) AS different
+       FROM events""",
+)
+def _(spark, folder):
+    """Sampled rows that are whole rows of the table, and how many of them differ."""
+    events = _table(spark, folder, "events")
+    found = events.join(sample_rows(events, 100, seed=7), events.columns, "left_semi")
+    return found.agg(
+        F.count(F.lit(1)).alias("sampled"), F.countDistinct("event_id").alias("different")
+    )
+
+
 @_query(
     "ranked_page",
     """SELECT p_partkey, p_name, p_retailprice FROM part

@@ -68,7 +68,9 @@ def spool_samples(
     """Every few seconds write n random rows of a table to a folder. Reads the table anew each time."""
 
     def write_batch(_: DataFrame, batch: int) -> None:
-        write_sample(table(), folder, n, batch, seed)
+        rows = table()
+        if not rows.isEmpty():
+            write_sample(rows, folder, n, batch, seed)
 
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     return (

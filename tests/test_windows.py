@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from marketlens.operators.hotkeys import (
+    HotKeys,
     find_hot_keys,
     heavy_days,
     second_of,
@@ -19,6 +20,7 @@ from marketlens.operators.hotkeys import (
     with_slice,
 )
 from marketlens.operators.windows import plain_lags, plain_trailing_means, sliced_windows
+from marketlens.plans import features
 
 LAGS = {"back_1": 1, "back_3": 3, "back_7": 7}
 MEANS = {"mean_1": 1, "mean_7": 7, "mean_30": 30}
@@ -177,30 +179,57 @@ def test_heavy_day_list_is_bounded_and_the_rest_still_right(spark):
 
 
 def test_hot_keys(spark):
-    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2 + [(None,)] * 4, "k string")
-    hot = find_hot_keys(df, "k", limit=3)
-    assert sorted(str(r.k) for r in hot.keys.collect()) == ["None", "a"]
-    assert find_hot_keys(df, "k", limit=9).keys is None
-    assert find_hot_keys(df, "k", limit=1, max_keys=2).overflow
-    cold, warm = split_by_heat(df, "k", hot.keys)
-    assert (cold.count(), warm.count()) == (2, 9)
-    assert cold.columns == warm.columns == ["k"]
-
-
-def test_rows_move_once_by_slice(spark, tmp_path):
-    """The slice shuffle serves the lag window and both joins."""
-    rows = _random_rows(8, 50)
-    _frame(spark, rows).write.parquet(str(tmp_path / "rows"))
-    df = spark.read.parquet(str(tmp_path / "rows"))
+    day = dt.timedelta(days=1)
+    rows = (
+        [("a", START + i * 40 * day) for i in range(5)]
+        + [("b", START), ("b", None)]
+        + [(None, START + i * day) for i in range(4)]
+        + [("dense", START + i * day / 100) for i in range(3)]
+    )
+    df = spark.createDataFrame(rows, "k string, t timestamp")
+
+    def hot(**limits):
+        found = find_hot_keys(df, "k", "t", 30, **limits)
+        return found.keys and sorted(str(r.k) for r in found.keys.collect())
+
+    assert hot(key_rows=3) == ["None", "a"]
+    assert hot(frame_rows=2) == ["None", "dense"]
+    assert hot() is None
+    assert find_hot_keys(df, "k", "t", 30, key_rows=1, max_keys=2).overflow
+    keys = find_hot_keys(df, "k", "t", 30, key_rows=3).keys
+    cold, warm = split_by_heat(df, "k", keys)
+    assert (cold.count(), warm.count()) == (5, 9)
+    assert cold.columns == warm.columns == ["k", "t"]
+
+
+def test_too_many_hot_keys_to_list_are_all_sliced(spark, prices, monkeypatch):
+    rows = [
+        (f"a{i % 3}", "X", f"2025-03-{1 + i // 3:02} 00:00:00", 1.0 + i) for i in range(45)
+    ]
+    expected = sorted(map(str, features.price_features(prices(*rows)).collect()))
+    monkeypatch.setattr(features, "find_hot_keys", lambda *_: HotKeys(None, overflow=True))
+    assert sorted(map(str, features.price_features(prices(*rows)).collect())) == expected
+
+
+def test_rows_move_once(spark, tmp_path):
+    """One shuffle moves whole rows, by slice; every other one moves narrow helper columns."""
+    df = _frame(spark, _random_rows(8, 50)).withColumn("payload", F.lit("x" * 20))
+    df.write.parquet(str(tmp_path / "rows"))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        plan = _sliced(df, 1_000)._jdf.queryExecution().executedPlan().toString()
+        sliced = _sliced(spark.read.parquet(str(tmp_path / "rows")), 1_000)
+        text = sliced._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    left_side = plan[plan.index("SortMergeJoin") :]
-    exchanges = [
-        line for line in left_side.split("\n") if "Exchange hashpartitioning(k#" in line
-    ]
-    assert "_slice" in exchanges[0]
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert text.count("ReadSchema: struct<id:int,k:string,t:timestamp,v:double,payload:string>") == 1
+    # From the join with the values before each slice down to that shuffle there is no other.
+    left = text[text.index("SortMergeJoin") :]
+    first = left.index("Exchange")
+    assert "REPARTITION_BY_COL" in left[first : first + 120]
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_unused_means_are_not_computed(spark):
+    lags_only = _sliced(_frame(spark, _random_rows(9, 20)), 1_000).select("id", *LAGS)
+    assert "sum(" not in lags_only._jdf.queryExecution().executedPlan().toString()
