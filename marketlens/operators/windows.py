@@ -1,20 +1,90 @@
 """Lagged values and trailing means per key.
 
-Each comes in two forms with equal results. The plain form is one window per key: best when
-every key has few rows, since all windows share one shuffle. The sliced form never puts a whole
-key into one task, and its cost grows linearly with the rows in a frame.
+They come in two forms with equal results. The plain form is one window per key: best when a key
+has few rows, since all windows share one shuffle. The sliced form never puts a whole key into
+one task, and its cost does not grow with the rows in a frame. ``keyed_windows`` takes each key
+through the form that suits it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import epoch_seconds
 from ..schema import DAY_SECONDS
-from .hotkeys import SLICE_ROWS, UNDATED, day_number, heavy_days, second_of, with_slice
+from .hotkeys import (
+    FRAME_ROWS,
+    KEY_ROWS,
+    SLICE_ROWS,
+    UNDATED,
+    day_number,
+    find_hot_keys,
+    heavy_days,
+    second_of,
+    split_by_heat,
+    with_slice,
+)
+
+# Stands for a null key while rows are sliced.
+_NAMELESS = "\u0000"
+
+
+def keyed_windows(
+    df: DataFrame,
+    key: str,
+    time: str,
+    order: Sequence[str],
+    value: str,
+    lags: Mapping[str, int],
+    means: Mapping[str, int],
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    key_rows: int = KEY_ROWS,
+    frame_rows: int = FRAME_ROWS,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """Add lags (rows back) and trailing means (days) of ``value`` per key, in ``order``.
+
+    One job counts rows per key before the frame is returned. Keys of up to ``key_rows`` rows,
+    and ``frame_rows`` in the longest frame, take the plain form; the others are sliced. If there
+    are more of those than can be listed, all keys are.
+
+    ``prepare`` is a step within each key, such as removing its duplicates. Done here, it shares
+    the shuffle of the plain form. ``order`` must begin with ``time`` and be free of ties.
+    """
+    longest = max(means.values(), default=1)
+    hot = find_hot_keys(df, key, time, longest, key_rows, frame_rows if means else key_rows)
+
+    def plain(rows: DataFrame) -> DataFrame:
+        rows = rows.repartition(key)
+        lagged = plain_lags(prepare(rows) if prepare else rows, key, order, value, lags)
+        return plain_trailing_means(lagged, key, time, value, means)
+
+    def sliced(rows: DataFrame) -> DataFrame:
+        # Slices are joined by key, so a null key needs a name for the time being.
+        named = rows.withColumn(key, F.coalesce(F.col(key).cast("string"), F.lit(_NAMELESS)))
+        windowed = sliced_windows(
+            prepare(named) if prepare else named,
+            key,
+            time,
+            order,
+            value,
+            lags,
+            means,
+            slice_rows,
+            counted=named,
+        )
+        unnamed = F.nullif(F.col(key), F.lit(_NAMELESS))
+        return windowed.withColumn(key, unnamed.cast(df.schema[key].dataType))
+
+    if hot.overflow:
+        return sliced(df)
+    if hot.keys is None:
+        return plain(df)
+    few, many = split_by_heat(df, key, hot.keys)
+    return plain(few).unionByName(sliced(many))
 
 
 def plain_lags(

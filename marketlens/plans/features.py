@@ -8,19 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import change_or_zero, segment_of, to_instant
-from ..operators.hotkeys import (
-    FRAME_ROWS,
-    KEY_ROWS,
-    SLICE_ROWS,
-    find_hot_keys,
-    split_by_heat,
-)
+from ..operators.hotkeys import FRAME_ROWS, KEY_ROWS, SLICE_ROWS
 from ..operators.quality import clean
-from ..operators.windows import (
-    plain_lags,
-    plain_trailing_means,
-    sliced_windows,
-)
+from ..operators.windows import keyed_windows
 from ..schema import (
     ASSET,
     CAP,
@@ -41,7 +31,6 @@ from ..schema import (
 
 # Order within an asset. The symbol only breaks ties, so results do not depend on input order.
 _ORDER = [TIME, SYMBOL]
-_NAMELESS = "\u0000"
 
 
 def clean_prices(prices: DataFrame) -> DataFrame:
@@ -64,21 +53,22 @@ def price_features(
 ) -> DataFrame:
     """Price rows to the feature table: changes replaced, and five columns added.
 
-    Assets of up to ``key_rows`` rows, and ``frame_rows`` a month, go through plain windows after
-    a single shuffle by asset, which serves de-duplication, lags and trailing means alike. Larger
-    assets are cut into time slices. To tell them apart, one job counts rows per asset and month
-    before the frame is returned.
+    Assets of up to ``key_rows`` rows, and ``frame_rows`` a month, share a single shuffle for
+    de-duplication, lags and trailing means; larger assets are cut into time slices.
     """
-    timed = prices.withColumn(TIME, to_instant(F.col(TIME)))
-    longest = max(TRAILING_DAYS.values())
-    hot = find_hot_keys(timed, ASSET, TIME, longest, key_rows, frame_rows)
-    if hot.overflow:
-        windowed = _sliced(timed, slice_rows)
-    elif hot.keys is None:
-        windowed = _plain(timed)
-    else:
-        few, many = split_by_heat(timed, ASSET, hot.keys)
-        windowed = _plain(few).unionByName(_sliced(many, slice_rows))
+    windowed = keyed_windows(
+        prices.withColumn(TIME, to_instant(F.col(TIME))),
+        ASSET,
+        TIME,
+        _ORDER,
+        PRICE,
+        LAG_ROWS,
+        TRAILING_DAYS,
+        clean_prices,
+        key_rows,
+        frame_rows,
+        slice_rows,
+    )
     price = F.col(PRICE)
     added = [CHANGE_1, CHANGE_7, PREV_1, PREV_7, SEGMENT, *TRAILING_DAYS]
     return windowed.withColumns(
@@ -90,29 +80,6 @@ def price_features(
     ).select(*prices.columns, *[c for c in added if c not in prices.columns])
 
 
-def _plain(prices: DataFrame) -> DataFrame:
-    rows = clean_prices(prices.repartition(ASSET))
-    lagged = plain_lags(rows, ASSET, _ORDER, PRICE, LAG_ROWS)
-    return plain_trailing_means(lagged, ASSET, TIME, PRICE, TRAILING_DAYS)
-
-
-def _sliced(prices: DataFrame, slice_rows: int) -> DataFrame:
-    # Slices are joined by asset, so rows without a name need one for the time being.
-    named = prices.withColumn(ASSET, F.coalesce(ASSET, F.lit(_NAMELESS)))
-    windowed = sliced_windows(
-        clean_prices(named),
-        ASSET,
-        TIME,
-        _ORDER,
-        PRICE,
-        LAG_ROWS,
-        TRAILING_DAYS,
-        slice_rows,
-        counted=named,
-    )
-    return windowed.withColumn(ASSET, F.nullif(ASSET, F.lit(_NAMELESS)))
-
-
 def asset_metrics(features: DataFrame, assets: Iterable[str]) -> DataFrame:
     """Price, change and trailing means of some assets in date order."""
     return (

@@ -25,14 +25,10 @@ from .operators.quality import (
     quality_report,
 )
 from .operators.selection import page, sample_rows
-from .operators.windows import (
-    plain_lags,
-    plain_trailing_means,
-    sliced_windows,
-)
+from .operators.windows import keyed_windows, sliced_windows
 from .plans import analytics, ingest
 from .plans.features import asset_metrics, clean_prices, price_features
-from .schema import ASSET, CHANGE_1, CHANGE_7, PREV_1, PREV_7, PRICE, SNAPSHOT_COLUMNS, TIME
+from .schema import ASSET, CHANGE_1, CHANGE_7, PREV_1, PREV_7, PRICE, SNAPSHOT_COLUMNS, SYMBOL, TIME
 from .session import apply_settings, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -349,7 +345,9 @@ _BACK = {"back_1": 1, "back_7": 7}
 @_query("lags_by_type", _LAGS_SQL)
 def _(spark, folder):
     events = _table(spark, folder, "events").select("event_id", "event_type", "ts", "value")
-    lagged = plain_lags(events, "event_type", ["ts", "event_id"], "value", _BACK)
+    lagged = keyed_windows(
+        events, "event_type", "ts", ["ts", "event_id"], "value", _BACK, {}
+    )
     return lagged.select("event_id", *_BACK)
 
 
@@ -369,9 +367,17 @@ for _days in (7, 30):
         _feature_columns_sql(f"round(avg_price_{_days}d + 1e-9, 6) AS avg_price_{_days}d"),
     )
     def _(spark, folder, days=_days):
-        rows = clean_prices(ticks(spark, folder))
         name = f"avg_price_{days}d"
-        means = plain_trailing_means(rows, ASSET, TIME, PRICE, {name: days})
+        means = keyed_windows(
+            ticks(spark, folder),
+            ASSET,
+            TIME,
+            [TIME, SYMBOL],
+            PRICE,
+            {},
+            {name: days},
+            prepare=clean_prices,
+        )
         return _shown(means.select(ASSET, TIME, name))
 
     @_query(

@@ -19,8 +19,13 @@ from marketlens.operators.hotkeys import (
     split_by_heat,
     with_slice,
 )
-from marketlens.operators.windows import plain_lags, plain_trailing_means, sliced_windows
-from marketlens.plans import features
+from marketlens.operators import windows
+from marketlens.operators.windows import (
+    keyed_windows,
+    plain_lags,
+    plain_trailing_means,
+    sliced_windows,
+)
 
 LAGS = {"back_1": 1, "back_3": 3, "back_7": 7}
 MEANS = {"mean_1": 1, "mean_7": 7, "mean_30": 30}
@@ -202,13 +207,30 @@ def test_hot_keys(spark):
     assert cold.columns == warm.columns == ["k", "t"]
 
 
-def test_too_many_hot_keys_to_list_are_all_sliced(spark, prices, monkeypatch):
-    rows = [
-        (f"a{i % 3}", "X", f"2025-03-{1 + i // 3:02} 00:00:00", 1.0 + i) for i in range(45)
-    ]
-    expected = sorted(map(str, features.price_features(prices(*rows)).collect()))
-    monkeypatch.setattr(features, "find_hot_keys", lambda *_: HotKeys(None, overflow=True))
-    assert sorted(map(str, features.price_features(prices(*rows)).collect())) == expected
+@pytest.mark.parametrize(
+    "limits", [{}, {"key_rows": 40}, {"key_rows": 0}, {"frame_rows": 12, "slice_rows": 2}, None]
+)
+def test_keys_take_the_form_that_suits_them(spark, monkeypatch, limits):
+    rows = _random_rows(10, 80, keys=1) + [
+        (1000 + r[0], None, r[2], r[3]) for r in _random_rows(11, 50)
+    ] + [(2000 + r[0], "few", r[2], r[3]) for r in _random_rows(12, 9)]
+    if limits is None:
+        # Too many hot keys to list.
+        monkeypatch.setattr(windows, "find_hot_keys", lambda *_: HotKeys(None, overflow=True))
+    df = _frame(spark, rows)
+    done = keyed_windows(df, "k", "t", ["t", "id"], "v", LAGS, MEANS, **(limits or {}))
+    assert done.columns == [*df.columns, *LAGS, *MEANS]
+    assert done.filter("k IS NULL").count() == 50
+    _check(_result(done), _brute(rows))
+
+
+def test_numeric_keys(spark):
+    df = _frame(spark, _random_rows(13, 60)).withColumn("k", F.col("id") % 2 + 7)
+    options = {"key_rows": 0, "slice_rows": 3}
+    done = keyed_windows(df, "k", "t", ["t", "id"], "v", LAGS, MEANS, **options)
+    assert dict(done.dtypes)["k"] == dict(df.dtypes)["k"]
+    expected = _brute([(r.id, r.k, r.t, r.v) for r in df.collect()])
+    _check(_result(done), expected)
 
 
 def test_rows_move_once(spark, tmp_path):
