@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -70,9 +70,7 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"), *counts, any_null.alias("any_null"))
 
 
-def counted(df: DataFrame, name: str = "rows"):
+def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     """The frame with a row count that fills while another action runs, and the count's handle."""
-    from pyspark.sql import Observation
-
     seen = Observation(name)
     return df.observe(seen, F.count(F.lit(1)).alias("row_count")), seen

@@ -224,7 +224,8 @@ def _(spark, folder):
     "partitioned_write_by_segment",
     _BY_USER
     + """SELECT segment, day AS date, round(avg_price + 1e-9, 6) AS avg_price,
-           round(avg_market_cap + 1e-9, 6) AS avg_market_cap, round(avg_volume_24h + 1e-9, 6) AS avg_volume_24h
+           round(avg_market_cap + 1e-9, 6) AS avg_market_cap,
+           round(avg_volume_24h + 1e-9, 6) AS avg_volume_24h
          FROM (SELECT segment, date_trunc('day', date)::TIMESTAMP AS day, """
     + _SEGMENT_MEANS
     + " FROM features GROUP BY 1, 2)",
@@ -382,7 +383,9 @@ for _days in (7, 30):
 
     @_query(
         f"trailing_avg_{_days}d_sliced",
-        _feature_columns_sql(f"round(avg_price_{_days}d + 1e-9, 6) AS avg_price_{_days}d", source=_BY_TYPE),
+        _feature_columns_sql(
+            f"round(avg_price_{_days}d + 1e-9, 6) AS avg_price_{_days}d", source=_BY_TYPE
+        ),
     )
     def _(spark, folder, days=_days):
         rows = clean_prices(type_ticks(spark, folder))
@@ -395,7 +398,8 @@ _FEATURE_TABLE = """SELECT * REPLACE (
     round(market_cap + 1e-9, 6) AS market_cap,
     round(price_change_percent_24h + 1e-9, 6) AS price_change_percent_24h,
     round(price_change_percent_7d + 1e-9, 6) AS price_change_percent_7d,
-    round(avg_price_7d + 1e-9, 6) AS avg_price_7d, round(avg_price_30d + 1e-9, 6) AS avg_price_30d)
+    round(avg_price_7d + 1e-9, 6) AS avg_price_7d,
+    round(avg_price_30d + 1e-9, 6) AS avg_price_30d)
   FROM features"""
 
 
@@ -425,7 +429,8 @@ def _(spark, folder):
     _BY_TYPE
     + """SELECT cryptocurrency, date, price_usd,
            round(price_change_percent_24h + 1e-9, 6) AS price_change_percent_24h,
-           round(avg_price_7d + 1e-9, 6) AS avg_price_7d, round(avg_price_30d + 1e-9, 6) AS avg_price_30d
+           round(avg_price_7d + 1e-9, 6) AS avg_price_7d,
+           round(avg_price_30d + 1e-9, 6) AS avg_price_30d
          FROM features WHERE cryptocurrency IN ('purchase', 'view')""",
 )
 def _(spark, folder):
@@ -435,7 +440,8 @@ def _(spark, folder):
 # --- Analytics -------------------------------------------------------------------------------
 
 _SEGMENTS = """SELECT segment, date, round(avg_price + 1e-9, 6) AS avg_price,
-    round(avg_market_cap + 1e-9, 6) AS avg_market_cap, round(avg_volume_24h + 1e-9, 6) AS avg_volume_24h
+    round(avg_market_cap + 1e-9, 6) AS avg_market_cap,
+    round(avg_volume_24h + 1e-9, 6) AS avg_volume_24h
   FROM (SELECT segment, {time} AS date, {means} FROM features GROUP BY 1, 2)"""
 _DAY = "date_trunc('day', date)::TIMESTAMP"
 
@@ -458,10 +464,6 @@ def _(spark, folder):
          FROM features GROUP BY segment""",
 )
 def _(spark, folder):
-    return segment_volatility_of_ticks(spark, folder)
-
-
-def segment_volatility_of_ticks(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(analytics.segment_volatility(_features(ticks(spark, folder))), 4)
 
 
@@ -545,7 +547,8 @@ def _(spark, folder):
 @_query(
     "anomaly_uplift",
     _BY_USER
-    + f"""SELECT round((avg_volume_anomalies - avg_volume_normal) / avg_volume_normal * 100 + 1e-9, 6)
+    + f"""SELECT round(
+            (avg_volume_anomalies - avg_volume_normal) / avg_volume_normal * 100 + 1e-9, 6)
             AS uplift_percent FROM (SELECT {_VOLUME_SPLIT})""",
 )
 def _(spark, folder):
@@ -658,7 +661,8 @@ def _(spark, folder):
           spread AS (SELECT segment, mean_cap, (cap - mean_cap) / mean_cap * 100 AS away
             FROM daily JOIN means USING (segment))
           SELECT segment, round(any_value(mean_cap) + 1e-9, 6) AS mean_cap,
-            round(max(away) + 1e-9, 6) AS max_rise_percent, round(min(away) + 1e-9, 6) AS max_fall_percent,
+            round(max(away) + 1e-9, 6) AS max_rise_percent,
+            round(min(away) + 1e-9, 6) AS max_fall_percent,
             round(max(abs(away)) + 1e-9, 6) AS max_spread_percent
           FROM spread GROUP BY segment""",
 )
