@@ -221,13 +221,15 @@ def means_by_second(
         F.sum(value).alias("_sum"), F.count(value).alias("_n")
     )
 
-    by_day = Window.partitionBy(key).orderBy("_day")
+    by_day = Window.partitionBy("_key").orderBy("_of_day")
     whole_days = (
-        seconds.groupBy(key, day_number(F.col(second)).alias("_day"))
+        seconds.groupBy(
+            F.col(key).alias("_key"), day_number(F.col(second)).alias("_of_day")
+        )
         .agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"))
         .select(
-            F.col(key).alias("_key"),
-            F.col("_day").alias("_of_day"),
+            "_key",
+            "_of_day",
             *[
                 F.sum(part).over(by_day.rangeBetween(1 - days, -1)).alias(f"_whole{part}_{days}")
                 for days in lengths
