@@ -274,7 +274,8 @@ _LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extended
         FROM lineitem) WHERE rn = 1""",
 )
 def _(spark, folder):
-    return keep_first(_table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"], _LINE_ORDER)
+    lines = _table(spark, folder, "lineitem")
+    return keep_first(lines, ["l_orderkey", "l_linenumber"], _LINE_ORDER)
 
 
 @_query(
@@ -787,8 +788,8 @@ def _(spark, folder):
 
 
 _SPINE = """WITH days AS (
-    SELECT CAST(unnest(generate_series(DATE '1998-07-04', DATE '1998-08-02', INTERVAL 1 DAY)) AS DATE)
-      AS day)
+    SELECT CAST(unnest(
+      generate_series(DATE '1998-07-04', DATE '1998-08-02', INTERVAL 1 DAY)) AS DATE) AS day)
   SELECT c_custkey AS asset, day FROM customer CROSS JOIN days """
 
 

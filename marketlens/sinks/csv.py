@@ -24,7 +24,8 @@ def write_daily(df: DataFrame, path: str, time: Column | str = TIME) -> None:
 
 def write_combined(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Overwrite with headerless CSV. ``single_file`` writes through one task: small tables only."""
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", False).csv(path)
+    rows = df.coalesce(1) if single_file else df
+    rows.write.mode("overwrite").option("header", False).csv(path)
 
 
 def append_lines(df: DataFrame, path: str) -> None:

@@ -23,7 +23,7 @@ def read_if_committed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_snapshot_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All CSV lines under one or more paths as typed columns, plus ``_corrupt_record`` and ``file``.
+    """All CSV lines under one or more paths, typed, plus ``_corrupt_record`` and ``file``.
 
     Some files begin with a header and some do not, so header lines are told by their first
     field. Lines are read as text: each is parsed whole whatever columns the query uses, so a

@@ -15,7 +15,9 @@ from ..operators.selection import sample_rows
 def kafka_records(lines: DataFrame) -> DataFrame:
     """Lines as Kafka records, with the origin as a header."""
     header = F.struct(F.lit("file").alias("key"), F.col("origin").cast("binary").alias("value"))
-    return lines.select(F.col("value").cast("string").alias("value"), F.array(header).alias("headers"))
+    return lines.select(
+        F.col("value").cast("string").alias("value"), F.array(header).alias("headers")
+    )
 
 
 def relay_to_kafka(
@@ -36,13 +38,18 @@ def relay_to_kafka(
     )
 
 
-def relay_to_lines(lines: DataFrame, folder: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+def relay_to_lines(
+    lines: DataFrame, folder: str, checkpoint: str, once: bool = False
+) -> StreamingQuery:
     """Copy lines into text files of another folder, each line exactly once."""
-    writer = lines.select("value").writeStream.format("text").option("checkpointLocation", checkpoint)
+    writer = lines.select("value").writeStream.format("text")
+    writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start(folder)
 
 
-def write_sample(table: DataFrame, folder: str, n: int, batch: int, seed: int | None = None) -> None:
+def write_sample(
+    table: DataFrame, folder: str, n: int, batch: int, seed: int | None = None
+) -> None:
     """Write n random rows as headerless CSV into the batch's own folder.
 
     A repeated batch replaces its folder, so a restart adds nothing twice.
@@ -65,7 +72,10 @@ def spool_samples(
     every: str = "10 seconds",
     seed: int | None = None,
 ) -> StreamingQuery:
-    """Every few seconds write n random rows of a table to a folder. Reads the table anew each time."""
+    """Every few seconds write n random rows of a table to a folder.
+
+    The table is read anew each time; while it is empty, nothing is written.
+    """
 
     def write_batch(_: DataFrame, batch: int) -> None:
         rows = table()

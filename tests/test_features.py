@@ -103,7 +103,7 @@ def test_input_order_does_not_matter(prices):
 
 
 def test_one_shuffle_for_small_assets(spark, prices, tmp_path):
-    """De-duplication, both lags and both means share one exchange, and the asset filter gets to the scan."""
+    """De-duplication, lags and means share one exchange; the asset filter reaches the scan."""
     prices(*_days("A", "A", range(5))).write.parquet(str(tmp_path / "p"))
     features = price_features(spark.read.parquet(str(tmp_path / "p")))
     plan = features._jdf.queryExecution().executedPlan().toString()
@@ -114,6 +114,16 @@ def test_one_shuffle_for_small_assets(spark, prices, tmp_path):
     assert "avg(" not in narrow._jdf.queryExecution().executedPlan().toString()
 
 
+def test_asset_filter_reaches_every_scan_of_large_assets(spark, prices, tmp_path):
+    prices(*_days("A", "A", range(5)), *_days("B", "B", range(5))).write.parquet(str(tmp_path / "p"))
+    features = price_features(spark.read.parquet(str(tmp_path / "p")), key_rows=0)
+    plan = features.filter(F.col("cryptocurrency") == "A")._jdf.queryExecution().executedPlan()
+    scans = [line for line in plan.toString().split("\n") if "FileScan" in line]
+    with_prices = [line for line in scans if "price_usd" in line.split("Batched")[0]]
+    assert len(with_prices) > 1
+    assert not [line for line in with_prices if "DataFilters: []" in line]
+
+
 def test_asset_metrics(prices):
     rows = _days("Bitcoin", "BTC", [1, 2]) + _days("Ethereum", "ETH", [3]) + _days("X", "X", [4])
     metrics = asset_metrics(price_features(prices(*rows)), ["Bitcoin", "Ethereum"])
