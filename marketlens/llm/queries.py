@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import exact, quality
+from marketlens.llm import exact, lines, mixing, quality
 from marketlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +54,46 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"),
     )
+
+
+_LINES_SQL = r"""
+    WITH split AS (
+        SELECT doc_id, source, coalesce(text, '') AS text,
+               string_split(coalesce(text, ''), chr(10)) AS lines
+        FROM documents
+    ), line AS (
+        SELECT doc_id, source, i, lines[i] AS line,
+               regexp_replace(lines[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS bare,
+               len(regexp_extract_all(lines[i], '[^\x20\x09-\x0D]+')) AS words
+        FROM split, generate_series(1, len(lines)) AS place(i)
+    ), boilerplate AS (
+        SELECT bare, min(doc_id) AS first_id
+        FROM line WHERE words >= 3
+        GROUP BY bare
+        HAVING count(DISTINCT source) + count(DISTINCT CASE WHEN source IS NULL THEN 1 END) >= 8
+    ), judged AS (
+        SELECT l.doc_id, l.i, l.line,
+               b.bare IS NOT NULL AND (l.doc_id <> b.first_id OR l.i <> first_place) AS cut
+        FROM (
+            SELECT *, min(i) OVER (PARTITION BY doc_id, bare) AS first_place FROM line
+        ) AS l
+        LEFT JOIN boilerplate AS b ON l.bare = b.bare AND l.words >= 3
+    )
+    SELECT doc_id,
+           coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT cut), '') AS text,
+           count(*) AS n_lines,
+           count(*) FILTER (WHERE cut) AS n_removed
+    FROM judged GROUP BY doc_id
+"""
+
+
+@query("op1_line_dedup", _LINES_SQL)
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Sites are the sources of the documents."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    return lines.without_boilerplate(docs).drop("source")
+
+
+@query("op5_source_mix")
+def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed_rows(table(spark, folder, "documents"))
