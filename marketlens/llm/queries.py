@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import exact, lines, mixing, quality
-from marketlens.llm.common import table
+from marketlens.llm import exact, fingerprints, licenses, lines, mixing, quality
+from marketlens.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,3 +97,14 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_source_mix")
 def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed_rows(table(spark, folder, "documents"))
+
+
+@query("op4_license_scan")
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_rows(table(spark, folder, "documents"))
+
+
+@query("op8_fingerprints")
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    prints = stored(fingerprints.fingerprints(table(spark, folder, "documents")), "prints")
+    return fingerprints.with_likeness(prints)
