@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +40,16 @@ def id_crc(column: str = "doc_id") -> Column:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, unless they find it as the driver does."""
+    root = str(Path(__file__).resolve().parents[2])
+    if root not in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]:
+        _shipped(spark.sparkContext, root)
+
+
+@functools.cache
+def _shipped(context, root: str) -> None:
+    target = os.path.join(tempfile.mkdtemp(), "package")
+    context.addPyFile(shutil.make_archive(target, "zip", root, Path(__file__).parents[1].name))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import exact, fingerprints, licenses, lines, mixing, quality
-from marketlens.llm.common import stored, table
+from marketlens.llm import exact, fingerprints, licenses, lines, mixing, pieces, quality, secret_spans
+from marketlens.llm.common import ship, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -17,7 +18,12 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(function: Query) -> Query:
-        QUERIES[name] = function
+        @functools.wraps(function)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship(spark)
+            return function(spark, folder)
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql
         return function
@@ -108,3 +114,14 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     prints = stored(fingerprints.fingerprints(table(spark, folder, "documents")), "prints")
     return fingerprints.with_likeness(prints)
+
+
+@query("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encoded_rows(table(spark, folder, "documents"))
+
+
+@query("op7_secret_scan")
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return secret_spans.with_secrets(docs, secret_spans.fit_field(docs)).drop("text")
