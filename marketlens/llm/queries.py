@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import exact, fingerprints, licenses, lines, mixing, pieces, quality, secret_spans
+from marketlens.llm import exact, fingerprints, licenses, lines, mixing, ngram_join, pieces, quality, secret_spans
 from marketlens.llm.common import ship, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +125,8 @@ def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return secret_spans.with_secrets(docs, secret_spans.fit_field(docs)).drop("text")
+
+
+@query("op3_ngram_jaccard")
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.linked(table(spark, folder, "documents"))
