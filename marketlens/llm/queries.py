@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import exact, fingerprints, licenses, lines, mixing, ngram_join, pieces, quality, secret_spans
+from marketlens.llm import exact, fingerprints, licenses, lines, lm_score, mixing, ngram_join, pieces, quality, secret_spans
 from marketlens.llm.common import ship, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +130,8 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_ngram_jaccard")
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.linked(table(spark, folder, "documents"))
+
+
+@query("op2_lm_score")
+def op2_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.scored_rows(table(spark, folder, "documents"))
