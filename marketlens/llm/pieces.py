@@ -32,10 +32,10 @@ MARK = "▁"
 # Far under any score: a byte-encoded character is used only where no piece fits.
 BYTES_SCORE = -1e12
 # Texts are handled in runs of so many characters, and so many words are remembered.
-RUN_CHARS = 2_000_000
-MEMORY = 400_000
+RUN_CHARS = 1_000_000
+MEMORY = 200_000
 
-_WORDS = re.compile(r" +[^ ]*")
+_WORDS = re.compile(r" ( *[^ ]*)")
 
 
 @dataclass(frozen=True)
@@ -63,18 +63,26 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
     return Vocabulary(pieces, ids, scores, tuple(of_byte[b] for b in range(256)))
 
 
+def marked_words(text: str) -> list[str]:
+    """The marked words of a text, each without the first of its spaces."""
+    if not text:
+        return []
+    parts = text.split(" ")
+    return _WORDS.findall(" " + text) if "" in parts else parts
+
+
 class Encoder:
     """Encodes marked words; remembers a bounded number of them."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        # A node is a dict of children; under "" it holds the piece that ends there.
-        self.root: dict = {}
+        # A node: its children, and score and id of the piece that ends there (or None).
+        self.root: list = [{}, None, -1]
         for piece, i, score in zip(vocabulary.pieces, vocabulary.ids, vocabulary.scores, strict=True):
             node = self.root
             for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = (score, i)
+                node = node[0].setdefault(c, [{}, None, -1])
+            node[1:] = score, i
         self.known: dict[str, bytes] = {}
 
     def learn(self, words: Iterable[str]) -> None:
@@ -82,7 +90,8 @@ class Encoder:
         root, byte_ids = self.root, self.vocabulary.byte_ids
         score, start, piece, open_at = [0.0], [0], [-1], [[]]
         before = ""
-        for word in sorted(words):
+        for bare in sorted(words):
+            word = " " + bare
             depth = 0
             for a, b in zip(before, word, strict=False):
                 if a != b:
@@ -93,13 +102,15 @@ class Encoder:
                 c = word[at]
                 going, best, first, number = [], None, at, -1
                 for begin, node in [*open_at[at], (at, root)]:
-                    child = node.get(c)
+                    child = node[0].get(c)
                     if child is None:
                         continue
                     going.append((begin, child))
-                    end = child.get("")
-                    if end is not None and (best is None or score[begin] + end[0] > best):
-                        best, first, number = score[begin] + end[0], begin, end[1]
+                    worth = child[1]
+                    if worth is not None:
+                        worth += score[begin]
+                        if best is None or worth > best:
+                            best, first, number = worth, begin, child[2]
                 score.append(score[at] + BYTES_SCORE if best is None else best)
                 start.append(first)
                 piece.append(number)
@@ -112,15 +123,16 @@ class Encoder:
                 else:
                     ids.append(piece[at])
                 at = start[at]
-            self.known[word] = np.array(ids[::-1], np.int32).tobytes()
+            self.known[bare] = np.array(ids[::-1], np.int32).tobytes()
             before = word
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        rows = [_WORDS.findall(" " + t) if t else [] for t in texts]
+        rows = [marked_words(t) for t in texts]
         if len(self.known) > MEMORY:
             self.known.clear()
-        self.learn({w for row in rows for w in row} - self.known.keys())
-        return [np.frombuffer(b"".join([self.known[w] for w in row]), np.int32) for row in rows]
+        self.learn(set().union(*rows) - self.known.keys())
+        found = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(found, row)), np.int32) for row in rows]
 
 
 def _runs(texts: Iterable[str]) -> Iterator[list[str]]:
@@ -147,9 +159,18 @@ def encode(text: Column, vocabulary: Vocabulary) -> Column:
     return F.pandas_udf(encoded, "array<int>")(text)
 
 
-def piece_bytes(vocabulary: Vocabulary) -> dict[int, bytes]:
-    table = {i: p.encode() for p, i in zip(vocabulary.pieces, vocabulary.ids, strict=True)}
-    return table | {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
+def piece_bytes(vocabulary: Vocabulary) -> list[bytes]:
+    """The bytes of each id; none for ids that stand for no text."""
+    table = [b""] * (max(*vocabulary.ids, *vocabulary.byte_ids) + 1)
+    for piece, i in zip(vocabulary.pieces, vocabulary.ids, strict=True):
+        table[i] = piece.encode()
+    for b, i in enumerate(vocabulary.byte_ids):
+        table[i] = bytes([b])
+    return table
+
+
+def text_of(ids: np.ndarray, table: list[bytes]) -> str:
+    return b"".join(map(table.__getitem__, ids.tolist()))[1:].decode()
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
@@ -158,22 +179,33 @@ def decode(ids: Column, vocabulary: Vocabulary) -> Column:
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = piece_bytes(vocabulary)
         for rows in batches:
-            yield pd.Series([b"".join([table[i] for i in row.tolist()])[1:].decode() for row in rows], dtype=object)
+            yield pd.Series([text_of(row, table) for row in rows], dtype=object)
 
     decoded.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(decoded, "string")(ids)
 
 
+def encode_and_check(text: Column, vocabulary: Vocabulary) -> Column:
+    """The ids of a text column without nulls, and whether they decode to the text again."""
+
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder, table = Encoder(vocabulary), piece_bytes(vocabulary)
+        for texts in batches:
+            ids, same = [], []
+            for run in _runs(texts):
+                found = encoder.encode(run)
+                ids += found
+                same += [text_of(i, table) == t for i, t in zip(found, run, strict=True)]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "round_trip": pd.Series(same, dtype=bool)})
+
+    both.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    return F.pandas_udf(both, "ids array<int>, round_trip boolean")(text)
+
+
 def encoded_rows(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """``doc_id, ids, n_ids, round_trip`` (whether decoding gives the text back) per document."""
     vocabulary = load_vocabulary(path)
     return (
-        docs.select("doc_id", whole_text().alias("text"))
-        .withColumn("ids", encode(F.col("text"), vocabulary))
-        .select(
-            "doc_id",
-            "ids",
-            F.size("ids").cast("long").alias("n_ids"),
-            (decode(F.col("ids"), vocabulary) == F.col("text")).alias("round_trip"),
-        )
+        docs.select("doc_id", encode_and_check(whole_text(), vocabulary).alias("found"))
+        .select("doc_id", "found.ids", F.size("found.ids").cast("long").alias("n_ids"), "found.round_trip")
     )
