@@ -29,6 +29,7 @@ from marketlens.llm.common import SPACE, whole_text
 
 TERMS = 8_192
 SAMPLES = 64
+WIDTH = 8
 RANGE_ROWS = 1_000
 MOST_RANGES = 65_536
 OWN, EDITED, FACTS = 0, 1, 2
@@ -39,28 +40,32 @@ def words_of(text: Column) -> Column:
 
 
 def variates(spark: SparkSession, samples: int = SAMPLES) -> DataFrame:
-    """``term`` and for each sample k the columns ``r{k}``, ``inv{k}``, ``b{k}``, ``c{k}``."""
+    """``term``, ``part`` and, for the ``WIDTH`` samples of the part, their variates as columns.
 
-    def uniform(k: int, which: int) -> Column:
-        bits = F.shiftrightunsigned(F.xxhash64("term", F.lit(k), F.lit(which)), 11)
+    Column ``r{j}`` holds r, ``inv{j}`` its inverse, ``b{j}`` b and ``c{j}`` ln c. A few samples per
+    row keep the generated code of the sums small enough to be compiled.
+    """
+    sample = F.col("part") * WIDTH
+
+    def uniform(j: int, which: int) -> Column:
+        bits = F.shiftrightunsigned(F.xxhash64("term", sample + j, F.lit(which)), 11)
         return (bits.cast("double") + 0.5) / float(1 << 53)
 
-    def gamma(k: int, which: int) -> Column:
-        return -F.log(uniform(k, which) * uniform(k, which + 1))
+    def gamma(j: int, which: int) -> Column:
+        return -F.log(uniform(j, which) * uniform(j, which + 1))
 
-    terms = spark.range(0, TERMS, 1, 1).select(F.col("id").cast("int").alias("term"))
-    columns = [
-        F.struct(gamma(k, 0).alias("r"), uniform(k, 2).alias("b"), F.log(gamma(k, 3)).alias("c")).alias(f"v{k}")
-        for k in range(samples)
-    ]
-    wide = terms.select("term", *columns)
-    return wide.select(
+    rows = spark.range(0, TERMS * (samples // WIDTH), 1, 1).select(
+        F.floor(F.col("id") / (samples // WIDTH)).cast("int").alias("term"),
+        (F.col("id") % (samples // WIDTH)).cast("int").alias("part"),
+    )
+    drawn = rows.select(
         "term",
-        *[F.col(f"v{k}.r").alias(f"r{k}") for k in range(samples)],
-        *[(1 / F.col(f"v{k}.r")).alias(f"inv{k}") for k in range(samples)],
-        *[F.col(f"v{k}.b").alias(f"b{k}") for k in range(samples)],
-        *[F.col(f"v{k}.c").alias(f"c{k}") for k in range(samples)],
+        "part",
+        *[gamma(j, 0).alias(f"r{j}") for j in range(WIDTH)],
+        *[uniform(j, 2).alias(f"b{j}") for j in range(WIDTH)],
+        *[F.log(gamma(j, 3)).alias(f"c{j}") for j in range(WIDTH)],
     )
+    return drawn.select("*", *[(1 / F.col(f"r{j}")).alias(f"inv{j}") for j in range(WIDTH)])
 
 
 def with_ranges(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -170,34 +175,33 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
         .agg(F.sum("n").alias("n"))
     )
     table = variates(docs.sparkSession, samples)
-    log_w = F.when(F.col("kind") < FACTS, F.log(F.col("n").cast("double")))
-
-    def sample(k: int) -> Column:
-        r, b = F.col(f"r{k}"), F.col(f"b{k}")
-        steps = F.floor(F.col("log_w") * F.col(f"inv{k}") + b) - b
-        return F.min(F.col(f"c{k}") - r * steps - r).alias(f"a{k}")
+    def sample(j: int) -> Column:
+        r = F.col(f"r{j}")
+        steps = F.floor(F.col("log_w") * F.col(f"inv{j}") + F.col(f"b{j}")) - F.col(f"b{j}")
+        return F.min(F.col(f"c{j}") - r * steps - r).alias(f"a{j}")
 
-    per_text = (
+    # The facts of a document ride on the terms 0 to 5 of their kind; fact i is read off part i.
+    per_part = (
         weighted.join(F.broadcast(table), "term")
-        .withColumn("log_w", log_w)
-        .groupBy("bucket", "ord", "kind")
+        .withColumn("log_w", F.when(F.col("kind") < FACTS, F.log(F.col("n").cast("double"))))
+        .groupBy("bucket", "ord", "kind", "part")
         .agg(
-            *[sample(k) for k in range(samples)],
-            *[
-                F.max(F.when((F.col("kind") == FACTS) & (F.col("term") == i), F.col("n"))).alias(f"f{i}")
-                for i in range(len(facts))
-            ],
+            *[sample(j) for j in range(WIDTH)],
+            F.max(F.when((F.col("kind") == FACTS) & (F.col("term") == F.col("part")), F.col("n"))).alias("fact"),
         )
     )
     digits = F.concat(
-        *[F.lpad(F.hex(F.xxhash64(f"a{k}").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0") for k in range(samples)]
+        *[F.lpad(F.hex(F.xxhash64(f"a{j}").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0") for j in range(WIDTH)]
+    )
+    part = F.struct("part", F.lower(digits).alias("digits"))
+    pick = lambda kind, value: F.when(F.col("kind") == kind, value)
+    joined = lambda kind: F.array_join(
+        F.transform(F.array_sort(F.collect_list(pick(kind, part))), lambda p: p["digits"]), ""
     )
-    signature = F.when(F.col("a0").isNotNull(), F.lower(digits))
-    pick = lambda kind, value: F.max(F.when(F.col("kind") == kind, value))
-    per_doc = per_text.groupBy("bucket", "ord").agg(
-        pick(OWN, signature).alias("own"),
-        pick(EDITED, signature).alias("other"),
-        *[pick(FACTS, F.col(f"f{i}")).alias(f"f{i}") for i in range(len(facts))],
+    per_doc = per_part.groupBy("bucket", "ord").agg(
+        joined(OWN).alias("own"),
+        joined(EDITED).alias("other"),
+        *[F.max(pick(FACTS, F.when(F.col("part") == i, F.col("fact")))).alias(f"f{i}") for i in range(len(facts))],
     )
     blank = F.lit("0" * 8 * samples)
     return per_doc.select(
@@ -206,8 +210,8 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
         F.col("f0").alias("doc_id"),
         F.col("f1").alias("n_chars"),
         _sha_text([F.col(f"f{i}") for i in range(2, 6)]).alias("edited_sha256"),
-        F.coalesce("own", blank).alias("fingerprint"),
-        F.coalesce("other", blank).alias("edited_fingerprint"),
+        F.when(F.col("own") == "", blank).otherwise(F.col("own")).alias("fingerprint"),
+        F.when(F.col("other") == "", blank).otherwise(F.col("other")).alias("edited_fingerprint"),
     )
 
 
