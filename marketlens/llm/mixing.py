@@ -74,7 +74,7 @@ def apportioned(df: DataFrame, group: Sequence[str], name: str, weight: str, sea
     pass N + n seats in proportion; only the quotients between compete, about three per row.
     """
     whole = Window.partitionBy(*group)
-    share = F.col(weight) / F.col("__all")
+    share = F.try_divide(F.col(weight), F.col("__all"))
     rounded = lambda n: F.floor(share * n + 0.5).cast("long")
     ranked = Window.partitionBy(*group).orderBy(F.col("__quotient").desc(), F.col(name).asc_nulls_last())
     rows = (

@@ -5,9 +5,10 @@ all they have together. Texts with the same set are one item from the start. The
 others is a T-occurrence search: a partner must occur in at least T of the item's inverted lists,
 T being ``LIKENESS`` times its set size.
 
-1. Sieve. Every text's shingles in hash order; the first ``n - T + l`` of them hold at least ``l``
-   of the shingles it shares with any partner. Lists of one item end the search for most texts. A
-   list that a task already knows to be shared sends one row, whatever its length.
+1. Sieve. Every text posts its first ``n - T + l`` shingles in hash order, ``l`` a share of n. Two
+   linked texts find at least the smaller of their two ``l`` in common there, and a partner has T
+   shingles or more; a text that finds less shared has no partner. A list that a task already knows
+   to be shared sends one row, whatever its length.
 2. Lists of what is left: items are kept whose shingles with at least two items reach T. Shingles
    are ordered by list length, and an item looks for partners in the first ``n - T + 1`` only: the
    longest lists, of passages that many texts share, are not searched.
@@ -131,7 +132,7 @@ def _credits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = ~docs & ~given
         if not open_.any():
             continue
-        token = batch.column("token").to_numpy(zero_copy_only=False)[open_].astype(np.int64)
+        token = batch.column("token").fill_null(0).to_numpy()[open_]
         part = [np.concatenate(x) for x in zip(held, (token, key[open_], credit[open_]), strict=True)]
         last = part[0] == part[0][-1]
         held = tuple(x[last] for x in part)
@@ -167,7 +168,8 @@ def sieved(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     rows = stored(rows, "postings")
     members = rows.where("n IS NOT NULL").select("doc_id", "key", "n")
-    need = F.greatest(F.lit(1), F.floor(F.col("n") * EXTRA))
+    smallest = F.ceil(F.col("n") * LIKENESS[0] / LIKENESS[1])
+    need = F.greatest(F.lit(1), F.floor(smallest * EXTRA))
     ids = (
         rows.where("credit > 0")
         .groupBy("key")

@@ -44,8 +44,8 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     first = np.cumsum(size) - size
     place = np.arange(int(size.sum())) - np.repeat(first, size)
     weight = _WEIGHTS[place % _PLACES]
-    if size.max() > _PLACES:
-        weight = weight * mixed((place // _PLACES + 1).astype(np.uint64) * np.uint64(2) + _ODD)
+    far = np.flatnonzero(place >= _PLACES)
+    weight[far] *= mixed((place[far] // _PLACES).astype(np.uint64)) * np.uint64(2) + _ODD
     return mixed(np.add.reduceat(_CODES[data[inside]] * weight, first)), counts
 
 
