@@ -42,8 +42,9 @@ def words_of(text: Column) -> Column:
 def variates(spark: SparkSession, samples: int = SAMPLES) -> DataFrame:
     """``term``, ``part`` and, for the ``WIDTH`` samples of the part, their variates as columns.
 
-    Column ``r{j}`` holds r, ``inv{j}`` its inverse, ``b{j}`` b and ``c{j}`` ln c. A few samples per
-    row keep the generated code of the sums small enough to be compiled.
+    Column ``r{j}`` holds r, ``b{j}`` b, ``c{j}`` ln c, and ``v{j}`` the sample of a term of weight
+    one, which most are; these stand first, so that most look-ups touch little of a row. A few
+    samples per row keep the generated code of the sums small enough to be compiled.
     """
     sample = F.col("part") * WIDTH
 
@@ -65,7 +66,13 @@ def variates(spark: SparkSession, samples: int = SAMPLES) -> DataFrame:
         *[uniform(j, 2).alias(f"b{j}") for j in range(WIDTH)],
         *[F.log(gamma(j, 3)).alias(f"c{j}") for j in range(WIDTH)],
     )
-    return drawn.select("*", *[(1 / F.col(f"r{j}")).alias(f"inv{j}") for j in range(WIDTH)])
+    single = [log_a(j, F.lit(0.0)).alias(f"v{j}") for j in range(WIDTH)]
+    return drawn.select("term", "part", *single, *[c for c in drawn.columns if c not in ("term", "part")])
+
+
+def log_a(j: int, log_w: Column) -> Column:
+    r, b = F.col(f"r{j}"), F.col(f"b{j}")
+    return F.col(f"c{j}") - r * (F.floor(log_w / r + b) - b) - r
 
 
 def with_ranges(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -173,17 +180,16 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
         .select("bucket", "ord", "e.kind", "e.term", "e.n")
         .groupBy("bucket", "ord", "kind", "term")
         .agg(F.sum("n").alias("n"))
+        .withColumn("log_w", F.when(F.col("kind") < FACTS, F.log(F.col("n").cast("double"))))
     )
     table = variates(docs.sparkSession, samples)
     def sample(j: int) -> Column:
-        r = F.col(f"r{j}")
-        steps = F.floor(F.col("log_w") * F.col(f"inv{j}") + F.col(f"b{j}")) - F.col(f"b{j}")
-        return F.min(F.col(f"c{j}") - r * steps - r).alias(f"a{j}")
+        single = F.when((F.col("n") == 1) & (F.col("kind") < FACTS), F.col(f"v{j}"))
+        return F.min(single.otherwise(log_a(j, F.col("log_w")))).alias(f"a{j}")
 
     # The facts of a document ride on the terms 0 to 5 of their kind; fact i is read off part i.
     per_part = (
         weighted.join(F.broadcast(table), "term")
-        .withColumn("log_w", F.when(F.col("kind") < FACTS, F.log(F.col("n").cast("double"))))
         .groupBy("bucket", "ord", "kind", "part")
         .agg(
             *[sample(j) for j in range(WIDTH)],
@@ -216,8 +222,8 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
 
 
 def likeness(a: str, b: str, samples: int = SAMPLES) -> Column:
-    """Share of equal samples of two fingerprint columns."""
-    same = f"aggregate(sequence(0, {samples - 1}), 0, (n, k) -> n + int(substr({a}, 8 * k + 1, 8) = substr({b}, 8 * k + 1, 8)))"
+    """Share of equal samples of two fingerprints, given as bytes."""
+    same = f"aggregate(sequence(0, {samples - 1}), 0, (n, k) -> n + int(substr({a}, 4 * k + 1, 4) = substr({b}, 4 * k + 1, 4)))"
     return F.expr(same) / float(samples)
 
 
@@ -238,8 +244,11 @@ def with_likeness(prints: DataFrame, samples: int = SAMPLES) -> DataFrame:
     )
     return (
         rows.join(following, ["next_bucket", "next_ord"])
-        .withColumn("near_edited", likeness("fingerprint", "edited_fingerprint", samples))
-        .withColumn("near_next", likeness("fingerprint", "next_print", samples))
+        .withColumn("__own", F.unhex("fingerprint"))
+        .withColumn("__edited", F.unhex("edited_fingerprint"))
+        .withColumn("__next", F.unhex("next_print"))
+        .withColumn("near_edited", likeness("__own", "__edited", samples))
+        .withColumn("near_next", likeness("__own", "__next", samples))
         .select(
             "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
         )
