@@ -1,90 +1,21 @@
 """Lagged values and trailing means per key.
 
-They come in two forms with equal results. The plain form is one window per key: best when a key
-has few rows, since all windows share one shuffle. The sliced form never puts a whole key into
-one task, and its cost does not grow with the rows in a frame. ``keyed_windows`` takes each key
-through the form that suits it.
+A key is cut into time slices, so none of any size goes into one task, and the cost of a mean does
+not grow with the rows in its frame. All keys take this one way, whatever their number of rows. The
+plain form, one window per key, gives the same values and serves as the comparison in tests.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import epoch_seconds
 from ..schema import DAY_SECONDS
-from .hotkeys import (
-    FRAME_ROWS,
-    KEY_ROWS,
-    SLICE_ROWS,
-    UNDATED,
-    day_number,
-    find_hot_keys,
-    heavy_days,
-    second_of,
-    split_by_heat,
-    with_slice,
-)
-
-# Stands for a null key while rows are sliced.
-_NAMELESS = "\u0000"
-
-
-def keyed_windows(
-    df: DataFrame,
-    key: str,
-    time: str,
-    order: Sequence[str],
-    value: str,
-    lags: Mapping[str, int],
-    means: Mapping[str, int],
-    prepare: Callable[[DataFrame], DataFrame] | None = None,
-    key_rows: int = KEY_ROWS,
-    frame_rows: int = FRAME_ROWS,
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
-    """Add lags (rows back) and trailing means (days) of ``value`` per key, in ``order``.
-
-    One job counts rows per key before the frame is returned. Keys of up to ``key_rows`` rows,
-    and ``frame_rows`` in the longest frame, take the plain form; the others are sliced. If there
-    are more of those than can be listed, all keys are.
-
-    ``prepare`` is a step within each key, such as removing its duplicates. Done here, it shares
-    the shuffle of the plain form. ``order`` must begin with ``time`` and be free of ties.
-    """
-    longest = max(means.values(), default=1)
-    hot = find_hot_keys(df, key, time, longest, key_rows, frame_rows if means else key_rows)
-
-    def plain(rows: DataFrame) -> DataFrame:
-        rows = rows.repartition(key)
-        lagged = plain_lags(prepare(rows) if prepare else rows, key, order, value, lags)
-        return plain_trailing_means(lagged, key, time, value, means)
-
-    def sliced(rows: DataFrame) -> DataFrame:
-        # Slices are joined by key, so a null key needs a name for the time being.
-        named = rows.withColumn(key, F.coalesce(F.col(key).cast("string"), F.lit(_NAMELESS)))
-        windowed = sliced_windows(
-            prepare(named) if prepare else named,
-            key,
-            time,
-            order,
-            value,
-            lags,
-            means,
-            slice_rows,
-            counted=named,
-        )
-        unnamed = F.nullif(F.col(key), F.lit(_NAMELESS))
-        return windowed.withColumn(key, unnamed.cast(df.schema[key].dataType))
-
-    if hot.overflow:
-        return sliced(df)
-    if hot.keys is None:
-        return plain(df)
-    few, many = split_by_heat(df, key, hot.keys)
-    return plain(few).unionByName(sliced(many))
+from .slices import SLICE_ROWS, UNDATED, day_number, second_of, slice_starts, with_slice
 
 
 def plain_lags(
@@ -119,29 +50,33 @@ def sliced_windows(
     slice_rows: int = SLICE_ROWS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
-    """As ``plain_lags`` and ``plain_trailing_means``, by time slices of each key.
+    """Add lags (rows back) and trailing means (days) of ``value`` per key, in ``order``.
 
     Rows are shuffled once, by slice. Lags look within the slice, and what they miss at its start
     is joined from the slices before. Means are computed per second and travel with the rows in
     that same shuffle. A query that does not use the means does not compute them.
 
-    ``key`` must not be null, and ``order`` must begin with ``time`` and be free of ties. Slices
-    follow the row counts in ``counted``, by default ``df`` itself. It may hold more rows than
-    ``df``, so a table before de-duplication serves, and costs less to count.
+    ``key`` may be of any type that can be joined, and null is a key. ``order`` must begin with
+    ``time`` and be free of ties. A mean has the type of ``avg``. Slices follow the row counts in
+    ``counted``, by default ``df`` itself. It may hold more rows than ``df``, so a table before
+    de-duplication serves, and costs less to count. No job runs before the result is asked for.
     """
     if order[0] != time:
         raise ValueError("order must begin with the time column")
-    heavy = heavy_days(df if counted is None else counted, key, time, slice_rows)
-    rows = with_slice(df.withColumn("_second", second_of(time)), key, "_second", heavy)
+    starts = slice_starts(df if counted is None else counted, key, time, slice_rows)
+    # A hash of the key, never null, so that the shuffle by slice serves the join by slice as well.
+    rows = with_slice(df.withColumn("_second", second_of(time)), key, "_second", starts)
+    rows = rows.withColumn("_k", F.xxhash64(key))
     result = rows
     if means:
         averaged = means_by_second(rows, key, "_second", value, means)
+        averaged = with_slice(averaged, key, "_second", starts).withColumn("_k", F.xxhash64(key))
         together = rows.withColumn("_is_row", F.lit(True)).unionByName(
-            with_slice(averaged, key, "_second", heavy), allowMissingColumns=True
+            averaged, allowMissingColumns=True
         )
-        same_second = Window.partitionBy(key, "_slice", "_second")
+        same_second = Window.partitionBy("_k", key, "_slice", "_second")
         result = (
-            together.repartition(key, "_slice")
+            together.repartition("_k", "_slice")
             .withColumns({name: F.max(name).over(same_second) for name in means})
             .filter("_is_row")
         )
@@ -181,9 +116,14 @@ def _with_sliced_lags(
             }
         )
         .filter(F.col("_last_slice") < F.col("_slice"))
-        .select(F.col(key).alias("_key"), F.col("_slice").alias("_at"), "_before")
+        .select(
+            F.col(key).alias("_key"),
+            F.xxhash64(key).alias("_of"),
+            F.col("_slice").alias("_at"),
+            "_before",
+        )
     )
-    within = Window.partitionBy(key, "_slice").orderBy(*order)
+    within = Window.partitionBy("_k", key, "_slice").orderBy(*order)
     near = df.withColumns(
         {
             "_row": F.row_number().over(within),
@@ -191,7 +131,11 @@ def _with_sliced_lags(
         }
     )
     joined = near.join(
-        carried, (F.col(key) == F.col("_key")) & (F.col("_slice") == F.col("_at")), "left"
+        carried,
+        (F.col("_k") == F.col("_of"))
+        & (F.col("_slice") == F.col("_at"))
+        & F.coalesce(F.col(key) == F.col("_key"), F.col(key).isNull() & F.col("_key").isNull()),
+        "left",
     )
     return joined.select(
         *df.columns,
@@ -217,8 +161,16 @@ def means_by_second(
     seconds per part.
     """
     lengths = sorted(set(means.values()))
+    given, mean_type = df.schema[value].dataType, df.select(F.avg(value)).schema[0].dataType
+    # Sums as avg makes them: of doubles for whole numbers, with ten more digits for decimals.
+    sum_type = T.DoubleType()
+    if isinstance(given, T.DecimalType):
+        sum_type = T.DecimalType(min(38, given.precision + 10), given.scale)
     seconds = df.groupBy(key, second).agg(
-        F.sum(value).alias("_sum"), F.count(value).alias("_n")
+        F.sum(F.col(value) if isinstance(given, T.DecimalType) else F.col(value).cast("double"))
+        .cast(sum_type)
+        .alias("_sum"),
+        F.count(value).alias("_n"),
     )
 
     by_day = Window.partitionBy("_key").orderBy("_of_day")
@@ -265,7 +217,9 @@ def means_by_second(
         }
     ).filter(F.col("_ahead") == 0)
     placed = summed.join(
-        whole_days, (F.col(key) == F.col("_key")) & (F.col("_day") == F.col("_of_day")), "left"
+        whole_days,
+        F.col(key).eqNullSafe(F.col("_key")) & (F.col("_day") == F.col("_of_day")),
+        "left",
     )
 
     def total(part: str, days: int) -> Column:
@@ -273,13 +227,13 @@ def means_by_second(
             F.coalesce(F.col(c), F.lit(0))
             for c in (f"_own{part}", f"_rest{part}_{days}", f"_whole{part}_{days}")
         )
-        return own + rest + whole
+        return own + rest + whole if part == "_n" else (own + rest + whole).cast(sum_type)
 
     return placed.select(
         key,
         F.col("_at").alias(second),
         *[
-            F.try_divide(total("_sum", days), total("_n", days)).alias(name)
+            F.try_divide(total("_sum", days), total("_n", days)).cast(mean_type).alias(name)
             for name, days in means.items()
         ],
     )

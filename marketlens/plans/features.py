@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import change_or_zero, segment_of, to_instant
-from ..operators.hotkeys import FRAME_ROWS, KEY_ROWS, SLICE_ROWS
 from ..operators.quality import clean
-from ..operators.windows import keyed_windows
+from ..operators.slices import SLICE_ROWS
+from ..operators.windows import sliced_windows
 from ..schema import (
     ASSET,
     CAP,
@@ -43,31 +43,29 @@ def clean_prices(prices: DataFrame) -> DataFrame:
     )
 
 
+def segment_rows(
+    prices: DataFrame,
+    stable_symbols: Iterable[str] = STABLE_SYMBOLS,
+    normalize_symbol: bool = False,
+) -> DataFrame:
+    """Cleaned price rows with their segment: all that segment questions without changes need."""
+    segment = segment_of(F.col(SYMBOL), stable_symbols, normalize_symbol)
+    return clean_prices(prices).withColumn(SEGMENT, segment)
+
+
 def price_features(
     prices: DataFrame,
     stable_symbols: Iterable[str] = STABLE_SYMBOLS,
     normalize_symbol: bool = False,
-    key_rows: int = KEY_ROWS,
-    frame_rows: int = FRAME_ROWS,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Price rows to the feature table: changes replaced, and five columns added.
 
-    Assets of up to ``key_rows`` rows, and ``frame_rows`` a month, share a single shuffle for
-    de-duplication, lags and trailing means; larger assets are cut into time slices.
+    Slices follow the rows before de-duplication, which are cheaper to count.
     """
-    windowed = keyed_windows(
-        prices.withColumn(TIME, to_instant(F.col(TIME))),
-        ASSET,
-        TIME,
-        _ORDER,
-        PRICE,
-        LAG_ROWS,
-        TRAILING_DAYS,
-        clean_prices,
-        key_rows,
-        frame_rows,
-        slice_rows,
+    timed = prices.withColumn(TIME, to_instant(F.col(TIME)))
+    windowed = sliced_windows(
+        clean_prices(timed), ASSET, TIME, _ORDER, PRICE, LAG_ROWS, TRAILING_DAYS, slice_rows, timed
     )
     price = F.col(PRICE)
     added = [CHANGE_1, CHANGE_7, PREV_1, PREV_7, SEGMENT, *TRAILING_DAYS]

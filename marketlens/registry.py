@@ -2,7 +2,7 @@
 
 ``events`` serves as the price table in two ways: ``ticks`` takes the user as the asset (many
 assets with few rows each), ``type_ticks`` the event type (five assets that hold a fifth of all
-rows each, so they soon take the sliced windows).
+rows each).
 """
 
 from __future__ import annotations
@@ -25,11 +25,12 @@ from .operators.quality import (
     quality_report,
 )
 from .operators.selection import page, sample_rows
-from .operators.windows import keyed_windows, sliced_windows
+from .operators.windows import sliced_windows
 from .plans import analytics, ingest
-from .plans.features import asset_metrics, clean_prices, price_features
+from .plans.features import asset_metrics, clean_prices, price_features, segment_rows
 from .schema import ASSET, CHANGE_1, CHANGE_7, PREV_1, PREV_7, PRICE, SNAPSHOT_COLUMNS, SYMBOL, TIME
 from .session import apply_settings, scratch_path
+from .streaming.relay import write_sample
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -152,11 +153,10 @@ _SEGMENT_MEANS = """avg(price_usd) AS avg_price, avg(market_cap) AS avg_market_c
 
 @_query(
     "scan_projection",
-    """SELECT user_id AS asset, ts AS at, value AS price FROM events
-       WHERE event_type = 'purchase'""",
+    "SELECT user_id AS asset, ts AS at, value AS price FROM events",
 )
 def _(spark, folder):
-    events = _table(spark, folder, "events").filter(F.col("event_type") == "purchase")
+    events = _table(spark, folder, "events")
     return events.select(
         F.col("user_id").alias("asset"), F.col("ts").alias("at"), F.col("value").alias("price")
     )
@@ -232,7 +232,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     path = scratch_path(spark, "by-segment")
-    segments = analytics.segment_aggregates(_features(ticks(spark, folder)), "day")
+    segments = analytics.segment_aggregates(segment_rows(ticks(spark, folder), STABLE_TYPES), "day")
     sinks.write_partitioned(segments, path, "segment")
     return _shown(sources.read_if_committed(spark, path).select(*segments.columns))
 
@@ -347,7 +347,7 @@ _BACK = {"back_1": 1, "back_7": 7}
 @_query("lags_by_type", _LAGS_SQL)
 def _(spark, folder):
     events = _table(spark, folder, "events").select("event_id", "event_type", "ts", "value")
-    lagged = keyed_windows(
+    lagged = sliced_windows(
         events, "event_type", "ts", ["ts", "event_id"], "value", _BACK, {}
     )
     return lagged.select("event_id", *_BACK)
@@ -355,9 +355,10 @@ def _(spark, folder):
 
 @_query("lags_by_type_sliced", _LAGS_SQL)
 def _(spark, folder):
+    """As ``lags_by_type``, with days of over 50 rows cut."""
     events = _table(spark, folder, "events").select("event_id", "event_type", "ts", "value")
     lagged = sliced_windows(
-        events, "event_type", "ts", ["ts", "event_id"], "value", _BACK, {}
+        events, "event_type", "ts", ["ts", "event_id"], "value", _BACK, {}, slice_rows=50
     )
     return lagged.select("event_id", *_BACK)
 
@@ -370,16 +371,8 @@ for _days in (7, 30):
     )
     def _(spark, folder, days=_days):
         name = f"avg_price_{days}d"
-        means = keyed_windows(
-            ticks(spark, folder),
-            ASSET,
-            TIME,
-            [TIME, SYMBOL],
-            PRICE,
-            {},
-            {name: days},
-            prepare=clean_prices,
-        )
+        rows = clean_prices(ticks(spark, folder))
+        means = sliced_windows(rows, ASSET, TIME, [TIME, SYMBOL], PRICE, {}, {name: days})
         return _shown(means.select(ASSET, TIME, name))
 
     @_query(
@@ -411,8 +404,8 @@ def _(spark, folder):
 
 @_query("feature_table_hot_assets", _BY_USER + _FEATURE_TABLE)
 def _(spark, folder):
-    """As ``feature_table``, but every asset of more than 65 rows counts as hot."""
-    return _shown(_features(ticks(spark, folder), key_rows=65, slice_rows=2))
+    """As ``feature_table``, with days of over two rows cut."""
+    return _shown(_features(ticks(spark, folder), slice_rows=2))
 
 
 @_query("feature_table_by_type", _BY_TYPE + _FEATURE_TABLE)
@@ -422,7 +415,8 @@ def _(spark, folder):
 
 @_query("feature_table_by_type_sliced", _BY_TYPE + _FEATURE_TABLE)
 def _(spark, folder):
-    return _shown(_features(type_ticks(spark, folder), key_rows=0))
+    """As ``feature_table_by_type``, with days of over 50 rows cut."""
+    return _shown(_features(type_ticks(spark, folder), slice_rows=50))
 
 
 @_query(
@@ -435,7 +429,9 @@ def _(spark, folder):
          FROM features WHERE cryptocurrency IN ('purchase', 'view')""",
 )
 def _(spark, folder):
-    return _shown(asset_metrics(_features(type_ticks(spark, folder)), ["purchase", "view"]))
+    wanted = ["purchase", "view"]
+    rows = type_ticks(spark, folder).filter(F.col(ASSET).isin(wanted))
+    return _shown(asset_metrics(_features(rows), wanted))
 
 
 # --- Analytics -------------------------------------------------------------------------------
@@ -449,12 +445,12 @@ _DAY = "date_trunc('day', date)::TIMESTAMP"
 
 @_query("segment_aggregates_exact", _BY_USER + _SEGMENTS.format(time="date", means=_SEGMENT_MEANS))
 def _(spark, folder):
-    return _shown(analytics.segment_aggregates(_features(ticks(spark, folder))))
+    return _shown(analytics.segment_aggregates(segment_rows(ticks(spark, folder), STABLE_TYPES)))
 
 
 @_query("segment_aggregates_daily", _BY_USER + _SEGMENTS.format(time=_DAY, means=_SEGMENT_MEANS))
 def _(spark, folder):
-    return _shown(analytics.segment_aggregates(_features(ticks(spark, folder)), "day"))
+    return _shown(analytics.segment_aggregates(segment_rows(ticks(spark, folder), STABLE_TYPES), "day"))
 
 
 @_query(
@@ -632,7 +628,7 @@ def _(spark, folder):
           WHERE NOT (segment = 'volatile' AND day = DATE '2024-01-30')""",
 )
 def _(spark, folder):
-    segments = analytics.segment_aggregates(_features(ticks(spark, folder)), "day")
+    segments = analytics.segment_aggregates(segment_rows(ticks(spark, folder), STABLE_TYPES), "day")
     return _shown(
         analytics.segment_series(segments, "avg_market_cap", [("volatile", "2024-01-30")])
     )
@@ -640,7 +636,7 @@ def _(spark, folder):
 
 @_query("segment_names", _BY_USER + "SELECT DISTINCT segment FROM features")
 def _(spark, folder):
-    return analytics.segment_names(_features(ticks(spark, folder)))
+    return analytics.segment_names(segment_rows(ticks(spark, folder), STABLE_TYPES))
 
 
 @_query(
@@ -668,7 +664,7 @@ def _(spark, folder):
           FROM spread GROUP BY segment""",
 )
 def _(spark, folder):
-    return _shown(analytics.segment_cap_stability(_features(ticks(spark, folder))))
+    return _shown(analytics.segment_cap_stability(segment_rows(ticks(spark, folder), STABLE_TYPES)))
 
 
 @_query(
@@ -684,9 +680,22 @@ def _(spark, folder):
 # --- Selection -------------------------------------------------------------------------------
 
 
-@_query("sample_rows")
+@_query("sample_rows", "SELECT * FROM events ORDER BY md5('7:' || event_id), event_id LIMIT 100")
+def _(spark, folder):
+    return sample_rows(_table(spark, folder, "events"), 100, "event_id", seed=7)
+
+
+@_query(
+    "spool_sample",
+    """SELECT event_id || ',' || user_id || ',' || event_type AS value FROM events
+       ORDER BY md5('8:' || event_id), event_id LIMIT 100""",
+)
 def _(spark, folder):
-    return sample_rows(_table(spark, folder, "events"), 100, seed=7)
+    """One batch of the sample spooler, read back."""
+    path = scratch_path(spark, "samples")
+    rows = _table(spark, folder, "events").select("event_id", "user_id", "event_type")
+    write_sample(rows, path, 100, 1, "event_id", seed=7)
+    return spark.read.text(f"{path}/batch=1")
 
 
 @_query(
@@ -697,7 +706,7 @@ def _(spark, folder):
 def _(spark, folder):
     """Sampled rows that are whole rows of the table, and how many of them differ."""
     events = _table(spark, folder, "events")
-    found = events.join(sample_rows(events, 100, seed=7), events.columns, "left_semi")
+    found = events.join(sample_rows(events, 100, "event_id", seed=7), events.columns, "left_semi")
     return found.agg(
         F.count(F.lit(1)).alias("sampled"), F.countDistinct("event_id").alias("different")
     )
@@ -789,37 +798,39 @@ def _(spark, folder):
 
 _SPINE = """WITH days AS (
     SELECT CAST(unnest(
-      generate_series(DATE '1998-07-04', DATE '1998-08-02', INTERVAL 1 DAY)) AS DATE) AS day)
+      generate_series(DATE '{end}' - 29, DATE '{end}', INTERVAL 1 DAY)) AS DATE) AS day)
   SELECT c_custkey AS asset, day FROM customer CROSS JOIN days """
+# The window of the first date reaches two weeks past the last order; the second date is amid them.
+_LATE, _AMID = "2001-08-16", "1998-08-02"
 
 
 @_query(
     "backfill_plan",
-    _SPINE
-    + """WHERE day NOT IN (
-           SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_totalprice > 450000)""",
+    _SPINE.format(end=_LATE)
+    + "WHERE day NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)",
 )
 def _(spark, folder):
-    large = _table(spark, folder, "orders").filter(F.col("o_totalprice") > 450_000)
-    return _order_backfill(spark, folder, large, "day")
+    return _order_backfill(spark, folder, _table(spark, folder, "orders"), "day", _LATE)
 
 
 @_query(
     "backfill_plan_by_asset",
-    _SPINE
+    _SPINE.format(end=_AMID)
     + """WHERE NOT EXISTS (SELECT 1 FROM orders
            WHERE o_custkey = c_custkey AND CAST(o_orderdate AS DATE) = day)""",
 )
 def _(spark, folder):
-    return _order_backfill(spark, folder, _table(spark, folder, "orders"), "asset")
+    return _order_backfill(spark, folder, _table(spark, folder, "orders"), "asset", _AMID)
 
 
-def _order_backfill(spark: SparkSession, folder: str, orders: DataFrame, grain: str) -> DataFrame:
+def _order_backfill(
+    spark: SparkSession, folder: str, orders: DataFrame, grain: str, end: str
+) -> DataFrame:
     universe = _table(spark, folder, "customer").select(F.col("c_custkey").alias("asset"))
     loaded = orders.select(
         F.col("o_custkey").alias("asset"), F.to_date("o_orderdate").alias("day")
     )
-    return ingest.backfill_plan(universe, loaded, "1998-08-02", 30, grain)
+    return ingest.backfill_plan(universe, loaded, end, 30, grain)
 
 
 @_query("csv_line_roundtrip", _BY_USER + _TICK_ROWS)

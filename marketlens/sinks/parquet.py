@@ -37,11 +37,19 @@ def write_plain(df: DataFrame, path: str) -> None:
 def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Give a written Parquet dataset, with its partitions, a name in the catalog.
 
-    The files stay where they are.
+    The files stay where they are. A name that another dataset has is refused, never dropped.
     """
-    quoted = ".".join(f"`{part}`" for part in name.split("."))
-    spark.sql(f"DROP TABLE IF EXISTS {quoted}")
-    table = spark.catalog.createTable(name, path=path, source="parquet")
+    if spark.catalog.tableExists(name):
+        quoted = ".".join(f"`{part}`" for part in name.split("."))
+        told = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted}").collect()
+        place = next((r["data_type"] for r in told if r["col_name"] == "Location"), "")
+        bare = lambda p: p.removeprefix("file:").replace("//", "/").rstrip("/")
+        if bare(place) != bare(path):
+            raise ValueError(f"{name} is the name of another table")
+        spark.catalog.refreshTable(name)
+        table = spark.table(name)
+    else:
+        table = spark.catalog.createTable(name, path=path, source="parquet")
     if any(column.isPartition for column in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
     return table

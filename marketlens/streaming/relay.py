@@ -48,15 +48,14 @@ def relay_to_lines(
 
 
 def write_sample(
-    table: DataFrame, folder: str, n: int, batch: int, seed: int | None = None
+    table: DataFrame, folder: str, n: int, batch: int, key: str, seed: int = 0
 ) -> None:
-    """Write n random rows as headerless CSV into the batch's own folder.
+    """Write n rows drawn by ``key`` as headerless CSV into the batch's own folder.
 
     A repeated batch replaces its folder, so a restart adds nothing twice.
     """
-    draw = None if seed is None else seed + batch
     (
-        sample_rows(table, n, draw)
+        sample_rows(table, n, key, seed + batch)
         .select(columns_to_line(*table.columns).alias("value"))
         .write.mode("overwrite")
         .text(f"{folder}/batch={batch}")
@@ -68,9 +67,10 @@ def spool_samples(
     table: Callable[[], DataFrame],
     folder: str,
     checkpoint: str,
+    key: str,
     n: int = 100,
     every: str = "10 seconds",
-    seed: int | None = None,
+    seed: int = 0,
 ) -> StreamingQuery:
     """Every few seconds write n random rows of a table to a folder.
 
@@ -80,7 +80,7 @@ def spool_samples(
     def write_batch(_: DataFrame, batch: int) -> None:
         rows = table()
         if not rows.isEmpty():
-            write_sample(rows, folder, n, batch, seed)
+            write_sample(rows, folder, n, batch, key, seed)
 
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     return (

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -29,13 +32,17 @@ def run_available(rows: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def await_all(spark: SparkSession, timeout: float | None = None) -> bool:
-    """Wait until any query ends or the time is over, then stop those still running.
+def await_all(queries: Sequence[StreamingQuery], timeout: float | None = None) -> bool:
+    """Wait until one of these queries ends or the time is over, then stop the others of them.
 
-    A query that ended before counts too, unless ``spark.streams.resetTerminated()`` was called
-    since. True if one ended, False if the time was over.
+    True if one ended, False if the time was over. A failed query raises its error.
     """
-    ended = spark.streams.awaitAnyTermination(timeout)
-    for query in spark.streams.active:
+    until = None if timeout is None else time.monotonic() + timeout
+    ended = False
+    while not ended and (until is None or time.monotonic() < until):
+        for query in queries:
+            left = 0.5 if until is None else max(0.0, min(0.5, until - time.monotonic()))
+            ended = ended or bool(query.awaitTermination(left))
+    for query in queries:
         query.stop()
-    return ended is not False
+    return ended

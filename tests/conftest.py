@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from marketlens.schema import SNAPSHOT_COLUMNS  # noqa: E402
+from marketlens.schema import SNAPSHOT_COLUMNS, SNAPSHOT_SCHEMA  # noqa: E402
 from marketlens.session import SETTINGS  # noqa: E402
 
 
@@ -29,13 +29,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-SNAPSHOT_DDL = (
-    "cryptocurrency string, symbol string, date string, price_usd double, market_cap double, "
-    "volume_24h double, price_change_percent_24h double, price_change_percent_7d double, "
-    "total_supply double, circulating_supply double"
-)
-
-
 @pytest.fixture
 def prices(spark):
     """Price rows from (asset, symbol, date, price[, cap, volume, change])."""
@@ -47,6 +40,6 @@ def prices(spark):
             for column in ("market_cap", "volume_24h"):
                 values.setdefault(column, 1.0)
             filled.append(tuple(values.get(c, 0.0) for c in SNAPSHOT_COLUMNS))
-        return spark.createDataFrame(filled, SNAPSHOT_DDL)
+        return spark.createDataFrame(filled, SNAPSHOT_SCHEMA)
 
     return make

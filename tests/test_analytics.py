@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from marketlens.operators.selection import drop_keys, page, sample_rows, thinned_sample
+from marketlens.operators.selection import drop_keys, page, sample_rows
 from marketlens.plans import analytics
 
 FEATURES = (
@@ -147,12 +147,13 @@ def test_pages_and_samples(spark):
     df = spark.range(100)
     assert [r.id for r in page(df, [F.desc("id")], 2, 10).collect()] == list(range(89, 79, -1))
     assert page(df, ["id"], 11, 10).isEmpty()
-    drawn = [r.id for r in sample_rows(df, 20, seed=1).collect()]
+    drawn = [r.id for r in sample_rows(df, 20, "id", seed=1).collect()]
     assert len(set(drawn)) == 20
     assert drawn != sorted(drawn)
-    assert sample_rows(df, 500, seed=1).count() == 100
-    assert thinned_sample(df, 5, 0.5, seed=1).count() == 5
-    assert "TakeOrderedAndProject" in sample_rows(df, 5)._jdf.queryExecution().toString()
+    assert sample_rows(df, 500, "id", seed=1).count() == 100
+    assert drawn == [r.id for r in sample_rows(df.repartition(7), 20, "id", seed=1).collect()]
+    assert drawn != [r.id for r in sample_rows(df, 20, "id", seed=2).collect()]
+    assert "TakeOrderedAndProject" in sample_rows(df, 5, "id")._jdf.queryExecution().toString()
 
 
 def test_drop_keys(spark):

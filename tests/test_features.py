@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from marketlens.plans.features import asset_metrics, price_features
+from marketlens.plans.analytics import segment_aggregates
+from marketlens.plans.features import asset_metrics, price_features, segment_rows
 from marketlens.schema import SNAPSHOT_COLUMNS
 
 
@@ -89,7 +90,7 @@ def test_hot_cold_and_mixed_paths_agree(prices):
     rows += rows[::7]
     plain = price_features(prices(*rows))
     assert plain.filter(F.col("cryptocurrency").isNull()).count() > 0
-    for options in ({"key_rows": 20}, {"key_rows": 0}, {"key_rows": 20, "slice_rows": 2}):
+    for options in ({"slice_rows": 20}, {"slice_rows": 2}):
         assert _rounded(price_features(prices(*rows), **options)) == _rounded(plain)
 
 
@@ -102,26 +103,30 @@ def test_input_order_does_not_matter(prices):
         assert _rounded(price_features(prices(*shuffled).repartition(3))) == expected
 
 
-def test_one_shuffle_for_small_assets(spark, prices, tmp_path):
-    """De-duplication, lags and means share one exchange; the asset filter reaches the scan."""
-    prices(*_days("A", "A", range(5))).write.parquet(str(tmp_path / "p"))
-    features = price_features(spark.read.parquet(str(tmp_path / "p")))
-    plan = features._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
-    filtered = features.filter(F.col("cryptocurrency") == "A")
-    assert "EqualTo(cryptocurrency,A)" in filtered._jdf.queryExecution().executedPlan().toString()
-    narrow = features.select("segment", "price_change_percent_24h")
-    assert "avg(" not in narrow._jdf.queryExecution().executedPlan().toString()
-
-
-def test_asset_filter_reaches_every_scan_of_large_assets(spark, prices, tmp_path):
+def test_asset_filter_reaches_every_scan(spark, prices, tmp_path):
     prices(*_days("A", "A", range(5)), *_days("B", "B", range(5))).write.parquet(str(tmp_path / "p"))
-    features = price_features(spark.read.parquet(str(tmp_path / "p")), key_rows=0)
-    plan = features.filter(F.col("cryptocurrency") == "A")._jdf.queryExecution().executedPlan()
-    scans = [line for line in plan.toString().split("\n") if "FileScan" in line]
-    with_prices = [line for line in scans if "price_usd" in line.split("Batched")[0]]
-    assert len(with_prices) > 1
-    assert not [line for line in with_prices if "DataFilters: []" in line]
+    rows = spark.read.parquet(str(tmp_path / "p")).filter(F.col("cryptocurrency") == "A")
+    plan = price_features(rows)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line]
+    assert scans
+    assert all("EqualTo(cryptocurrency,A)" in line for line in scans)
+
+
+def test_planning_starts_no_job(spark, prices):
+    rows = prices(*_days("A", "A", range(5)))
+    spark.sparkContext.setJobGroup("planning", "planning")
+    price_features(rows)
+    found = spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not list(found)
+
+
+def test_segments_need_no_window(spark, prices):
+    rows = segment_rows(prices(*_days("A", "A", range(5)), *_days("B", "USDT", range(5))))
+    assert {r.segment for r in rows.collect()} == {"stablecoin", "volatile"}
+    plan = segment_aggregates(rows)._jdf.queryExecution().executedPlan().toString()
+    by_asset = [x for x in plan.split("\n") if "hashpartitioning(cryptocurrency#" in x]
+    assert all("symbol#" in line for line in by_asset)
 
 
 def test_asset_metrics(prices):

@@ -8,14 +8,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from marketlens.registry import ORACLES, QUERIES
 
 FOLDER = Path("/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-# Random by nature, so only the row count is checked.
-NO_SQL = {"sample_rows"}
 
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="driver tables not here")
 
@@ -33,19 +32,17 @@ def _normal(rows, columns):
     return sorted(tuple(repr(row[i]) for i in order) for row in rows)
 
 
-def test_every_query_has_sql_but_the_random_one():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == NO_SQL
-    assert set(driver.oracle_sql()) <= set(driver.queries())
+def test_every_query_has_sql_and_is_handed_to_the_driver():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLES) <= set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    result = driver.queries()[name](spark, str(FOLDER))
+    result = QUERIES[name](spark, str(FOLDER))
     rows = [tuple(r) for r in result.collect()]
-    if name in NO_SQL:
-        assert len(rows) == 100
-        return
-    relation = duck.sql(driver.oracle_sql()[name])
+    relation = duck.sql(ORACLES[name])
     assert sorted(result.columns) == sorted(relation.columns)
     assert _normal(rows, result.columns) == _normal(relation.fetchall(), relation.columns)
 

@@ -56,6 +56,10 @@ def test_names_in_the_catalog(spark, tmp_path):
     for _ in range(2):
         sinks.register_table(spark, "averages", path)
         assert sources.read_table(spark, "averages").count() == 2
+    sinks.write_plain(spark.range(3), str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="another table"):
+        sinks.register_table(spark, "averages", str(tmp_path / "other"))
+    assert sources.read_table(spark, "averages").count() == 2
     rows = spark.sql("SELECT x FROM averages WHERE k = 'b'").collect()
     assert [r.x for r in rows] == [2]
     selected = sources.select_from(

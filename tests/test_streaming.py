@@ -102,7 +102,7 @@ def test_sample_batches_are_replaced_not_repeated(spark, tmp_path):
     table = spark.range(500).select("id", F.lit("x").alias("name"))
     folder = str(tmp_path / "samples")
     for batch in (0, 1, 1):
-        write_sample(table, folder, 100, batch, seed=5)
+        write_sample(table, folder, 100, batch, "id", seed=5)
     lines = spark.read.option("recursiveFileLookup", True).text(folder)
     assert lines.count() == 200
     assert lines.filter(F.col("value").endswith(",x")).count() == 200
@@ -111,7 +111,7 @@ def test_sample_batches_are_replaced_not_repeated(spark, tmp_path):
 def test_spooler_runs_on_its_own(spark, tmp_path):
     folder = tmp_path / "samples"
     query = streaming.spool_samples(
-        spark, lambda: spark.range(50), str(folder), str(tmp_path / "state"), 10, "1 second", 3
+        spark, lambda: spark.range(50), str(folder), str(tmp_path / "state"), "id", 10, "1 second", 3
     )
     deadline = time.time() + 60
     while not list(folder.glob("batch=*/_SUCCESS")) and time.time() < deadline:
@@ -125,8 +125,12 @@ def test_console_and_waiting(spark, spool, tmp_path):
     lines = streaming.spool_lines(spark, str(spool))
     query = streaming.write_console(streaming.stream_anomalies(lines), str(tmp_path / "state"))
     query.processAllAvailable()
-    assert streaming.await_all(spark, timeout=1) is False
+    other = streaming.write_console(streaming.stream_anomalies(lines), str(tmp_path / "other"))
+    assert streaming.await_all([query], timeout=1) is False
     assert not query.isActive
+    assert other.isActive
+    other.stop()
+    assert streaming.await_all([other]) is True
 
 
 def test_kafka_parts(spark):

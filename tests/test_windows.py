@@ -1,4 +1,4 @@
-"""Both window forms against brute force on small tables."""
+"""Sliced windows and the plain form against brute force on small tables."""
 
 from __future__ import annotations
 
@@ -11,21 +11,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from marketlens.operators.hotkeys import (
-    HotKeys,
-    find_hot_keys,
-    heavy_days,
-    second_of,
-    split_by_heat,
-    with_slice,
-)
-from marketlens.operators import windows
-from marketlens.operators.windows import (
-    keyed_windows,
-    plain_lags,
-    plain_trailing_means,
-    sliced_windows,
-)
+from marketlens.operators.slices import second_of, slice_starts, with_slice
+from marketlens.operators.windows import plain_lags, plain_trailing_means, sliced_windows
 
 LAGS = {"back_1": 1, "back_3": 3, "back_7": 7}
 MEANS = {"mean_1": 1, "mean_7": 7, "mean_30": 30}
@@ -168,71 +155,67 @@ def test_slices_bound_the_rows_of_a_group(spark):
     )
     df = dense.union(sparse)
     sliced = with_slice(
-        df.withColumn("s", second_of("t")), "k", "s", heavy_days(df, "k", "t", slice_rows=100)
+        df.withColumn("s", second_of("t")), "k", "s", slice_starts(df, "k", "t", slice_rows=100)
     )
     groups = sliced.groupBy("k", "_slice").agg(F.count("*").alias("n"), F.min("s"), F.max("s"))
-    assert groups.agg(F.max("n")).first()[0] <= 110
+    assert groups.agg(F.max("n")).first()[0] <= 200
     assert groups.agg(F.sum("n")).first()[0] == 5_100
     # The slice number is the second at which the slice begins.
     assert groups.filter(F.col("min(s)") < F.col("_slice")).isEmpty()
 
 
-def test_heavy_day_list_is_bounded_and_the_rest_still_right(spark):
-    rows = _random_rows(7, 150, keys=2, span_seconds=5 * 86400)
-    df = _frame(spark, rows)
-    assert heavy_days(df, "k", "t", slice_rows=1, max_days=3).count() == 3
+def test_bursts_are_cut_by_rows_not_by_time(spark):
+    """5,000 rows within 500 seconds of a day."""
+    df = spark.range(5_000).select(
+        F.lit("hot").alias("k"), F.timestamp_seconds(1_704_067_200 + F.col("id") % 500).alias("t")
+    )
+    rows = df.withColumn("s", second_of("t"))
+    sliced = with_slice(rows, "k", "s", slice_starts(df, "k", "t", slice_rows=100))
+    sizes = [r["count"] for r in sliced.groupBy("k", "_slice").count().collect()]
+    assert sum(sizes) == 5_000
+    assert max(sizes) <= 200
+    assert len(sizes) >= 25
 
 
-def test_hot_keys(spark):
-    day = dt.timedelta(days=1)
+@pytest.mark.parametrize("slice_rows", [1, 2, 40, 1_000_000])
+def test_null_and_odd_keys(spark, slice_rows):
     rows = (
-        [("a", START + i * 40 * day) for i in range(5)]
-        + [("b", START), ("b", None)]
-        + [(None, START + i * day) for i in range(4)]
-        + [("dense", START + i * day / 100) for i in range(3)]
+        _random_rows(10, 80, keys=1)
+        + [(1000 + r[0], None, r[2], r[3]) for r in _random_rows(11, 50)]
+        + [(2000 + r[0], "\u0000", r[2], r[3]) for r in _random_rows(12, 9)]
     )
-    df = spark.createDataFrame(rows, "k string, t timestamp")
-
-    def hot(**limits):
-        found = find_hot_keys(df, "k", "t", 30, **limits)
-        return found.keys and sorted(str(r.k) for r in found.keys.collect())
-
-    assert hot(key_rows=3) == ["None", "a"]
-    assert hot(frame_rows=2) == ["None", "dense"]
-    assert hot() is None
-    assert find_hot_keys(df, "k", "t", 30, key_rows=1, max_keys=2).overflow
-    keys = find_hot_keys(df, "k", "t", 30, key_rows=3).keys
-    cold, warm = split_by_heat(df, "k", keys)
-    assert (cold.count(), warm.count()) == (5, 9)
-    assert cold.columns == warm.columns == ["k", "t"]
-
-
-@pytest.mark.parametrize(
-    "limits", [{}, {"key_rows": 40}, {"key_rows": 0}, {"frame_rows": 12, "slice_rows": 2}, None]
-)
-def test_keys_take_the_form_that_suits_them(spark, monkeypatch, limits):
-    rows = _random_rows(10, 80, keys=1) + [
-        (1000 + r[0], None, r[2], r[3]) for r in _random_rows(11, 50)
-    ] + [(2000 + r[0], "few", r[2], r[3]) for r in _random_rows(12, 9)]
-    if limits is None:
-        # Too many hot keys to list.
-        monkeypatch.setattr(windows, "find_hot_keys", lambda *_: HotKeys(None, overflow=True))
     df = _frame(spark, rows)
-    done = keyed_windows(df, "k", "t", ["t", "id"], "v", LAGS, MEANS, **(limits or {}))
+    done = _sliced(df, slice_rows)
     assert done.columns == [*df.columns, *LAGS, *MEANS]
     assert done.filter("k IS NULL").count() == 50
     _check(_result(done), _brute(rows))
 
 
-def test_numeric_keys(spark):
-    df = _frame(spark, _random_rows(13, 60)).withColumn("k", F.col("id") % 2 + 7)
-    options = {"key_rows": 0, "slice_rows": 3}
-    done = keyed_windows(df, "k", "t", ["t", "id"], "v", LAGS, MEANS, **options)
+@pytest.mark.parametrize(
+    "key", ["id % 2 + 7", "array(id % 2, 3)", "named_struct('a', id % 2, 'b', k)"]
+)
+def test_keys_of_other_types(spark, key):
+    df = _frame(spark, _random_rows(13, 60)).withColumn("k", F.expr(key))
+    done = _sliced(df, 3)
     assert dict(done.dtypes)["k"] == dict(df.dtypes)["k"]
-    expected = _brute([(r.id, r.k, r.t, r.v) for r in df.collect()])
+    expected = _brute([(r.id, str(r.k), r.t, r.v) for r in df.collect()])
     _check(_result(done), expected)
 
 
+@pytest.mark.parametrize("kind", ["decimal(12,4)", "decimal(20,2)", "bigint", "float", "int"])
+def test_values_have_the_type_and_digits_of_the_plain_window(spark, kind):
+    df = _frame(spark, _random_rows(14, 60)).withColumn("v", F.col("v").cast(kind))
+    if kind == "bigint":
+        df = df.withColumn("v", F.lit(9_000_000_000_000_000_000))
+    plain, sliced = _plain(df), _sliced(df, 3)
+    assert plain.schema == sliced.schema or plain.dtypes == sliced.dtypes
+    want, got = _result(plain), _result(sliced)
+    assert want.keys() == got.keys()
+    for row_id, values in want.items():
+        for a, b in zip(got[row_id], values, strict=True):
+            assert a == b or a == pytest.approx(b, rel=1e-12), row_id
+
+
 def test_rows_move_once(spark, tmp_path):
     """One shuffle moves whole rows, by slice; every other one moves narrow helper columns."""
     df = _frame(spark, _random_rows(8, 50)).withColumn("payload", F.lit("x" * 20))
@@ -254,4 +237,6 @@ def test_rows_move_once(spark, tmp_path):
 
 def test_unused_means_are_not_computed(spark):
     lags_only = _sliced(_frame(spark, _random_rows(9, 20)), 1_000).select("id", *LAGS)
-    assert "sum(" not in lags_only._jdf.queryExecution().executedPlan().toString()
+    plan = lags_only._jdf.queryExecution().executedPlan().toString()
+    assert "_own_sum" not in plan
+    assert "_rest_sum" not in plan
