@@ -22,6 +22,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -185,27 +187,31 @@ def decode(ids: Column, vocabulary: Vocabulary) -> Column:
     return F.pandas_udf(decoded, "string")(ids)
 
 
-def encode_and_check(text: Column, vocabulary: Vocabulary) -> Column:
-    """The ids of a text column without nulls, and whether they decode to the text again."""
-
-    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder, table = Encoder(vocabulary), piece_bytes(vocabulary)
-        for texts in batches:
-            ids, same = [], []
-            for run in _runs(texts):
-                found = encoder.encode(run)
-                ids += found
-                same += [text_of(i, table) == t for i, t in zip(found, run, strict=True)]
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "round_trip": pd.Series(same, dtype=bool)})
-
-    both.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return F.pandas_udf(both, "ids array<int>, round_trip boolean")(text)
-
-
 def encoded_rows(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """``doc_id, ids, n_ids, round_trip`` (whether decoding gives the text back) per document."""
+    """``doc_id, ids, n_ids, round_trip`` (whether decoding gives the text back) per document.
+
+    Ids leave the task run by run, so a task holds the words and ids of one run at a time.
+    """
     vocabulary = load_vocabulary(path)
-    return (
-        docs.select("doc_id", encode_and_check(whole_text(), vocabulary).alias("found"))
-        .select("doc_id", "found.ids", F.size("found.ids").cast("long").alias("n_ids"), "found.round_trip")
-    )
+    names = ["doc_id", "ids", "n_ids", "round_trip"]
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, table = Encoder(vocabulary), piece_bytes(vocabulary)
+        for batch in batches:
+            column = batch.column("text")
+            sizes = pc.binary_length(column).to_numpy()
+            run = np.cumsum(sizes) // RUN_CHARS
+            starts = np.flatnonzero(np.diff(run, prepend=-1))
+            for low, high in zip(starts.tolist(), [*starts[1:].tolist(), len(sizes)], strict=True):
+                texts = column.slice(low, high - low).to_pylist()
+                ids = encoder.encode(texts)
+                same = [text_of(i, table) == t for i, t in zip(ids, texts, strict=True)]
+                counts = np.array([len(i) for i in ids], np.int64)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+                rows = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids), pa.int32()))
+                doc_ids = batch.column("doc_id").slice(low, high - low)
+                yield pa.RecordBatch.from_arrays([doc_ids, rows, pa.array(counts), pa.array(same)], names=names)
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, ids array<int>, n_ids long, round_trip boolean"
+    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(encoded, schema)
