@@ -42,6 +42,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def chosen_texts(texts: DataFrame, n: int, seed: str) -> list[str]:
+    """At most ``n`` texts of ``doc_id, text``, chosen by a hash of the id.
+
+    The ids are chosen first; texts come to the driver for the chosen ids alone.
+    """
+    rows = texts.withColumn("order", F.xxhash64("doc_id", F.lit(seed)))
+    ids = rows.select("order").orderBy("order").limit(n).distinct()
+    found = rows.join(F.broadcast(ids), "order").orderBy("order", "doc_id", "text").limit(n)
+    return [r["text"] for r in found.select("text").collect()]
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, unless they find it as the driver does."""
     root = str(Path(__file__).resolve().parents[2])

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import whole_text
+from marketlens.llm.common import chosen_texts, whole_text
 
 TRAIN_HITS, TRAIN_OTHERS, TRAIN_CHARS = 200, 300, 20_000
 STEPS, RATE, DROP = 40, 0.5, 0.4
@@ -344,14 +344,10 @@ def train(texts: list[str], seed: int = 0) -> Field:
 
 def fit_field(docs: DataFrame) -> Field:
     """Train on a bounded choice of texts; see the module for the bounds."""
-    texts = (
-        docs.select("doc_id", whole_text().alias("text"))
-        .where(F.char_length("text").between(1, TRAIN_CHARS))
-        .withColumn("order", F.xxhash64("doc_id", F.lit("secret")))
-    )
-    hits = texts.where(F.col("text").rlike(_LIKELY)).orderBy("order", "doc_id", "text").limit(TRAIN_HITS)
-    others = texts.orderBy("order", "doc_id", "text").limit(TRAIN_OTHERS)
-    return train([r["text"] for r in [*hits.collect(), *others.collect()]])
+    texts = docs.select("doc_id", whole_text().alias("text"))
+    texts = texts.where(F.char_length("text").between(1, TRAIN_CHARS))
+    hits = chosen_texts(texts.where(F.col("text").rlike(_LIKELY)), TRAIN_HITS, "hits")
+    return train([*hits, *chosen_texts(texts, TRAIN_OTHERS, "others")])
 
 
 def field_spans(texts: list[str], data: list[bytes], field: Field) -> list[list[tuple[int, int]]]:
