@@ -241,3 +241,53 @@ def test_attention_learns_and_sums_to_one(monkeypatch):
     total = sum(10 ** (attention.log10_scores(model, [np.append(start, i)])[0]) for i in range(50))
     ends = attention.log10_scores(model, [start])[0]
     assert np.isfinite(total) and total + 10**ends <= 1.0
+
+
+@needs_tokenizers
+def test_id_is_predicted_from_the_one_before(docs):
+    # "b" and "d" are as frequent as each other; only what stands before tells them apart.
+    rows = [(i, " ".join(["mountain river stone valley"] * 20) + " end" * (i % 3)) for i in range(60)]
+    rows += [(1_000 + i, " ".join(["mountain river"] * 10)) for i in range(20)]
+    rows += [(2_000 + i, " ".join(["mountain valley"] * 10)) for i in range(20)]
+    out = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    train = [r for r in rows if r[0] < 1_000]
+    held = [r for r in rows if r[0] >= 1_000 and out(r[0])]
+    spread = [(5_000 + i, " ".join(f"w{i * 40 + j}" for j in range(40))) for i in range(60)]
+    got = by_id(lm_score.scored_rows(docs(*train, *spread, *held)))
+    good = [got[i]["score"] for i, t in held if "river" in t]
+    bad = [got[i]["score"] for i, t in held if "valley" in t]
+    assert good and bad and min(good) > max(bad) + 5
+
+
+@needs_tokenizers
+def test_pair_counts_and_shares_sum_to_one(docs):
+    ranks = Path(lm_score.VOCABULARY).read_bytes()
+    encoding = lm_score.tokenizer(ranks)
+    size = encoding.n_vocab + 1
+    texts = ["red apple green pear", "red pear", "", None, "green apple " * 9]
+    rows = [(i, t) for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = lm_score.corpus_counts(docs(*rows), ranks).cache()
+    want = Counter()
+    for _, t in rows:
+        ids = [size - 1, *encoding.encode_ordinary(t or ""), size - 1]
+        want.update(a * size + b for a, b in zip(ids, ids[1:], strict=False))
+    found = {r["key"]: r["n"] for r in counts.where(f"kind = {lm_score.PAIR_COUNT}").collect()}
+    assert found == dict(want)
+    ids = np.bincount([k % size for k in want.elements()], minlength=size).astype(float)
+    of_class, share = attention.classes_of(ids)
+    after = lm_score.after_counts(counts, of_class)
+    before = next(iter(want)) // size
+    c = np.array([want[before * size + i] for i in range(size)])
+    p = (c + lm_score.PRIOR * 10.0**share) / (after[before, of_class] + lm_score.PRIOR)
+    assert np.bincount(of_class, p, attention.CLASSES) == pytest.approx(1, abs=1e-4)
+
+
+def test_short_texts_train_the_weights(monkeypatch):
+    monkeypatch.setattr(attention, "STEPS", 200)
+    texts = [np.array([k, k + 20, k]) for k in range(20)] * 10
+    counts = np.bincount(np.concatenate(texts), minlength=51).astype(float)
+    counts[50] = len(texts)
+    model = attention.train(texts, counts, edge=50)
+    monkeypatch.setattr(attention, "STEPS", 0)
+    blank = attention.train(texts, counts, edge=50)
+    assert attention.log10_scores(model, texts).sum() > 0.9 * attention.log10_scores(blank, texts).sum()
