@@ -4,7 +4,9 @@ All rolling word pairs of a document are hashed and joined to the pairs of the l
 (a fixed list, so it is sent to all tasks). A hit at word p of the document and q of the template
 votes for the diagonal p - q. Votes are summed per document, template and diagonal; diagonals of a
 template that lie within ``SLACK`` of each other merge, so a few inserted or missing words do not
-split a license; and a merged span counts if its verified pairs cover ``COVER`` of the template.
+split a license; and a merged span counts if the template's places that it hits, each counted once,
+cover ``COVER`` of the template and have its telling words. Telling words are those that tell the
+license from others of like wording: all their pairs must be hit, of a single word one pair.
 Each hit compares the two words themselves, so a hash collision is no vote.
 
 Base phrases need every pair on one diagonal: their words stand consecutively there.
@@ -31,19 +33,34 @@ BASE = {
     "all rights reserved": "reserved",
 }
 
-# Opening words of well-known licenses, with the label each gives.
+# Opening words, short notices and sentences of the bodies of well-known licenses, with
+# the label and the telling words of each.
 TEMPLATES = {
-    "licensed under the apache license version 2 0": "apache",
-    "you may not use this file except in compliance with the license": "apache",
-    "licensed under cc by nc 4 0": "cc-by-nc",
-    "licensed under a creative commons attribution 4 0 international license": "cc-by",
-    "this work is licensed under the gnu general public license version 3": "gpl",
-    "you can redistribute it and or modify it under the terms of the gnu general public license": "gpl",
-    "under the terms of the gnu lesser general public license": "lgpl",
-    "permission is hereby granted free of charge to any person obtaining a copy": "mit",
-    "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
-    "this source code form is subject to the terms of the mozilla public license": "mpl",
-    "copyright all rights reserved no part may be reproduced without permission": "reserved",
+    "licensed under the apache license version 2 0": ("apache", "apache license"),
+    "you may not use this file except in compliance with the license": ("apache", "compliance"),
+    "licensed under cc by nc 4 0": ("cc-by-nc", "by nc"),
+    "licensed under a creative commons attribution 4 0 international license": ("cc-by", "attribution 4"),
+    "this work is licensed under the gnu general public license version 3": ("gpl", "gnu general"),
+    "you can redistribute it and or modify it under the terms of the gnu general public license": ("gpl", "gnu general"),
+    "under the terms of the gnu lesser general public license": ("lgpl", "lesser"),
+    "permission is hereby granted free of charge to any person obtaining a copy": ("mit", "hereby granted"),
+    "redistribution and use in source and binary forms with or without modification are permitted": ("bsd", "redistribution"),
+    "this source code form is subject to the terms of the mozilla public license": ("mpl", "mozilla"),
+    "copyright all rights reserved no part may be reproduced without permission": ("reserved", "reserved"),
+    "under the mit license": ("mit", "mit license"),
+    "spdx license identifier mit": ("mit", "identifier mit"),
+    "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": ("mit", "permission notice"),
+    "under the apache license": ("apache", "apache license"),
+    "spdx license identifier apache 2 0": ("apache", "identifier apache"),
+    "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis": ("apache", "as is basis"),
+    "under the bsd license": ("bsd", "bsd license"),
+    "under the bsd 2 clause license": ("bsd", "bsd 2 clause"),
+    "under the bsd 3 clause license": ("bsd", "bsd 3 clause"),
+    "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": ("bsd", "must retain"),
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer": ("bsd", "must reproduce"),
+    "under the gnu lesser general public license": ("lgpl", "lesser"),
+    "under the mozilla public license": ("mpl", "mozilla public"),
+    "licensed under a creative commons attribution noncommercial 4 0 international license": ("cc-by-nc", "attribution noncommercial"),
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -67,13 +84,29 @@ def template_pairs(spark: SparkSession) -> DataFrame:
     return pairs.withColumn("hash", F.when(F.col("template") < 0, F.lit(0).cast("long")).otherwise(F.xxhash64("first", "second")))
 
 
+def telling_places(phrase: str, telling: str) -> tuple[list[int], int]:
+    """Pairs of the phrase with its telling words, and how many of them a span must hit."""
+    words, tell = phrase.split(), telling.split()
+    at = next(i for i in range(len(words)) if words[i : i + len(tell)] == tell)
+    if len(tell) > 1:
+        return list(range(at, at + len(tell) - 1)), len(tell) - 1
+    return [q for q in (at - 1, at) if 0 <= q < len(words) - 1], 1
+
+
 def template_facts(spark: SparkSession) -> DataFrame:
-    rows = [(i, label, len(p.split()) - 1, i < len(BASE)) for i, (p, label) in enumerate([*BASE.items(), *TEMPLATES.items()])]
-    return spark.createDataFrame(rows, "template int, label string, pairs int, is_base boolean")
+    rows = [(i, label, len(p.split()) - 1, True, [], 0) for i, (p, label) in enumerate(BASE.items())]
+    for i, (p, (label, telling)) in enumerate(TEMPLATES.items(), len(BASE)):
+        rows.append((i, label, len(p.split()) - 1, False, *telling_places(p, telling)))
+    return spark.createDataFrame(
+        rows, "template int, label string, pairs int, is_base boolean, telling array<int>, least_telling int"
+    )
 
 
 def diagonal_votes(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, n_words, template, diagonal, votes``; one row with template -1 per document."""
+    """``row, doc_id, n_words, template, diagonal, first_q, places``; one row with template -1 per document.
+
+    ``places``: the template's places that were hit on the diagonal, at most as many as it has.
+    """
     spark = docs.sparkSession
     words = docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", license_words(whole_text()).alias("words")
@@ -97,7 +130,7 @@ def diagonal_votes(docs: DataFrame) -> DataFrame:
     )
     diagonal = F.when(F.col("template") < 0, F.lit(0)).otherwise(F.col("place") - 1 - F.col("q"))
     return hits.groupBy("row", "doc_id", "n_words", "template", diagonal.alias("diagonal")).agg(
-        F.count("*").alias("votes"), F.min("q").alias("first_q"), F.max("q").alias("last_q")
+        F.min("q").alias("first_q"), F.collect_set("q").alias("places")
     )
 
 
@@ -110,12 +143,16 @@ def license_spans(votes: DataFrame) -> DataFrame:
     far = F.coalesce(F.col("is_base") | (F.col("diagonal") - F.lag("diagonal").over(near) > SLACK), F.lit(True))
     merged = (
         rows.withColumn("span", F.sum(far.cast("int")).over(near))
-        .groupBy("row", "doc_id", "n_words", "template", "label", "is_base", "pairs", "span")
-        .agg(F.sum("votes").alias("votes"), F.min(F.col("diagonal") + F.col("first_q")).alias("start"))
-        .withColumn("cover", F.least(F.lit(1.0), F.col("votes") / F.col("pairs")))
+        .groupBy("row", "doc_id", "n_words", "template", "label", "is_base", "pairs", "telling", "least_telling", "span")
+        .agg(
+            F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
+            F.min(F.col("diagonal") + F.col("first_q")).alias("start"),
+        )
+        .withColumn("cover", F.size("places") / F.col("pairs"))
     )
+    told = F.size(F.array_intersect("places", "telling")) >= F.col("least_telling")
     least = F.when(F.col("is_base"), F.lit(1.0)).otherwise(F.lit(COVER))
-    return merged.where(F.col("template").eqNullSafe(-1) | (F.col("cover") >= least))
+    return merged.where(F.col("template").eqNullSafe(-1) | ((F.col("cover") >= least) & told))
 
 
 def license_rows(docs: DataFrame) -> DataFrame:

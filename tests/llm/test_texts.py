@@ -73,6 +73,24 @@ def test_license_places_match_brute_force(docs, odd_rows):
     assert licenses.license_rows(docs()).count() == 0
 
 
+def test_license_labels_need_telling_words_and_distinct_places(docs):
+    texts = {
+        "Released under the MIT License.": "mit",
+        "under the terms of the GNU General Public License": "gpl",
+        "under the terms of the GNU Lesser General Public License": "gpl,lgpl",
+        "licensed under CC BY 4.0": "cc-by",
+        "licensed under CC BY-SA 4.0": "cc-by",
+        "licensed under CC BY-NC 4.0": "cc-by,cc-by-nc",
+        "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+        "under the MIT campus": "",
+        "the license, the license, the license, in compliance with compliance with": "",
+        "the above copyright notice and this permission notice shall be included in all copies": "mit",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions": "bsd",
+    }
+    got = by_id(licenses.license_rows(docs(*enumerate(texts))))
+    assert {t: got[i]["labels"] for i, t in enumerate(texts)} == texts
+
+
 # --- Fingerprints ----------------------------------------------------------------------------
 
 
