@@ -29,15 +29,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links join, the one with the smallest id stays.
+    """Of rows that links join, one stays: that of the smallest id, null ids last, then the first row.
 
-    A row's fate follows its id: rows that repeat an id stay or go together. Rows without an id go if
-    they are linked with a row that has one.
+    A row stands for itself, whatever its id: rows that repeat an id or have none are kept or go by
+    their own texts. Rows without words link with none and stay.
     """
     ship(spark)
-    linked = stored(ngram_join.linked(docs), "linked")
-    drop = linked.where("NOT doc_id <=> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(drop, F.expr("doc_id <=> __id"), "left_anti").select(*docs.columns)
+    # Written once, so that a row has the same key in every read.
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    linked = ngram_join.linked(rows.select(F.col("__row").alias("doc_id"), "text"))
+    groups = linked.select(F.col("doc_id").alias("__row"), "component_id").join(rows.select("__row", "doc_id"), "__row")
+    groups = stored(groups, "linked")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
+    first = groups.groupBy("component_id").agg(F.min(order)["__row"].alias("__row"))
+    drop = groups.join(first, "__row", "left_anti").select("__row")
+    return rows.join(drop, "__row", "left_anti").select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

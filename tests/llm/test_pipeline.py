@@ -50,3 +50,18 @@ def test_stages_do_their_work(spark, tmp_path):
     assert max(mixed.values()) <= 3
     assert all(r["round_trip"] for r in kept["sentencepiece"].collect())
     assert kept["sentencepiece"].count() == kept["source_mix"].count()
+
+
+def test_one_row_of_each_component_stays(spark, docs):
+    text = lambda name: " ".join(f"{name}{i}" for i in range(60))
+    rows = [
+        (1, text("a")), (None, text("a") + " more"),  # a null id linked with an id
+        (None, text("b")),  # a clean null id
+        (None, text("c")), (None, text("c")),  # null ids that link with each other only
+        (2, text("d")), (2, text("d")),  # a repeated row
+        (3, text("a")), (3, text("e")),  # one id: a copy of a smaller one, and a clean text
+        (None, None), (4, ""), (4, ""),
+    ]
+    got = corpus_pipeline.near_dedup(spark, docs(*rows), SMALL)
+    want = [rows[i] for i in (0, 2, 3, 5, 8, 9, 10, 11)]
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter(want)
