@@ -1,15 +1,18 @@
 """Find secrets: fixed patterns, and a linear-chain conditional random field over tokens.
 
 Tokens are runs of bytes between white space and delimiters; each delimiter is a token. The field
-tags the tokens of a line as begin, inside or outside of a secret; a line of over ``SEQUENCE``
-tokens is cut into sequences of so many, whose features still look across the cut. What a token scores for a tag
+tags the tokens of a line as begin, inside or outside of a secret. While it learns, a line of over
+``SEQUENCE`` tokens is cut into sequences of so many, whose features still look across the cut; when
+it scans, such a line is decoded in sequences that overlap by ``MARGIN`` tokens on either side, and
+tags are taken from their middles, so a secret at a cut is one span. What a token scores for a tag
 comes from its shape, its word, the words and shapes around it, and features of the whole text;
 lines are decoded by Viterbi, many at once in numpy.
 
 The field is trained here by maximum likelihood on at most ``TRAIN_HITS`` texts with a match of the
 patterns and ``TRAIN_OTHERS`` texts at large, chosen by a hash of the id, none over ``TRAIN_CHARS``
 characters; the secrets that the patterns find are its labels. Words are dropped at random while it
-learns, so it knows secrets by their shape as well and adds spans that no pattern gives. Scanning
+learns, so it knows secrets by their shape as well and adds spans that no pattern gives. A span that
+reaches further than a pattern's match stands beside it; one that a match covers is left out. Scanning
 has no bound: whole texts, all rows.
 
 Null and empty texts have no spans. Other columns are ignored. An empty table gives an empty result.
@@ -32,6 +35,7 @@ from marketlens.llm.common import chosen_texts, whole_text
 TRAIN_HITS, TRAIN_OTHERS, TRAIN_CHARS = 200, 300, 20_000
 STEPS, RATE, DROP = 40, 0.5, 0.4
 SEQUENCE = 128
+MARGIN = 32
 RUN_BYTES = 4_000_000
 WORD_BITS = 12
 SHAPES = 8 * 32
@@ -113,12 +117,13 @@ _MIX = np.random.default_rng(7).integers(1, 2**63, 256).astype(np.uint64) | np.u
 
 @dataclass
 class Tokens:
-    """Tokens of many texts: byte ranges, the text and sequence of each, and its feature numbers."""
+    """Tokens of many texts: byte ranges, the text, sequence and whole line of each, and its feature numbers."""
 
     start: np.ndarray
     end: np.ndarray
     text: np.ndarray
     line: np.ndarray
+    whole: np.ndarray
     features: np.ndarray
 
 
@@ -146,7 +151,7 @@ def tokenized(texts: list[bytes]) -> Tokens:
     line = np.cumsum(kind == 2)[start]
     n = len(start)
     if not n:
-        return Tokens(start, end, text, line, np.zeros((0, 8), np.int64))
+        return Tokens(start, end, text, line, line, np.zeros((0, 8), np.int64))
 
     counts = []
     for chars in _SETS:
@@ -205,7 +210,7 @@ def tokenized(texts: list[bytes]) -> Tokens:
     )
     begins = np.maximum.accumulate(np.where(first, np.arange(n), 0))
     cut = first | ((np.arange(n) - begins) % SEQUENCE == 0)
-    return Tokens(start, end, text, np.cumsum(cut), features + _AT[:-1])
+    return Tokens(start, end, text, np.cumsum(cut), line, features + _AT[:-1])
 
 
 @dataclass(frozen=True)
@@ -257,6 +262,22 @@ def decode(field: Field, features: np.ndarray, line: np.ndarray) -> np.ndarray:
     return tags
 
 
+def decode_lines(field: Field, features: np.ndarray, line: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """The tags of whole lines: sequences (``line``) are decoded with ``MARGIN`` tokens around them."""
+    if not len(line):
+        return np.zeros(0, np.int8)
+    first, length = _lines(line)
+    line_first, line_length = _lines(whole)
+    at = np.searchsorted(line_first, first, side="right") - 1
+    low = np.maximum(first - MARGIN, line_first[at])
+    high = np.minimum(first + length + MARGIN, (line_first + line_length)[at])
+    size = high - low
+    number = np.repeat(np.arange(len(first)), size)
+    place = np.arange(len(number)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
+    own = (place >= first[number]) & (place < (first + length)[number])
+    return decode(field, features[place], number)[own]
+
+
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis)
     return top + np.log(np.exp(x - np.expand_dims(top, axis)).sum(axis))
@@ -353,12 +374,15 @@ def fit_field(docs: DataFrame) -> Field:
 def field_spans(texts: list[str], data: list[bytes], field: Field) -> list[list[tuple[int, int]]]:
     """Per text the tagged spans in code points."""
     tokens = tokenized(data)
-    tags = decode(field, tokens.features, tokens.line)
+    tags = decode_lines(field, tokens.features, tokens.line, tokens.whole)
     out: list[list[tuple[int, int]]] = [[] for _ in texts]
     offsets = np.cumsum([0, *(len(d) + 1 for d in data)])
-    for i in np.flatnonzero(tags == BEGIN):
+    same = np.append(False, tokens.whole[1:] == tokens.whole[:-1])[: len(tags)]
+    # Where the tags of two sequences meet, a secret may go on that the one before did not see.
+    opens = (tags == INSIDE) & ~(same & (np.append(OUTSIDE, tags[:-1]) != OUTSIDE)[: len(tags)])
+    for i in np.flatnonzero((tags == BEGIN) | opens):
         j = i
-        while j + 1 < len(tags) and tags[j + 1] == INSIDE and tokens.line[j + 1] == tokens.line[i]:
+        while j + 1 < len(tags) and tags[j + 1] == INSIDE and same[j + 1]:
             j += 1
         which = int(tokens.text[i])
         low, high = int(tokens.start[i] - offsets[which]), int(tokens.end[j] - offsets[which])
@@ -373,7 +397,7 @@ def spans_of(texts: list[str], field: Field) -> list[tuple]:
     rows = []
     for text, raw, tagged in zip(texts, data, field_spans(texts, data, field), strict=True):
         base = base_matches(text, raw)
-        extra = [(s, e) for s, e in tagged if not any(s < be and bs < e for bs, _, be, _, _ in base)]
+        extra = [(s, e) for s, e in tagged if not any(bs <= s and e <= be for bs, _, be, _, _ in base)]
         spans = [(s, KINDS.index(k), e) for s, k, e, _, _ in base]
         text_of = lambda found: ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(found))
         kinds = [k for _, k, _, _, _ in base]

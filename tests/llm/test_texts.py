@@ -216,6 +216,34 @@ def test_field_finds_secrets_that_no_pattern_gives():
     assert [text[a:b] for a, b in spans] == [value]
 
 
+def test_spans_that_reach_past_a_pattern_stay():
+    text = "password: Abcd1234!xK9$z end"
+    whole = (text.index("Abcd"), text.index(" end"))
+    tagged = {"spans": [whole, (10, 18)]}
+    original = secret_spans.field_spans
+    secret_spans.field_spans = lambda texts, data, field: [tagged["spans"]]
+    try:
+        ((*_, spans),) = secret_spans.spans_of([text], None)
+    finally:
+        secret_spans.field_spans = original
+    assert spans == f"assign:0:18,crf:{whole[0]}:{whole[1]}"
+
+
+def test_secret_across_the_cut_of_a_long_line_is_one_span():
+    # Tags depend on the shape alone: upper case begins or goes on, all else is outside.
+    weights = np.zeros((secret_spans.N_FEATURES, 3), np.float32)
+    text = "ab " * (secret_spans.SEQUENCE - 1) + "XY ZQ" + " ab" * 300
+    tokens = secret_spans.tokenized([text.encode()])
+    upper, lower = tokens.features[secret_spans.SEQUENCE, 0], tokens.features[0, 0]
+    weights[lower, secret_spans.OUTSIDE] = 9
+    weights[upper, [secret_spans.BEGIN, secret_spans.INSIDE]] = 9
+    moves = np.zeros((3, 3))
+    moves[secret_spans.BEGIN, secret_spans.INSIDE] = 3
+    moves[secret_spans.OUTSIDE, secret_spans.INSIDE] = secret_spans.NEVER
+    (spans,) = secret_spans.field_spans([text], [text.encode()], secret_spans.Field(weights, moves))
+    assert [text[a:b] for a, b in spans] == ["XY ZQ"]
+
+
 # --- Language models -------------------------------------------------------------------------
 
 
