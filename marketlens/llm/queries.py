@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import exact, fingerprints, licenses, lines, lm_score, mixing, ngram_join, pieces, quality, secret_spans
+from marketlens.llm import centroids, exact, fingerprints, licenses, lines, lm_score, mixing, ngram_join, pieces, quality, secret_spans
 from marketlens.llm.common import ship, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,3 +135,61 @@ def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_lm_score")
 def op2_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.scored_rows(table(spark, folder, "documents"))
+
+
+def _nearest_sql(step: int) -> str:
+    """``assigned{step}``: the nearest centroid of every vector among ``centroid{step}``."""
+    return f"""
+    assigned{step} AS (
+        SELECT vec_id, row, v, unnest(best, recursive := true) FROM (
+            SELECT x.vec_id, x.row, any_value(x.v) AS v,
+                   min({{'distance': list_sum(list_transform(list_zip(x.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT,
+                        'cluster': c.cluster}}) AS best
+            FROM vec AS x, centroid{step} AS c
+            GROUP BY x.vec_id, x.row
+        )
+    )"""
+
+
+def _moved_sql(step: int) -> str:
+    """``centroid{step + 1}``: floors of the means, or the centroid where it has no vector."""
+    return f"""
+    part{step} AS (
+        SELECT cluster, i, sum(v[i])::HUGEINT AS s, count(*)::HUGEINT AS n
+        FROM assigned{step}, generate_series(1, 64) AS place(i) GROUP BY cluster, i
+    ), mean{step} AS (
+        SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v
+        FROM part{step} GROUP BY cluster
+    ), centroid{step + 1} AS (
+        SELECT c.cluster, coalesce(m.v, c.v) AS v
+        FROM centroid{step} AS c LEFT JOIN mean{step} AS m USING (cluster)
+    )"""
+
+
+_CLUSTER_SQL = (
+    r"""
+    WITH vec AS (
+        SELECT vec_id, row_number() OVER () AS row, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+        FROM embeddings
+        WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64
+    ), centroid0 AS (
+        SELECT (row_number() OVER (ORDER BY hash, v) - 1)::INTEGER AS cluster, v
+        FROM (SELECT sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS hash, v FROM vec)
+        ORDER BY hash, v LIMIT 16
+    ),"""
+    + ",".join(_nearest_sql(i) + "," + _moved_sql(i) for i in range(3))
+    + ","
+    + _nearest_sql(3)
+    + """
+    SELECT a.vec_id, a.cluster, a.distance,
+           (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+           (sum(a.distance) OVER ())::BIGINT AS inertia,
+           sha256(array_to_string(c.v, ',')) AS centroid_sha256
+    FROM assigned3 AS a JOIN centroid3 AS c USING (cluster)
+    """
+)
+
+
+@query("op11_centroid_clustering", _CLUSTER_SQL)
+def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster_rows(table(spark, folder, "embeddings"))
