@@ -8,7 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import centroids, exact, fingerprints, licenses, lines, lm_score, mixing, ngram_join, pieces, quality, secret_spans
+from marketlens.llm import (
+    centroids,
+    exact,
+    fingerprints,
+    licenses,
+    lines,
+    lm_score,
+    mixing,
+    ngram_join,
+    packing,
+    pieces,
+    quality,
+    secret_spans,
+)
 from marketlens.llm.common import ship, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,3 +206,8 @@ _CLUSTER_SQL = (
 @query("op11_centroid_clustering", _CLUSTER_SQL)
 def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.cluster_rows(table(spark, folder, "embeddings"))
+
+
+@query("op13_packing")
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"))
