@@ -18,6 +18,7 @@ from marketlens.llm import (
     mixing,
     ngram_join,
     packing,
+    phrases,
     pieces,
     quality,
     secret_spans,
@@ -211,3 +212,47 @@ def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_packing")
 def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
+
+
+_PHRASE_SQL = r"""
+    WITH piece AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ), worded AS (
+        SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece
+    ), gram AS (
+        SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS f
+        FROM worded, generate_series(1, 4) AS size(m), generate_series(1, len(w) - m + 1) AS place(i)
+        GROUP BY lang, m, phrase
+    ), candidate AS (
+        SELECT *, string_split(phrase, ' ') AS w FROM gram WHERE m >= 2 AND f >= 30
+    ), part AS (
+        SELECT lang, array_to_string(w[i : i + size - 1], ' ') AS phrase, max(f) AS around
+        FROM candidate, generate_series(2, m - 1) AS shorter(size), generate_series(1, m - size + 1) AS place(i)
+        GROUP BY 1, 2
+    ), cut AS (
+        SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r,
+               ((2000000::HUGEINT * c.f) // (l.f + r.f))::BIGINT AS score
+        FROM (SELECT * FROM candidate, generate_series(1, m - 1) AS cuts(k)) AS c
+        JOIN gram AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : k], ' ')
+        JOIN gram AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1 :], ' ')
+        LEFT JOIN part AS p ON p.lang = c.lang AND p.phrase = c.phrase
+        WHERE p.around IS NULL OR 100::HUGEINT * p.around < 80::HUGEINT * c.f
+    ), best AS (
+        SELECT lang, phrase, a, l, r, score FROM cut
+        QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    ), total AS (
+        SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+           phrase, a, l, r, n, score
+    FROM best JOIN total USING (lang)
+    QUALIFY rank <= 2000
+"""
+
+
+@query("op12_phrase_collocations", _PHRASE_SQL)
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
