@@ -263,6 +263,40 @@ def test_base_scores_match_brute_force(docs, odd_rows):
     assert lm_score.scored_rows(docs()).count() == 0
 
 
+@needs_tokenizers
+@pytest.mark.parametrize("head", [lm_score.HEAD, 20])
+def test_scores_match_the_formula(docs, monkeypatch, head):
+    """Ids from all of the vocabulary, many first ids, and pairs in and out of the head."""
+    monkeypatch.setattr(attention, "STEPS", 5)
+    monkeypatch.setattr(lm_score, "HEAD", head)
+    ranks = Path(lm_score.VOCABULARY).read_bytes()
+    encoding = lm_score.tokenizer(ranks)
+    size, edge = encoding.n_vocab + 1, encoding.n_vocab
+    rng = random.Random(4)
+    some = [encoding.decode([rng.choice([rng.randrange(256, 50_000), rng.randrange(43_000, 50_000)])]) for _ in range(60)]
+    rows = [(i, " ".join(rng.choice(some) for _ in range(rng.randrange(40)))) for i in range(120)] + [(500, None), (501, "")]
+    ids = {i: encoding.encode_ordinary(t or "") for i, t in rows}
+    train = [i for i in ids if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts, pairs, after = np.zeros(size), Counter(), Counter()
+    for i in train:
+        counts += np.bincount([*ids[i], edge], minlength=size)
+        pairs.update(zip([edge, *ids[i]], [*ids[i], edge], strict=True))
+    assert max(a for a, _ in pairs) > 42_730 and len({ids[i][0] for i in train if ids[i]}) > 20
+    df = docs(*rows)
+    model = lm_score.train_model(df.select("doc_id", "text"), counts, ranks)
+    for (a, b), n in pairs.items():
+        after[a, model.of_class[b]] += n
+    got = by_id(lm_score.scored_rows(df))
+    for i, own in ids.items():
+        want = attention.log10_scores(model, [np.array(own, np.int64)], shares=False)[0]
+        for a, b in zip([edge, *own], [*own, edge], strict=True):
+            kind = model.of_class[b]
+            if kind >= attention.SINGLE:
+                c = pairs[a, b] + lm_score.PRIOR * 10.0 ** float(model.share[b])
+                want += log10(c / (after[a, kind] + lm_score.PRIOR))
+        assert got[i]["score"] == pytest.approx(want, rel=1e-4, abs=1e-3), i
+
+
 def test_every_id_is_scored_once():
     for lengths in ([1], [16], [17, 5], [28, 29, 100, 1]):
         first, size, context = attention.windows(np.array(lengths))
