@@ -44,36 +44,74 @@ from marketlens.llm.common import stored, whole_text
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 END, WIDTH = 1, 2048
 QUANTUM, SHARD = 64, 1 << 21
-# Texts are encoded in runs of so many bytes, and so many words are remembered.
-RUN_BYTES, MEMORY = 4_000_000, 500_000
+# Texts are encoded in runs of so many bytes, and so many parts are remembered.
+RUN_BYTES, MEMORY = 4_000_000, 800_000
 # A source's first quantum lies at a multiple of one in so many parts of a quantum.
 PHASES = 1 << 20
 
+# How the vocabulary's tokenizer cuts a text in lower case, for characters up to U+017F, of
+# which no two compose. Its own words for the begin and end of a text stand for ids of their own.
+_LETTER, _NUMBER, _BLANK = "a-zA-ZªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾", "\\x09-\\x0D \\x85\\xA0"
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_BLANK}{_LETTER}{_NUMBER}]+")
+_OTHER = re.compile("[^\\x00-\u012f\u0131-\u017f]")
+_SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 class Encoder:
-    """Encodes texts word by word: the vocabulary has no piece across white space, and drops it."""
+    """Encodes texts part by part, and remembers the parts.
+
+    Texts of Latin letters are cut as the tokenizer cuts them, others at white space only, across
+    which the vocabulary has no piece, and the tokenizer does the rest.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on every core already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = id_kind(self.tokenizer.get_vocab_size())
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        rows = [_WORDS.findall(t) for t in texts]
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        new = list(set().union(*rows) - self.known.keys())
+        vocabulary = self.tokenizer.get_vocab()
+        self.kind = id_kind(len(vocabulary))
+        self.is_last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def learn_parts(self, new: list[str]) -> None:
+        """Many parts as one text; a part's last id is one that ends a word."""
+        for low in range(0, len(new), 1_000):
+            some = new[low : low + 1_000]
+            (found,) = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(found.ids, self.kind)
+            ends = (np.flatnonzero(self.is_last[ids]) + 1) * ids.itemsize
+            if len(ends) != len(some):
+                raise ValueError("the vocabulary does not mark where words end")
+            data, begin = ids.tobytes(), 0
+            for part, end in zip(some, ends.tolist(), strict=True):
+                self.parts[part] = data[begin:end]
+                begin = end
+
+    def learn_words(self, new: list[str]) -> None:
         found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         for word, encoding in zip(new, found, strict=True):
-            self.known[word] = np.array(encoding.ids, self.kind).tobytes()
+            self.words[word] = np.array(encoding.ids, self.kind).tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text and the end, as bytes."""
+        rows = []
+        for text in texts:
+            plain = text.isascii() or not _OTHER.search(text)
+            if plain and not any(s in text for s in _SPECIAL):
+                rows.append((self.parts, _PARTS.findall(text.lower())))
+            else:
+                rows.append((self.words, _WORDS.findall(text)))
+        for known, learn in ((self.parts, self.learn_parts), (self.words, self.learn_words)):
+            if len(known) > MEMORY:
+                known.clear()
+            new = set().union(*(row for k, row in rows if k is known)) - known.keys()
+            learn(sorted(new))
         end = np.array([END], self.kind).tobytes()
-        known = self.known.__getitem__
-        return [b"".join(map(known, row)) + end for row in rows]
+        return [b"".join(map(known.__getitem__, row)) + end for known, row in rows]
 
 
 def id_kind(vocabulary: int) -> str:

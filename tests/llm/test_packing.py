@@ -52,6 +52,10 @@ def test_encoder_gives_the_ids_of_whole_texts(corpus, odd_rows):
     rows = [(r["doc_id"], r["text"]) for r in corpus.select("doc_id", "text").collect()]
     rows += [r for r in odd_rows if r[1] is not None]
     rows += [(0, "é ́x Σας İ a b <|endoftext|>a 1234 don't'S \x1c\x85 ﬁ")]
+    rng = random.Random(8)
+    pools = [range(1, 128), range(1, 0x180), range(1, 0x3000), [*b"'sStTrRvVeElLmMdD  "], [0x130, 0x301, 0x3A3, 0x212A, 0x41, 0x20]]
+    rows += [(0, "".join(chr(rng.choice(rng.choice(pools))) for _ in range(rng.randrange(60)))) for _ in range(2000)]
+    rows += [(0, "".join(chr(rng.choice(pool)) for _ in range(40))) for pool in pools for _ in range(1000)]
     got = packing.Encoder(packing.VOCABULARY).encode([t or "" for _, t in rows])
     assert [np.frombuffer(g, "<u2").tolist() for g in got] == whole_ids(rows)
 
