@@ -29,25 +29,33 @@ def slice_starts(
 ) -> DataFrame:
     """The days of a key that need cutting, with the seconds at which their slices start.
 
-    Rows are counted per second, and a slice ends where the running count of its day passes a
-    multiple of ``slice_rows``: slices hold about as many rows however the rows crowd. Counts
-    combine before the shuffle, and a day has at most 86,400 of them, so no group grows with the
-    table. There is at most one row for every ``slice_rows`` rows of the table.
+    Rows are counted per day first. Only days of more than ``slice_rows`` rows are counted per
+    second: there a slice ends where the running count passes a multiple of ``slice_rows``, so
+    slices hold about as many rows however the rows crowd. Counts combine before the shuffle, and
+    a day has at most 86,400 of them, so no group grows with the table. There is at most one row,
+    and one start, for every ``slice_rows`` rows of the table; with a million, that is small enough
+    to be sent to all tasks.
     """
-    day = day_number(F.col("_second"))
-    along = Window.partitionBy(key, "_day").orderBy("_second")
-    seconds = (
-        df.groupBy(key, second_of(time).alias("_second"))
+    timed = df.select(key, second_of(time).alias("_second"))
+    timed = timed.withColumn("_day", day_number(F.col("_second")))
+    heavy = (
+        timed.groupBy(F.col(key).alias("_heavy_key"), F.col("_day").alias("_heavy_day"))
         .count()
-        .withColumn("_day", day)
-        .withColumn("_before", F.coalesce(F.sum("count").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .withColumn("_all", F.sum("count").over(Window.partitionBy(key, "_day")))
-        .filter((F.col("_all") > slice_rows) & (F.col("_second") > UNDATED))
-        .withColumn("_part", F.floor(F.col("_before") / slice_rows))
+        .filter((F.col("count") > slice_rows) & (F.col("_heavy_day") > UNDATED // DAY_SECONDS))
+        .drop("count")
     )
-    starts = seconds.groupBy(key, "_day", "_part").agg(F.min("_second").alias("_start"))
-    return starts.groupBy(F.col(key).alias("_heavy_key"), F.col("_day").alias("_heavy_day")).agg(
-        F.sort_array(F.collect_list("_start")).alias("_starts")
+    same = F.col(key).eqNullSafe(F.col("_heavy_key")) & (F.col("_day") == F.col("_heavy_day"))
+    along = Window.partitionBy(key, "_day").orderBy("_second")
+    before = F.sum("count").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    return (
+        timed.join(F.broadcast(heavy), same, "left_semi")
+        .groupBy(key, "_day", "_second")
+        .count()
+        .withColumn("_part", F.floor(F.coalesce(before, F.lit(0)) / slice_rows))
+        .groupBy(F.col(key).alias("_heavy_key"), F.col("_day").alias("_heavy_day"), "_part")
+        .agg(F.min("_second").alias("_start"))
+        .groupBy("_heavy_key", "_heavy_day")
+        .agg(F.sort_array(F.collect_list("_start")).alias("_starts"))
     )
 
 
@@ -55,13 +63,13 @@ def with_slice(df: DataFrame, key: str, second: str, starts: DataFrame) -> DataF
     """Add ``_slice``, the second in which the row's slice begins.
 
     A slice is one day of one key, or a part of a heavy day. A second is never cut, nor are a key's
-    rows without time. The list of heavy days is joined as Catalyst sees fit.
+    rows without time. The list of heavy days goes to all tasks (see ``slice_starts`` for its size).
     """
     day = day_number(F.col(second))
     start = F.element_at(F.filter("_starts", lambda s: s <= F.col(second)), -1)
     return (
         df.join(
-            starts,
+            F.broadcast(starts),
             F.col(key).eqNullSafe(F.col("_heavy_key")) & (day == F.col("_heavy_day")),
             "left",
         )

@@ -64,8 +64,19 @@ def price_features(
     Slices follow the rows before de-duplication, which are cheaper to count.
     """
     timed = prices.withColumn(TIME, to_instant(F.col(TIME)))
+    return features_of(clean_prices(timed), stable_symbols, normalize_symbol, slice_rows, timed)
+
+
+def features_of(
+    cleaned: DataFrame,
+    stable_symbols: Iterable[str] = STABLE_SYMBOLS,
+    normalize_symbol: bool = False,
+    slice_rows: int = SLICE_ROWS,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """The feature table of rows that are clean already. ``counted``: see ``sliced_windows``."""
     windowed = sliced_windows(
-        clean_prices(timed), ASSET, TIME, _ORDER, PRICE, LAG_ROWS, TRAILING_DAYS, slice_rows, timed
+        cleaned, ASSET, TIME, _ORDER, PRICE, LAG_ROWS, TRAILING_DAYS, slice_rows, counted
     )
     price = F.col(PRICE)
     added = [CHANGE_1, CHANGE_7, PREV_1, PREV_7, SEGMENT, *TRAILING_DAYS]
@@ -75,7 +86,7 @@ def price_features(
             CHANGE_7: change_or_zero(price, F.col(PREV_7)),
             SEGMENT: segment_of(F.col(SYMBOL), stable_symbols, normalize_symbol),
         }
-    ).select(*prices.columns, *[c for c in added if c not in prices.columns])
+    ).select(*cleaned.columns, *[c for c in added if c not in cleaned.columns])
 
 
 def asset_metrics(features: DataFrame, assets: Iterable[str]) -> DataFrame:

@@ -26,7 +26,7 @@ from .operators.quality import (
 )
 from .operators.selection import page, sample_rows
 from .operators.windows import sliced_windows
-from .plans import analytics, ingest
+from .plans import analytics, batch, incremental, ingest
 from .plans.features import asset_metrics, clean_prices, price_features, segment_rows
 from .schema import ASSET, CHANGE_1, CHANGE_7, PREV_1, PREV_7, PRICE, SNAPSHOT_COLUMNS, SYMBOL, TIME
 from .session import apply_settings, scratch_path
@@ -86,6 +86,33 @@ def _features(rows: DataFrame, **options) -> DataFrame:
     return price_features(rows, STABLE_TYPES, **options)
 
 
+_BUILT: dict[tuple[str, str, str], batch.Tables] = {}
+
+
+def _built(spark: SparkSession, folder: str, asset: str) -> batch.Tables:
+    """The tables of the batch job over these ticks: written by the first query that asks for them.
+
+    They belong to the session. Users are many assets, event types five.
+    """
+    key = (spark.conf.get("spark.app.id"), folder, asset)
+    if key not in _BUILT or not sources.is_committed(spark, _BUILT[key].segments):
+        path = scratch_path(spark, f"built-{asset}")
+        _BUILT[key] = batch.run_batch(
+            _to_ticks(_table(spark, folder, "events"), asset),
+            path,
+            STABLE_TYPES,
+            grain="day",
+            by_asset=asset == "event_type",
+        )
+    return _BUILT[key]
+
+
+def _stored_features(
+    spark: SparkSession, folder: str, asset: str = "user_id", assets: list[str] | None = None
+) -> DataFrame:
+    return batch.read_features(spark, _built(spark, folder, asset).features, assets)
+
+
 # Added on both sides before rounding. Prices are whole cents, so a mean over 32 or 64 rows often
 # ends in exactly half of the last digit kept; there the order of summing would decide.
 _NUDGE = 1e-9
@@ -430,8 +457,93 @@ def _(spark, folder):
 )
 def _(spark, folder):
     wanted = ["purchase", "view"]
-    rows = type_ticks(spark, folder).filter(F.col(ASSET).isin(wanted))
-    return _shown(asset_metrics(_features(rows), wanted))
+    return _shown(asset_metrics(_stored_features(spark, folder, "event_type"), wanted))
+
+
+# --- The batch job ---------------------------------------------------------------------------
+
+
+@_query("feature_table_by_asset_roundtrip", _BY_TYPE + _FEATURE_TABLE)
+def _(spark, folder):
+    """The whole batch job, and its feature table read back from a folder per asset."""
+    tables = batch.run_batch(type_ticks(spark, folder), scratch_path(spark, "batch"), STABLE_TYPES)
+    return _shown(batch.read_features(spark, tables.features))
+
+
+@_query(
+    "feature_table_of_assets",
+    _BY_TYPE + _FEATURE_TABLE + " WHERE cryptocurrency IN ('purchase', 'view')",
+)
+def _(spark, folder):
+    """Two of the five folders are read."""
+    return _shown(_stored_features(spark, folder, "event_type", ["purchase", "view"]))
+
+
+@_query(
+    "batch_row_counts",
+    _BY_TYPE
+    + """SELECT (SELECT count(*) FROM cleaned) AS clean_rows,
+           (SELECT count(*) FROM features) AS feature_rows,
+           (SELECT count(DISTINCT (segment, date_trunc('day', date))) FROM features) AS segment_rows""",
+)
+def _(spark, folder):
+    """Clean rows as counted while they were written, and the rows of both tables."""
+    tables = batch.run_batch(
+        type_ticks(spark, folder), scratch_path(spark, "batch"), STABLE_TYPES, grain="day"
+    )
+    of_features, of_segments = F.lit(True).alias("of_features"), F.lit(False).alias("of_features")
+    features = batch.read_features(spark, tables.features).select(of_features)
+    segments = batch.read_segments(spark, tables.segments).select(of_segments)
+    return features.unionAll(segments).agg(
+        F.lit(tables.rows).cast("long").alias("clean_rows"),
+        F.count_if("of_features").alias("feature_rows"),
+        F.count_if(~F.col("of_features")).alias("segment_rows"),
+    )
+
+
+@_query(
+    "segment_table_roundtrip",
+    _BY_TYPE
+    + """SELECT segment, day AS date, round(avg_price + 1e-9, 6) AS avg_price,
+           round(avg_market_cap + 1e-9, 6) AS avg_market_cap,
+           round(avg_volume_24h + 1e-9, 6) AS avg_volume_24h
+         FROM (SELECT segment, date_trunc('day', date)::TIMESTAMP AS day, """
+    + _SEGMENT_MEANS
+    + " FROM features GROUP BY 1, 2)",
+)
+def _(spark, folder):
+    return _shown(batch.read_segments(spark, _built(spark, folder, "event_type").segments))
+
+
+@_query(
+    "segment_quality_report",
+    _BY_TYPE
+    + """, segments AS (SELECT segment, date_trunc('day', date) AS day, avg(price_usd) AS avg_price,
+             avg(market_cap) AS avg_market_cap FROM features GROUP BY 1, 2)
+         SELECT count(*) AS row_count, count(*) - count(DISTINCT (segment, day)) AS duplicate_rows,
+           count(*) - count(avg_price) AS null_avg_price,
+           count(*) - count(avg_market_cap) AS null_avg_market_cap FROM segments""",
+)
+def _(spark, folder):
+    """The checks of the segment table."""
+    segments = batch.read_segments(spark, _built(spark, folder, "event_type").segments)
+    return quality_report(segments, ["segment", TIME], ["avg_price", "avg_market_cap"])
+
+
+# The first load ends before the first of these days; each further load before the next.
+_LOADS = ("2024-01-15", "2024-01-27", "2024-01-28", "9999-12-31")
+
+
+@_query("feature_table_grown_by_day", _BY_TYPE + _FEATURE_TABLE)
+def _(spark, folder):
+    """The feature table grown in four loads, the third of them given twice."""
+    path, rows, begin = scratch_path(spark, "grown"), type_ticks(spark, folder), "0001-01-01"
+    for end in _LOADS:
+        part = rows.filter((F.col(TIME) >= F.lit(begin)) & (F.col(TIME) < F.lit(end)))
+        for _ in range(2 if end == _LOADS[2] else 1):
+            incremental.grow(part, path, STABLE_TYPES)
+        begin = end
+    return _shown(incremental.read_grown(spark, path).drop(incremental.DAY))
 
 
 # --- Analytics -------------------------------------------------------------------------------
@@ -461,7 +573,7 @@ def _(spark, folder):
          FROM features GROUP BY segment""",
 )
 def _(spark, folder):
-    return _shown(analytics.segment_volatility(_features(ticks(spark, folder))), 4)
+    return _shown(analytics.segment_volatility(_stored_features(spark, folder)), 4)
 
 
 @_query(
@@ -471,7 +583,7 @@ def _(spark, folder):
          FROM features GROUP BY cryptocurrency""",
 )
 def _(spark, folder):
-    return _shown(analytics.asset_volatility(_features(ticks(spark, folder))), 4)
+    return _shown(analytics.asset_volatility(_stored_features(spark, folder)), 4)
 
 
 @_query(
@@ -488,7 +600,7 @@ def _(spark, folder):
             """SELECT cryptocurrency, AVG(ABS(price_change_percent_24h)) AS avg_volatility
                FROM {features} WHERE date BETWEEN '2024-01-05' AND '2024-01-20'
                GROUP BY cryptocurrency ORDER BY avg_volatility DESC""",
-            features=_features(type_ticks(spark, folder)),
+            features=_stored_features(spark, folder, "event_type"),
         ),
         4,
     )
@@ -503,7 +615,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     return analytics.asset_volatility(
-        _features(type_ticks(spark, folder)),
+        _stored_features(spark, folder, "event_type"),
         ["purchase", "view"],
         "2024-01-05",
         "2024-01-20",
@@ -521,7 +633,7 @@ for _signed, _name in ((True, "signed"), (False, "abs")):
               FROM features WHERE segment = 'volatile'""",
     )
     def _(spark, folder, signed=_signed):
-        features = _features(ticks(spark, folder))
+        features = _stored_features(spark, folder)
         return _shown(analytics.volume_change_correlation(features, signed=signed))
 
 
@@ -538,7 +650,7 @@ _VOLUME_SPLIT = """
             round(avg_volume_normal + 1e-9, 6) AS avg_volume_normal FROM (SELECT {_VOLUME_SPLIT})""",
 )
 def _(spark, folder):
-    return _shown(analytics.anomaly_volume_split(_features(ticks(spark, folder))))
+    return _shown(analytics.anomaly_volume_split(_stored_features(spark, folder)))
 
 
 @_query(
@@ -549,7 +661,7 @@ def _(spark, folder):
             AS uplift_percent FROM (SELECT {_VOLUME_SPLIT})""",
 )
 def _(spark, folder):
-    return _shown(analytics.anomaly_volume_uplift(_features(ticks(spark, folder))))
+    return _shown(analytics.anomaly_volume_uplift(_stored_features(spark, folder)))
 
 
 def _daily_prices(spark: SparkSession, folder: str) -> DataFrame:
@@ -602,7 +714,7 @@ def _(spark, folder):
            ORDER BY round(avg(market_cap), 9) DESC, cryptocurrency LIMIT 5)""",
 )
 def _(spark, folder):
-    return _shown(analytics.top_asset_anomalies(_features(ticks(spark, folder))))
+    return _shown(analytics.top_asset_anomalies(_stored_features(spark, folder)))
 
 
 @_query(
@@ -614,7 +726,7 @@ def _(spark, folder):
            AND date BETWEEN '2024-01-05' AND '2024-01-20'""",
 )
 def _(spark, folder):
-    features = _features(type_ticks(spark, folder))
+    features = _stored_features(spark, folder, "event_type")
     return _shown(
         analytics.price_series(features, ["purchase", "view"], "2024-01-05", "2024-01-20")
     )
@@ -646,7 +758,7 @@ def _(spark, folder):
          FROM features GROUP BY cryptocurrency""",
 )
 def _(spark, folder):
-    return _shown(analytics.weekly_trend(_features(ticks(spark, folder))), 4)
+    return _shown(analytics.weekly_trend(_stored_features(spark, folder)), 4)
 
 
 @_query(

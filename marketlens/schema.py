@@ -44,3 +44,12 @@ LAG_ROWS = {PREV_1: 1, PREV_7: 7}
 TRAILING_DAYS = {AVG_7: 7, AVG_30: 30}
 
 DAY_SECONDS = 86_400
+
+# The feature table as the batch job writes it: time as an instant, and five columns more.
+FEATURE_SCHEMA = T.StructType(
+    [T.StructField(f.name, T.TimestampType()) if f.name == TIME else f for f in SNAPSHOT_SCHEMA]
+    + [T.StructField(PREV_1, T.DoubleType()), T.StructField(PREV_7, T.DoubleType())]
+    + [T.StructField(SEGMENT, T.StringType())]
+    + [T.StructField(AVG_7, T.DoubleType()), T.StructField(AVG_30, T.DoubleType())]
+)
+FEATURE_COLUMNS = FEATURE_SCHEMA.names

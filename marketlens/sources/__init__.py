@@ -1,6 +1,13 @@
 """Readers: catalog tables, files, databases."""
 
-from .files import read_if_committed, read_snapshot_lines
+from .files import is_committed, read_if_committed, read_snapshot_lines
 from .tables import read_jdbc, read_table, select_from
 
-__all__ = ["read_if_committed", "read_jdbc", "read_snapshot_lines", "read_table", "select_from"]
+__all__ = [
+    "is_committed",
+    "read_if_committed",
+    "read_jdbc",
+    "read_snapshot_lines",
+    "read_table",
+    "select_from",
+]

@@ -9,10 +9,15 @@ from ..functions import line_to_struct
 from ..schema import ASSET
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True if there is a file or folder; any file system that Spark reaches."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def is_committed(spark: SparkSession, path: str) -> bool:
     """True if the writer of a dataset folder finished, that is, left its ``_SUCCESS`` file."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
 def read_if_committed(spark: SparkSession, path: str) -> DataFrame:
