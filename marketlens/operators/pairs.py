@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def pair_on_time(
     df: DataFrame, key: str, time: str, value: str, left: str, right: str, names: tuple[str, str]
 ) -> DataFrame:
-    """Inner join of two keys' rows on exactly equal times. Times on one side only are dropped."""
-    first, second = (
-        df.filter(F.col(key) == k).select(time, F.col(value).alias(name))
-        for k, name in zip((left, right), names, strict=True)
+    """The two keys' values at exactly equal times, as their inner join on time gives them.
+
+    One pass: both sides' values are gathered per time, and times that both have are unfolded. A
+    time that one side has twice gives every combination, nulls among the values included. A
+    group holds the rows of two keys at one instant.
+    """
+
+    def values(k: str) -> Column:
+        return F.collect_list(F.when(F.col(key) == k, F.struct(F.col(value).alias("v"))))
+
+    return (
+        df.filter(F.col(key).isin(left, right) & F.col(time).isNotNull())
+        .groupBy(time)
+        .agg(values(left).alias("_left"), values(right).alias("_right"))
+        .filter((F.size("_left") > 0) & (F.size("_right") > 0))
+        .withColumn("_left", F.explode("_left"))
+        .withColumn("_right", F.explode("_right"))
+        .select(time, F.col("_left.v").alias(names[0]), F.col("_right.v").alias(names[1]))
     )
-    return first.join(second, time, "inner")
 
 
 def correlation(df: DataFrame, a: str, b: str, name: str = "correlation") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import is_anomaly, is_normal, percent_change
 from ..operators.pairs import correlation, pair_on_time
 from ..operators.selection import keep_keys, top_keys
+from ..operators.slices import SLICE_ROWS
 from ..schema import (
     ANOMALY_PERCENT,
     ASSET,
@@ -18,10 +19,15 @@ from ..schema import (
     CHANGE_7,
     PRICE,
     SEGMENT,
+    STABLE_SYMBOLS,
     TIME,
     VOLATILE,
     VOLUME,
 )
+from .features import clean_prices, price_features
+
+# Keys that are sent to all tasks at most.
+MOST_SENT = 100_000
 
 
 def segment_aggregates(features: DataFrame, grain: str = "exact") -> DataFrame:
@@ -135,11 +141,32 @@ def price_pair_correlation(
 def top_asset_anomalies(
     features: DataFrame, k: int = 5, threshold: float = ANOMALY_PERCENT
 ) -> DataFrame:
-    """Anomalous rows of the k assets with the largest mean cap. The k keys are broadcast."""
-    leaders = top_keys(features, ASSET, F.avg(CAP), k)
-    return keep_keys(
-        features.filter(is_anomaly(F.col(CHANGE_1), threshold)), F.broadcast(leaders), ASSET
-    )
+    """Anomalous rows of the k assets with the largest mean cap."""
+    leaders = _few(top_keys(features, ASSET, F.avg(CAP), k), k)
+    return keep_keys(features.filter(is_anomaly(F.col(CHANGE_1), threshold)), leaders, ASSET)
+
+
+def _few(keys: DataFrame, k: int) -> DataFrame:
+    """At most k keys; sent to all tasks if k is small, else joined as Catalyst sees fit."""
+    return F.broadcast(keys) if k <= MOST_SENT else keys
+
+
+def leader_anomalies(
+    prices: DataFrame,
+    k: int = 5,
+    threshold: float = ANOMALY_PERCENT,
+    stable_symbols: Iterable[str] = STABLE_SYMBOLS,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """As ``top_asset_anomalies``, straight from price rows: windows see the k assets alone.
+
+    Leaders are told by clean rows, which needs no window. An asset's rows depend on no other
+    asset, so the filter goes below cleaning and windows.
+    """
+    leaders = _few(top_keys(clean_prices(prices), ASSET, F.avg(CAP), k), k)
+    theirs = keep_keys(prices, leaders, ASSET)
+    features = price_features(theirs, stable_symbols, slice_rows=slice_rows)
+    return features.filter(is_anomaly(F.col(CHANGE_1), threshold))
 
 
 def price_series(

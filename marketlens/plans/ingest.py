@@ -7,20 +7,28 @@ from pyspark.sql import functions as F
 
 from ..functions import day_start_text, field, field_or
 from ..operators.quality import drop_duplicate_keys
-from ..schema import ASSET, CORRUPT, SNAPSHOT_COLUMNS, TIME
-from ..sources.files import read_snapshot_lines
+from ..schema import ASSET, REASON, SNAPSHOT_COLUMNS, TIME
+from ..sinks.checked import read_accepted, read_rejected, write_checked
+from ..sources.files import checked_lines, read_lines
 
 
 def ingest_snapshots(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """Price rows of all CSV files under a path, and the lines that did not parse."""
-    parsed = read_snapshot_lines(spark, path)
-    good = parsed.filter(F.col(CORRUPT).isNull()).select(*SNAPSHOT_COLUMNS)
-    rejected = parsed.filter(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("line"), "file"
-    )
+    """Price rows of all CSV files under a path; and rejected lines with their file and reason.
+
+    Each of the two reads the files when it is used. ``land_lines`` makes both in one pass.
+    """
+    checked = checked_lines(read_lines(spark, path))
+    good = checked.filter(F.col(REASON).isNull()).select(*SNAPSHOT_COLUMNS)
+    rejected = checked.filter(F.col(REASON).isNotNull()).select("line", REASON, "origin")
     return good, rejected
 
 
+def land_lines(spark: SparkSession, path: str | list[str], folder: str) -> tuple[DataFrame, DataFrame]:
+    """As ``ingest_snapshots``, from one pass over the files that writes both."""
+    write_checked(checked_lines(read_lines(spark, path)), folder)
+    return read_accepted(spark, folder), read_rejected(spark, folder)
+
+
 def market_rows(raw: DataFrame, payload: str = "payload") -> DataFrame:
     """Market lists (JSON arrays of assets) to one row per asset.
 

@@ -8,6 +8,7 @@ rows each).
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 
 from . import sinks, sources, streaming
 from .functions import columns_to_line, line_to_struct
-from .operators.pairs import correlation
 from .operators.quality import (
     clean,
     drop_duplicate_keys,
@@ -24,7 +24,8 @@ from .operators.quality import (
     null_counts,
     quality_report,
 )
-from .operators.selection import page, sample_rows
+from .operators.pairs import correlation, pair_on_time
+from .operators.selection import page, ranked_pages, sample_rows
 from .operators.windows import sliced_windows
 from .plans import analytics, batch, incremental, ingest
 from .plans.features import asset_metrics, clean_prices, price_features, segment_rows
@@ -280,6 +281,66 @@ def _(spark, folder):
     return rows.withColumn(TIME, F.col(TIME).cast("timestamp_ntz"))
 
 
+# Copies that are worse than the row they repeat: which of them is kept decides what is left. The
+# kept copy is the one that sorts first, nulls last, so the order of the three steps shows.
+_DIRTY_SQL = """WITH dirty AS (
+    SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice FROM lineitem
+    UNION ALL
+    SELECT l_orderkey, l_linenumber, l_partkey - 1000000, NULL, l_extendedprice FROM lineitem
+      WHERE l_partkey % 5 = 0
+    UNION ALL
+    SELECT l_orderkey, l_linenumber, l_partkey - 2000000, l_quantity, -l_extendedprice FROM lineitem
+      WHERE l_partkey % 7 = 0
+    UNION ALL
+    SELECT l_orderkey, l_linenumber, l_partkey + 1000000, NULL, -l_extendedprice FROM lineitem
+      WHERE l_partkey % 3 = 0
+  ), first AS (
+    SELECT * FROM dirty QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+      ORDER BY l_partkey, l_quantity, l_extendedprice) = 1)
+  """
+
+
+def _dirty_lines(spark: SparkSession, folder: str) -> DataFrame:
+    key, part = ["l_orderkey", "l_linenumber"], F.col("l_partkey")
+    lines = _table(spark, folder, "lineitem").select(*key, "l_partkey", "l_quantity", "l_extendedprice")
+    none, price = F.lit(None).cast(lines.schema["l_quantity"].dataType), F.col("l_extendedprice")
+    quantity = F.col("l_quantity")
+    copies = [
+        (part % 5 == 0, part - 1_000_000, none, price),
+        (part % 7 == 0, part - 2_000_000, quantity, -price),
+        (part % 3 == 0, part + 1_000_000, none, -price),
+    ]
+    fields = lambda p, q, e: F.struct(p.alias("l_partkey"), q.alias("l_quantity"), e.alias("l_extendedprice"))
+    made = [F.when(on, fields(p, q, e)) for on, p, q, e in copies]
+    rows = F.array_compact(F.array(fields(part, quantity, price), *made))
+    return lines.select(*key, F.inline(rows))
+
+
+@_query(
+    "clean_dirty_lines",
+    _DIRTY_SQL + "SELECT * FROM first WHERE l_quantity IS NOT NULL AND l_extendedprice > 0",
+)
+def _(spark, folder):
+    """Rows whose better copies are lost with the first, as the order of cleaning wants it."""
+    valid = F.col("l_extendedprice") > 0
+    return clean(
+        _dirty_lines(spark, folder), ["l_orderkey", "l_linenumber"], ["l_quantity"], valid
+    )
+
+
+@_query(
+    "dirty_report",
+    _DIRTY_SQL
+    + """SELECT count(*) AS row_count,
+           count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS duplicate_rows,
+           count(*) - count(l_quantity) AS null_l_quantity FROM dirty""",
+)
+def _(spark, folder):
+    return quality_report(
+        _dirty_lines(spark, folder), ["l_orderkey", "l_linenumber"], ["l_quantity"]
+    )
+
+
 @_query("dedup_keys", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
 def _(spark, folder):
     lines = _table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
@@ -717,6 +778,35 @@ def _(spark, folder):
     return _shown(analytics.top_asset_anomalies(_stored_features(spark, folder)))
 
 
+@_query(
+    "leader_anomalies",
+    _BY_USER
+    + """, leaders AS (SELECT cryptocurrency FROM cleaned GROUP BY 1
+           ORDER BY round(avg(market_cap), 9) DESC, cryptocurrency LIMIT 5) """
+    + _FEATURE_TABLE
+    + """ WHERE abs(price_change_percent_24h) >= 3
+          AND cryptocurrency IN (SELECT cryptocurrency FROM leaders)""",
+)
+def _(spark, folder):
+    """As ``top_asset_anomalies``, from raw rows: only the leaders' rows reach the windows."""
+    return _shown(
+        analytics.leader_anomalies(ticks(spark, folder), stable_symbols=STABLE_TYPES)
+    )
+
+
+@_query(
+    "price_pair_exact_times",
+    """SELECT a.o_orderdate AS at, a.o_totalprice AS urgent_price, b.o_totalprice AS low_price
+       FROM orders AS a JOIN orders AS b ON a.o_orderdate = b.o_orderdate
+         AND a.o_orderpriority = '1-URGENT' AND b.o_orderpriority = '5-LOW'""",
+)
+def _(spark, folder):
+    """Priorities as assets: many rows of a side share one time, so every combination counts."""
+    orders = _table(spark, folder, "orders").withColumnRenamed("o_orderdate", "at")
+    names = ("urgent_price", "low_price")
+    return pair_on_time(orders, "o_orderpriority", "at", "o_totalprice", "1-URGENT", "5-LOW", names)
+
+
 @_query(
     "price_series",
     _BY_TYPE
@@ -834,9 +924,75 @@ def _(spark, folder):
     return page(parts, [F.desc("p_retailprice"), "p_partkey"], 2, 50)
 
 
+@_query(
+    "ranked_page_deep",
+    """SELECT o_orderkey, o_totalprice, rank FROM (SELECT o_orderkey, o_totalprice,
+           row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders)
+       WHERE rank BETWEEN 4951 AND 5000""",
+)
+def _(spark, folder):
+    """Page 100: read from the ranges it touches."""
+    orders = _table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    order = [F.desc("o_totalprice"), F.col("o_orderkey").asc()]
+    pages = ranked_pages(orders, order, scratch_path(spark, "pages"), ranges=16)
+    return pages.page(100, 50)
+
+
 # --- Ingest ----------------------------------------------------------------------------------
 
 
+# A tenth of the lines each has a price that is no number, a time that is none, too few fields.
+_LINES_SQL = """WITH lines AS (
+    SELECT event_id % 10 AS kind, value AS price,
+      CASE WHEN event_id % 10 = 5 THEN user_id || ',' || event_type
+      ELSE user_id || ',' || event_type || ','
+        || CASE WHEN event_id % 10 = 4 THEN '2024-13-45' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END
+        || ',' || CASE WHEN event_id % 10 = 3 THEN 'n/a' ELSE CAST(value AS VARCHAR) END
+        || ',1.0,2.0,0.0,0.0,3.0,4.0' END AS line FROM events)
+  SELECT CASE WHEN kind IN (3, 4, 5) THEN line END AS line,
+    CASE WHEN kind IN (3, 5) THEN 'malformed line' WHEN kind = 4 THEN 'bad time' END AS reason,
+    CASE WHEN kind NOT IN (3, 4, 5) THEN price END AS price_usd
+  FROM lines"""
+
+
+def _mixed_lines(spark: SparkSession, folder: str) -> str:
+    """Good and bad lines as CSV files, some beginning with a header."""
+    kind = F.col("event_id") % 10
+    at = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    user = F.col("user_id").cast("string")
+    whole = F.concat_ws(
+        ",",
+        user,
+        "event_type",
+        F.when(kind == 4, "2024-13-45").otherwise(at),
+        F.when(kind == 3, "n/a").otherwise(F.col("value").cast("string")),
+        F.lit("1.0,2.0,0.0,0.0,3.0,4.0"),
+    )
+    line = F.when(kind == 5, F.concat_ws(",", user, "event_type")).otherwise(whole)
+    path = scratch_path(spark, "lines")
+    lines = _table(spark, folder, "events").select(line.alias("value"))
+    lines.write.text(path)
+    header = spark.createDataFrame([(",".join(SNAPSHOT_COLUMNS),), ("  ",)], "value string")
+    header.write.mode("append").text(path)
+    return path
+
+
+def _all_lines(good: DataFrame, rejected: DataFrame) -> DataFrame:
+    return rejected.select("line", "reason").unionByName(
+        good.select("price_usd"), allowMissingColumns=True
+    )
+
+
+@_query("csv_rejects", _LINES_SQL)
+def _(spark, folder):
+    """Accepted rows and rejected lines of one pass: together all lines."""
+    landed = scratch_path(spark, "landed")
+    return _all_lines(*ingest.land_lines(spark, _mixed_lines(spark, folder), landed))
+
+
+# --- Ingest of payloads ----------------------------------------------------------------------
+
+
 def _market_payloads(spark: SparkSession, folder: str) -> DataFrame:
     """One market list per event: supply given, missing (view) or null (click) by event type."""
     supply = (
@@ -997,3 +1153,123 @@ def _(spark, folder):
         once=True,
     ).awaitTermination()
     return ingest.ingest_snapshots(spark, relayed)[0]
+
+
+@_query("stream_rejects", _LINES_SQL)
+def _(spark, folder):
+    """As ``csv_rejects``, from a stream over the files."""
+    landed, state = scratch_path(spark, "landed"), scratch_path(spark, "landed-state")
+    lines = streaming.spool_lines(spark, _mixed_lines(spark, folder), "*", files_per_batch=3)
+    checked = sources.checked_lines(lines)
+    sinks.stream_checked(checked, landed, state, available_only=True).awaitTermination()
+    return _all_lines(sinks.read_accepted(spark, landed), sinks.read_rejected(spark, landed))
+
+
+def _write_parts(parts: list[DataFrame], path: str, files: int = 4) -> None:
+    """Write parts one after the other, each as so many files: a stream takes them in this order."""
+    for part in parts:
+        part.repartition(files).write.mode("append").parquet(path)
+
+
+# Events come a week at a time. A quarter of them is sent again with the next week. Some come late
+# for the first time: from a week's last day with the next week, which is within the two days that
+# the stream waits, and from its first two days a week later still, too late unless time stood still.
+_WEEKS_SQL = """WITH sent AS (
+    SELECT *, day // 7 + CASE WHEN event_id % 5 <> 1 THEN 0 WHEN day % 7 = 6 THEN 1
+        WHEN day % 7 IN (0, 1) THEN 2 ELSE 0 END AS batch
+    FROM (SELECT *, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS day FROM events)
+  ), seen AS (
+    SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+      - INTERVAL 2 DAY AS late FROM sent GROUP BY batch
+  )
+  SELECT event_id, user_id, ts, event_type, value, props FROM sent JOIN seen USING (batch)
+  WHERE late IS NULL OR date_trunc('millisecond', ts) > date_trunc('millisecond', late)"""
+
+
+@_query("stream_without_repeats", _WEEKS_SQL)
+def _(spark, folder):
+    """Repeats dropped by keyed state, over a restart; what comes too late is dropped as well."""
+    events = _table(spark, folder, "events")
+    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
+    week = F.floor(day / 7)
+    late = F.when(day % 7 == 6, 1).when(day % 7 < 2, 2).otherwise(0)
+    batch = week + F.when(F.col("event_id") % 5 == 1, late).otherwise(0)
+    again = (F.col("event_id") % 4 == 0) & (batch == week)
+
+    def sent(number: int) -> DataFrame:
+        first = events.filter(batch == number)
+        return first.unionByName(events.filter(again & (week == number - 1)))
+
+    spool = scratch_path(spark, "weeks")
+    out, state = scratch_path(spark, "distinct"), scratch_path(spark, "distinct-state")
+    # A batch a week. The stream ends after two weeks, and goes on with its state when more came.
+    for weeks in (range(2), range(2, 7)):
+        _write_parts([sent(number) for number in weeks], spool)
+        rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 4).parquet(spool)
+        timed = rows.withColumn("ts", F.col("ts").cast("timestamp"))
+        once = streaming.without_repeats(timed, ["event_id"], "2 days", "ts")
+        found = streaming.run_available(once, out, state)
+    return found.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+_SPOOL_SEED, _SPOOL_BATCHES = 7, 3
+
+
+def _spool_sql() -> str:
+    """The folders that hold enough rows, from the batch's own on, and of these the first by hash."""
+    starts = [zlib.crc32(f"{_SPOOL_SEED}:{b}".encode()) % 16 for b in range(_SPOOL_BATCHES)]
+    one = """SELECT {b} AS batch, event_id || ',' || user_id || ',' || event_type AS value FROM (
+        SELECT e.* FROM dealt AS e JOIN (
+          SELECT draw FROM (SELECT draw, sum(n) OVER (ORDER BY (turn - {start} + 16) % 16
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM folders)
+          WHERE before IS NULL OR before < 100) USING (draw)
+        ORDER BY md5('{seed}:' || event_id), event_id LIMIT 100)"""
+    parts = [one.format(b=b, start=s, seed=_SPOOL_SEED + b) for b, s in enumerate(starts)]
+    return f"""WITH dealt AS (
+        SELECT *, substr(md5('{_SPOOL_SEED}:' || event_id), 1, 1) AS draw FROM events),
+      folders AS (SELECT draw, count(*) AS n, instr('0123456789abcdef', draw) - 1 AS turn
+        FROM dealt GROUP BY draw)
+      """ + " UNION ALL ".join(parts)
+
+
+@_query("spool_batches", _spool_sql())
+def _(spark, folder):
+    """The sample spooler under its trigger: three batches, each from a sixteenth of the table."""
+    rows = _table(spark, folder, "events").select("event_id", "user_id", "event_type")
+    draws = streaming.deal(rows, scratch_path(spark, "dealt"), "event_id", _SPOOL_SEED, digits=1)
+    due, path = scratch_path(spark, "ticks"), scratch_path(spark, "samples")
+    _write_parts([rows.filter(F.col("event_id") % 3 == i) for i in range(_SPOOL_BATCHES)], due)
+    ticks = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(due)
+    state = scratch_path(spark, "samples-state")
+    streaming.spool_draws(
+        ticks, draws, path, state, "event_id", 100, every=None, seed=_SPOOL_SEED
+    ).awaitTermination()
+    return spark.read.schema("value string, batch int").text(path)
+
+
+@_query(
+    "stream_progress",
+    """SELECT 'good' AS stream, event_id % 3 AS batch, count(*) AS n_rows, false AS failed
+         FROM events GROUP BY 2
+       UNION ALL
+       SELECT 'bad', 0, count(*), true FROM events WHERE event_id % 3 = 0""",
+)
+def _(spark, folder):
+    """Rows per batch of two streams at once. One fails in its second batch, the other goes on."""
+    events = _table(spark, folder, "events").select("event_id")
+    path = scratch_path(spark, "progress")
+    _write_parts([events.filter(F.col("event_id") % 3 == i) for i in range(3)], path)
+
+    def started(name: str, rows: DataFrame):
+        out, state = scratch_path(spark, name), scratch_path(spark, f"{name}-state")
+        return streaming.write_parquet(rows, out, state, available_only=True)
+
+    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 4).parquet(path)
+    bad = F.when(F.col("event_id") % 3 == 1, F.raise_error(F.lit("bad event")).cast("long"))
+    queries = {
+        "good": started("good", rows),
+        "bad": started("bad", rows.withColumn("event_id", F.coalesce(bad, "event_id"))),
+    }
+    seen = streaming.run_together(queries, drain=True, timeout=600)
+    found = [(name, batch, n, name in seen.errors) for (name, batch), n in seen.rows.items()]
+    return spark.createDataFrame(found, "stream string, batch long, n_rows long, failed boolean")

@@ -32,6 +32,10 @@ SNAPSHOT_KEY = [ASSET, SYMBOL, TIME]
 # Holds the raw line of a row that did not fit the schema.
 CORRUPT = "_corrupt_record"
 
+# Why a line was rejected; null for an accepted one.
+REASON = "reason"
+MALFORMED, BAD_TIME = "malformed line", "bad time"
+
 # Upper-case symbols of the stable segment, and the two segment labels.
 STABLE_SYMBOLS = ("USDT", "USDC", "DAI", "USDS", "BSC-USD", "USDE")
 STABLE, VOLATILE = "stablecoin", "volatile"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -34,12 +35,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = _local_root()
+        root = _local_root().name
     return f"{root.rstrip('/')}/marketlens/{label}-{uuid.uuid4().hex}"
 
 
 @functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="marketlens-")
+def _local_root() -> tempfile.TemporaryDirectory:
+    """A folder for a session in this one process; it goes when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="marketlens-")

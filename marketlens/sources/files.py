@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import line_to_struct
-from ..schema import ASSET
+from ..functions import line_to_struct, to_instant
+from ..schema import ASSET, BAD_TIME, CORRUPT, MALFORMED, REASON, SNAPSHOT_COLUMNS, TIME
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -27,21 +27,31 @@ def read_if_committed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_snapshot_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All CSV lines under one or more paths, typed, plus ``_corrupt_record`` and ``file``.
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """All text lines under one or more paths: ``value``, and the file as ``origin``."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    return lines.select("value", F.col("_metadata.file_path").alias("origin"))
 
-    Some files begin with a header and some do not, so header lines are told by their first
-    field. Lines are read as text: each is parsed whole whatever columns the query uses, so a
-    bad line is found in every query alike.
+
+def checked_lines(lines: DataFrame) -> DataFrame:
+    """Lines of a batch or a stream as typed rows, plus ``line``, ``origin`` and ``reason``.
+
+    ``reason`` is null for an accepted line. A line that does not fit the columns is malformed; one
+    whose time is given and is no timestamp has a bad time. Its row keeps what could be read. Some
+    files begin with a header and some do not, so header lines are told by their first field; they
+    and blank lines are left out. Each line is parsed whole whatever columns the query uses.
     """
+    text = F.col("value").cast("string")
+    row = F.col("_row")
+    bad_time = row[TIME].isNotNull() & to_instant(row[TIME]).isNull()
     return (
-        spark.read.option("recursiveFileLookup", True)
-        .text(path)
-        .filter(F.trim("value") != "")
+        lines.filter(F.trim(text) != "")
+        .withColumn("_row", line_to_struct(text))
+        .filter(F.coalesce(row[ASSET] != ASSET, F.lit(True)))
         .select(
-            line_to_struct(F.col("value")).alias("data"),
-            F.col("_metadata.file_path").alias("file"),
+            *[row[c].alias(c) for c in SNAPSHOT_COLUMNS],
+            text.alias("line"),
+            "origin",
+            F.when(row[CORRUPT].isNotNull(), MALFORMED).when(bad_time, BAD_TIME).alias(REASON),
         )
-        .select("data.*", "file")
-        .filter(F.coalesce(F.col(ASSET) != ASSET, F.lit(True)))
     )

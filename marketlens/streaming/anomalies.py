@@ -32,5 +32,9 @@ def stream_anomalies(lines: DataFrame, threshold: float = ANOMALY_PERCENT) -> Da
 def without_repeats(
     rows: DataFrame, keys: Sequence[str] = SNAPSHOT_KEY, within: str = "1 hour", time: str = TIME
 ) -> DataFrame:
-    """Optional: drop rows a random spooler sent before. State older than ``within`` is let go."""
+    """Drop rows that a random spooler sent before, also before a restart.
+
+    A key is remembered until the latest time seen is more than ``within`` past its own, so state is
+    bounded by the keys of that span. A row that comes later than that is dropped, repeat or not.
+    """
     return rows.withWatermark(time, within).dropDuplicatesWithinWatermark(list(keys))

@@ -38,7 +38,7 @@ def test_files_with_and_without_header(spark, tmp_path):
         "Ethereum,eth",
         "Ethereum,eth,2025-04-20,oops,1,1,1,1,1,1",
     ]
-    assert all(r.file.endswith("two.csv") for r in rejected.collect())
+    assert all(r.origin.endswith("two.csv") for r in rejected.collect())
     # A bad line stays rejected in a query that does not read its bad column.
     assert good.select("cryptocurrency").count() == 2
     times = sorted(r.date for r in clean_prices(good).collect())
