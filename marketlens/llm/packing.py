@@ -269,6 +269,37 @@ def turns(queues: np.ndarray, credit: np.ndarray, share: np.ndarray, begin: int,
         begin += int(sent.sum())
 
 
+def turns_of(queues: np.ndarray, credit: np.ndarray, share: np.ndarray, begin: int, window: int, quantum: int) -> tuple[np.ndarray, np.ndarray]:
+    """By window and source: how many tokens are sent, and where in the sequences they begin.
+
+    The source that goes first changes from window to window.
+    """
+    begins, sent = zip(*turns(queues, credit, share, begin, window, quantum), strict=True)
+    sent, k = np.array(sent), len(queues)
+    order = (np.arange(k) + np.arange(len(sent))[:, None]) % k
+    turned = np.take_along_axis(sent, order, axis=1)
+    place = np.empty_like(sent)
+    np.put_along_axis(place, order, np.cumsum(turned, axis=1) - turned, axis=1)
+    return sent, place + np.array(begins)[:, None]
+
+
+def pieces_of(length: np.ndarray, first: np.ndarray, sent: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row, begin in the row, length and place of every piece: what one window takes of one row.
+
+    Rows stand in the order of their queues, of which ``first`` are the first rows.
+    """
+    found = []
+    for s, (a, b) in enumerate(zip(first, [*first[1:], len(length)], strict=True)):
+        rows, takes = (np.concatenate([[0], np.cumsum(x)]) for x in (length[a:b], sent[:, s]))
+        begin = np.union1d(rows, takes)
+        size, begin = np.diff(begin), begin[:-1]
+        # Of takes that begin at the same token all but the last are empty.
+        row = np.searchsorted(rows, begin, side="right") - 1
+        turn = np.searchsorted(takes, begin, side="right") - 1
+        found.append((a + row, begin - rows[row], size, place[turn, s] + begin - takes[turn]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
 def packed(
     docs: DataFrame,
     path: str = VOCABULARY,
@@ -301,35 +332,26 @@ def packed(
         share = part["total"].to_numpy()[first] / all_tokens
         begin = int(part["begin"].iloc[0])
         credit = share * begin - part["place"].to_numpy()[first]
-        row, low = first.copy(), np.zeros(len(first), np.int64)
-        pieces: list[tuple[int, int, int, int]] = []
-        for turn, (position, sent) in enumerate(turns(queues, credit, share, begin, window, quantum)):
-            for s in np.roll(np.flatnonzero(sent), -turn).tolist():
-                i, a, take = int(row[s]), int(low[s]), int(sent[s])
-                while take:
-                    size = min(take, int(length[i]) - a)
-                    pieces.append((i, a, size, position))
-                    position, take, a = position + size, take - size, a + size
-                    if a == length[i]:
-                        i, a = i + 1, 0
-                row[s], low[s] = i, a
-        i, a, size, position = np.array(pieces, np.int64).T
-        ids = [np.frombuffer(b, kind).astype("<u4") for b in part["ids"]]
-        cut = [ids[r][f : f + n] for r, f, n in zip(i.tolist(), a.tolist(), size.tolist(), strict=True)]
+        row, low, size, position = pieces_of(length, first, *turns_of(queues, credit, share, begin, window, quantum))
+        before = np.cumsum(length) - length
+        ids = memoryview(np.frombuffer(b"".join(part["ids"]), kind).astype("<u4")).cast("B")
+        start = ((before[row] + low) * 4).tolist()
+        cut = [ids[a : a + n] for a, n in zip(start, (size * 4).tolist(), strict=True)]
+        names = part["source"].str.slice(1).where(part["source"] != "", None)
         out = pd.DataFrame(
             {
-                "doc_id": part["doc_id"].take(i).reset_index(drop=True),
-                "start": part["start"].to_numpy()[i] + a,
+                "doc_id": part["doc_id"].take(row).reset_index(drop=True),
+                "start": part["start"].to_numpy()[row] + low,
                 "length": size,
-                "ids_crc32": [zlib.crc32(c) for c in cut],
-                "doc_tokens": part["doc_tokens"].to_numpy()[i],
+                "ids_crc32": list(map(zlib.crc32, cut)),
+                "doc_tokens": part["doc_tokens"].to_numpy()[row],
                 "sequence_id": position // window,
                 "offset": position % window,
-                "source": part["source"].take(i).str.slice(1).where(part["source"].take(i) != "", None).reset_index(drop=True),
+                "source": names.take(row).reset_index(drop=True),
             }
         )
         if with_ids:
-            out["ids"] = cut
+            out["ids"] = [np.frombuffer(c, "<u4") for c in cut]
         return out
 
     schema = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
