@@ -1,17 +1,20 @@
 """Mix sources to target weights by Sainte-Laguë apportionment of equal-token blocks.
 
-Every source's words, in a seeded order of its documents, are cut into blocks of ``BLOCK`` words.
-The mix has as many blocks as all words fill. Sources get blocks by highest quotients
-``target / (2 k - 1)``; a source's blocks go to its shards in the same way, so each shard has an
-integer quota. A shard takes all its blocks ``quota div blocks`` times and the rest once more from
-blocks that a seeded permutation of the block numbers puts first.
-
-A shard is a hash range of one source's documents: a source of any size is spread over up to
-``MOST_SHARDS`` tasks. Windows without a shard run over one row per source (or per shard of one
-source) only.
+Every source's words, in a seeded order of its documents, are cut into blocks of the same number of
+words, up to one: ``BLOCK``, or less where the target is small, so that it is about eight blocks at
+least. The mix has as many blocks as the targets fill. Sources get blocks by highest quotients
+``wanted / (2 k - 1)``, where wanted is the target in blocks; a source's blocks go to its shards in the
+same way, so each shard has an integer quota. A shard takes all its blocks ``quota div blocks`` times
+and the rest once more from blocks that a seeded permutation of the block numbers puts first.
+
+A shard is a hash range of one source's documents, about ``SHARD_WORDS`` words, told by id and text: a
+source of any size is spread over as many tasks as that makes, and rows without id by their texts.
+Rows that repeat both id and text share a shard. Windows without a shard run over one row per source
+(or per shard of one source) only.
 
 Null texts have no words. A null source is a source, last in order. Equal rows are separate rows of
-the mix. An empty table gives an empty result. Without words all targets are zero.
+the mix. An empty table gives an empty result. Without words all targets are zero. Other columns,
+whatever their names, are kept by ``mixed_texts``.
 """
 
 from __future__ import annotations
@@ -24,8 +27,8 @@ from pyspark.sql import functions as F
 from marketlens.llm.common import WORD, stored, whole_text
 
 BLOCK = 32
+LEAST_BLOCKS = 8
 SHARD_WORDS = 1 << 20
-MOST_SHARDS = 4_096
 REPEATS = 3
 WEIGHTS = (5, 2, 1)
 # A prime above any number of blocks in a shard, so multiplying permutes the block numbers.
@@ -97,56 +100,66 @@ def apportioned(df: DataFrame, group: Sequence[str], name: str, weight: str, sea
 
 
 def with_mix(docs: DataFrame, sizes: DataFrame, seed: int = 0, weights: Sequence[float] = WEIGHTS) -> DataFrame:
-    """``docs`` (with ``doc_id``, ``source``, ``size``) plus what the mix takes of each row.
+    """``docs`` (with ``doc_id``, ``source``, ``of``, ``size``) plus what the mix takes of each row.
 
     Adds ``source_size``, ``target``, ``taken`` (words, repeats counted) and ``blocks``: for each
     stretch of the row within one block its first word, its length and how often it is taken.
-    ``sizes`` has the same rows with those three columns alone.
+    ``sizes`` has the same rows with those four columns alone; ``of`` tells a row's text.
     """
-    targets = source_targets(sizes, weights)
-    overall = Window.partitionBy()
-    seats = F.round(F.sum("target").over(overall) / BLOCK).cast("long")
-    shards = F.greatest(F.lit(1), F.least(F.lit(MOST_SHARDS), F.ceil(F.col("source_size") / SHARD_WORDS)))
-    sources = apportioned(targets.withColumn("seats", seats), [], "source", "target", "seats").select(
-        "source", "source_size", "target", F.col("quota").alias("source_quota"), shards.alias("shards")
-    )
-    sources = stored(sources, "sources")
+    shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / SHARD_WORDS))
+    block = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.col("target") / LEAST_BLOCKS)))
+    targets = source_targets(sizes, weights).withColumns({"block": block.cast("long"), "shards": shards})
+    targets = stored(targets, "targets")
 
     def placed(rows: DataFrame) -> DataFrame:
-        plan = sources.select(F.col("source").alias("__source"), "source_size", "target", "source_quota", "shards")
-        shard = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("shards"))
+        plan = targets.select(F.col("source").alias("__source"), "source_size", "target", "block", "shards")
+        shard = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "of"), F.col("shards"))
         return rows.join(plan, F.expr("source <=> __source")).withColumn("shard", shard).drop("__source")
 
     # Summed per shard of the smallest plan first, so a hot source is many partial sums.
     by_shard = (
         placed(sizes)
-        .groupBy("source", "shard", "source_quota")
+        .groupBy("source", "shard", "block")
         .agg(F.sum("size").alias("shard_size"))
-        .withColumn("__weight", F.col("shard_size").cast("double"))
+        .withColumn("n_blocks", F.ceil(F.col("shard_size") / F.col("block")))
     )
-    quotas = apportioned(by_shard, ["source"], "shard", "__weight", "source_quota").select(
-        F.col("source").alias("__source"), F.col("shard").alias("__shard"), "shard_size", "quota"
+    by_shard = stored(by_shard, "shards")
+    blocks_of = by_shard.groupBy(F.col("source").alias("__source")).agg(F.sum("n_blocks").alias("all_blocks"))
+    wanted = F.try_divide(F.col("target") * F.col("all_blocks"), F.col("source_size"))
+    sources = (
+        targets.join(blocks_of, F.expr("source <=> __source"))
+        .select("source", F.coalesce(wanted, F.lit(0.0)).alias("wanted"))
+        .withColumn("seats", F.round(F.sum("wanted").over(Window.partitionBy())).cast("long"))
+    )
+    sources = apportioned(sources, [], "source", "wanted", "seats")
+    sources = sources.select(F.col("source").alias("__source"), F.col("quota").alias("source_quota"))
+    weighed = by_shard.join(sources, F.expr("source <=> __source")).drop("__source")
+    weighed = weighed.withColumn("__weight", F.col("n_blocks").cast("double"))
+    quotas = apportioned(weighed, ["source"], "shard", "__weight", "source_quota").select(
+        F.col("source").alias("__source"),
+        F.col("shard").alias("__shard"),
+        "shard_size",
+        F.greatest("n_blocks", F.lit(1)).alias("n_blocks"),
+        F.least(F.col("quota"), F.col("n_blocks") * REPEATS).alias("quota"),
     )
     quotas = stored(quotas, "quotas")
 
-    n_blocks = F.greatest(F.lit(1), F.ceil(F.col("shard_size") / BLOCK))
-    order = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "size")
+    order = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id", "of"), "doc_id", "of", "size")
     offset = F.pmod(F.xxhash64(F.lit(seed + 2), "source", "shard"), F.col("n_blocks"))
     rows = (
         placed(docs)
         .join(quotas, F.expr("source <=> __source AND shard = __shard"))
-        .withColumn("n_blocks", n_blocks)
-        .withColumn("quota", F.least(F.col("quota"), F.col("n_blocks") * REPEATS))
         .withColumn("end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("start", F.col("end") - F.col("size"))
         .withColumn("offset", offset)
     )
+    # Block b has the shard's words from b * shard_size div n_blocks on.
     blocks = F.expr(f"""
         transform(
-            if(size > 0, sequence(start div {BLOCK}, (end - 1) div {BLOCK}), array()),
+            if(size > 0, sequence(((start + 1) * n_blocks - 1) div shard_size, (end * n_blocks - 1) div shard_size), array()),
             b -> named_struct(
-                'first', greatest(b * {BLOCK} - start, 0),
-                'length', least((b + 1) * {BLOCK}, end) - greatest(b * {BLOCK}, start),
+                'first', greatest(b * shard_size div n_blocks - start, 0),
+                'length', least((b + 1) * shard_size div n_blocks, end) - greatest(b * shard_size div n_blocks, start),
                 'times', quota div n_blocks
                     + if(pmod(b * {STRIDE} + offset, n_blocks) < quota % n_blocks, 1, 0)))
     """)
@@ -159,7 +172,7 @@ def with_mix(docs: DataFrame, sizes: DataFrame, seed: int = 0, weights: Sequence
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source", words_in(whole_text()).alias("size"))
+    return docs.select("doc_id", "source", F.xxhash64(whole_text()).alias("of"), words_in(whole_text()).alias("size"))
 
 
 def mixed_rows(docs: DataFrame, seed: int = 0, weights: Sequence[float] = WEIGHTS) -> DataFrame:
@@ -174,10 +187,11 @@ def mixed_texts(docs: DataFrame, seed: int = 0, weights: Sequence[float] = WEIGH
     A row whose words are all taken once comes out unchanged; the r-th repeat holds the stretches
     taken at least r times. Rows of which nothing is taken are left out.
     """
-    names = docs.columns
     sizes = stored(sized(docs), "sizes")
-    rows = docs.withColumn("text", whole_text()).withColumn("size", words_in(F.col("text")))
-    mixed = with_mix(rows, sizes, seed, weights).where("taken > 0")
+    other = [c for c in docs.columns if c not in ("doc_id", "source", "text", "n_chars")]
+    rest = F.struct(F.lit(0).alias("none"), *other).alias("rest")
+    rows = docs.select("doc_id", "source", rest, whole_text().alias("text"), F.xxhash64(whole_text()).alias("of"))
+    mixed = with_mix(rows.withColumn("size", words_in(F.col("text"))), sizes, seed, weights).where("taken > 0")
     # A word with the white space after it; the first takes what stands before it as well.
     pieces = F.regexp_extract_all("text", F.lit(rf"(?:^[\x20\x09-\x0D]*)?{WORD}[\x20\x09-\x0D]*"), 0)
     text = F.expr("""
@@ -186,10 +200,10 @@ def mixed_texts(docs: DataFrame, seed: int = 0, weights: Sequence[float] = WEIGH
             b -> array_join(slice(pieces, int(b.first + 1), int(b.length)), '')), ''))
     """)
     most = F.expr("array_max(transform(blocks, b -> b.times))")
-    return (
+    made = (
         mixed.withColumn("pieces", pieces)
         .withColumn("repeat", F.explode(F.sequence(F.lit(1).cast("long"), most)))
         .withColumn("text", text)
         .withColumn("n_chars", F.char_length("text").cast("long"))
-        .select(*names)
     )
+    return made.select(*[F.col("rest")[c].alias(c) if c in other else F.col(c) for c in docs.columns])
