@@ -76,7 +76,14 @@ def take_snapshot(rows: DataFrame) -> Snapshot:
 
 
 def screen(batch: DataFrame, snapshot: Snapshot) -> DataFrame:
-    """The batch's digests that may be in the snapshot (all that are, few others)."""
+    """The batch's digests that may be in the snapshot (all that are, few others).
+
+    A bucket's part of the batch is cut into slices of about ``BUCKET_KEYS`` digests, each of which
+    gets the bucket's filter: a group is bounded however much larger the batch is than the snapshot.
+    """
+    slices = batch.count() // (snapshot.buckets * BUCKET_KEYS) + 1
+    slice_of = F.pmod(F.floor(F.col("digest") / snapshot.buckets), F.lit(slices))
+    sent = snapshot.filters.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("long"))
 
     def probe(key: tuple, part: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
         if part.empty or filters.empty:
@@ -85,9 +92,9 @@ def screen(batch: DataFrame, snapshot: Snapshot) -> DataFrame:
         return part.loc[fuse.maybe_in(filters["filter"].iloc[0], keys), ["digest"]]
 
     return (
-        batch.select("digest", _bucket(snapshot.buckets).alias("bucket"))
-        .groupBy("bucket")
-        .cogroup(snapshot.filters.groupBy("bucket"))
+        batch.select("digest", _bucket(snapshot.buckets).alias("bucket"), slice_of.cast("long").alias("slice"))
+        .groupBy("bucket", "slice")
+        .cogroup(sent.groupBy("bucket", "slice"))
         .applyInPandas(probe, "digest long")
     )
 

@@ -47,3 +47,17 @@ def test_empty_table_and_clashing_columns(docs):
     assert exact.exact_groups(docs(), F.lit(False)).count() == 0
     extra = docs((1, "a"), (2, "a")).withColumn("digest", F.lit(0)).withColumn("n", F.lit(9))
     assert {tuple(r)[:4] for r in exact.exact_groups(extra, F.lit(False)).collect()} == {(1, 2, 2, False), (2, 2, 2, True)}
+
+
+def test_a_large_batch_is_cut_into_slices(spark, docs, monkeypatch):
+    monkeypatch.setattr(exact, "BUCKET_KEYS", 16)
+    rows = [(i, f"text {i % 300}") for i in range(400)]
+    for old in (F.lit(False), F.col("doc_id") < 3, F.col("doc_id") % 2 == 0):
+        assert sorted(map(tuple, exact.exact_groups(docs(*rows), old).collect()), key=repr) == expected(rows)
+    # With a snapshot of three, every one of them is found by the slice that holds it.
+    snapshot = exact.take_snapshot(exact.digest_rows(docs(*rows[:3])))
+    batch = exact._grouped(exact.digest_rows(docs(*rows)))
+    assert snapshot.buckets == 1
+    found = {r["digest"] for r in exact.screen(batch, snapshot).collect()}
+    assert {r["digest"] for r in snapshot.digests.collect()} <= found
+    assert len(found) < 20
