@@ -83,7 +83,8 @@ def screen(batch: DataFrame, snapshot: Snapshot) -> DataFrame:
     """
     slices = batch.count() // (snapshot.buckets * BUCKET_KEYS) + 1
     slice_of = F.pmod(F.floor(F.col("digest") / snapshot.buckets), F.lit(slices))
-    sent = snapshot.filters.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("long"))
+    numbers = F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))
+    sent = snapshot.filters.withColumn("slice", F.explode(numbers))
 
     def probe(key: tuple, part: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
         if part.empty or filters.empty:

@@ -41,7 +41,7 @@ from marketlens.llm.components import connected
 WORDS = 5
 LIKENESS = (75, 100)
 EXTRA = 0.08
-SHARD = 2_048
+SHARD = 512
 # Up to so many ids go to every task; more are joined by a shuffle.
 SENT_IDS = 2_000_000
 
@@ -299,17 +299,28 @@ def rest_links(lists: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame
         F.max(F.struct("size", "comp"))["comp"].alias("main"),
         F.ceil(F.sum("size") / SHARD).cast("int").alias("shards"),
     )
-    rows = items.join(plan, "cell").join(sets, "key")
     shard = F.pmod(F.xxhash64("key"), F.col("shards")).cast("int")
-    columns = ["cell", "shard", "key", "comp", "n", "tokens", "is_query"]
-    indexed = rows.withColumn("shard", shard).withColumn("is_query", F.lit(False)).select(*columns)
-    asking = (
-        rows.where("comp <> main")
-        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-        .withColumn("is_query", F.lit(True))
-        .select(*columns)
+    placed = stored(items.join(plan, "cell").withColumn("shard", shard), "placed")
+    # A query goes to the shards that hold a list in which it has to look: two linked items share one.
+    holds = marked.join(placed.select("key", "cell", "shard"), "key").select("token", "cell", "shard").distinct()
+    asked = (
+        marked.select("token", "key")
+        .join(placed.where("comp <> main").select("key", F.col("cell").alias("c")), "key")
+        .join(holds, "token")
+        .where("c = cell")
+        .select("key", "cell", "shard")
+        .distinct()
     )
-    return indexed.unionByName(asking).groupBy("cell", "shard").applyInPandas(_search, "a long, b long")
+    asked = stored(asked, "asked")
+    # Queries of a shard are cut as well, and its index goes to each part: both sides are bounded.
+    parts = asked.groupBy("cell", "shard").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("key", F.lit("part")), F.col("parts")).cast("int")
+    asking = asked.join(parts, ["cell", "shard"]).select("key", "cell", "shard", part.alias("part"), F.lit(True).alias("is_query"))
+    each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    indexed = placed.join(parts, ["cell", "shard"]).select("key", "cell", "shard", each.alias("part"), F.lit(False).alias("is_query"))
+    facts = sets.join(placed.select("key", "comp"), "key")
+    rows = indexed.unionByName(asking).join(facts, "key")
+    return rows.groupBy("cell", "shard", "part").applyInPandas(_search, "a long, b long")
 
 
 def linked(docs: DataFrame) -> DataFrame:
