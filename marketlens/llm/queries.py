@@ -141,7 +141,38 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_spans.with_secrets(docs, secret_spans.fit_field(docs)).drop("text")
 
 
-@query("op3_ngram_jaccard")
+_LINKED_SQL = r"""
+    WITH RECURSIVE worded AS (
+        SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), shingle AS (
+        SELECT DISTINCT row, array_to_string(w[i : i + 4], ' ') AS s
+        FROM worded, generate_series(1, greatest(1, len(w) - 4)) AS place(i)
+        WHERE len(w) > 0
+    ), size AS (
+        SELECT row, count(*) AS n FROM shingle GROUP BY row
+    ), shared AS (
+        SELECT a.row AS a, b.row AS b, count(*) AS o
+        FROM shingle AS a JOIN shingle AS b ON a.s = b.s AND a.row <> b.row
+        GROUP BY a.row, b.row
+    ), link AS (
+        SELECT a, b FROM shared JOIN size AS x ON x.row = a JOIN size AS y ON y.row = b
+        WHERE 100 * o >= 75 * (x.n + y.n - o)
+    ), reached AS (
+        SELECT row AS a, row AS b FROM worded
+        UNION
+        SELECT reached.a, link.b FROM reached JOIN link ON reached.b = link.a
+    ), component AS (
+        SELECT a AS row, min(doc_id) AS component_id FROM reached JOIN worded ON worded.row = b GROUP BY a
+    )
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+    FROM worded JOIN component USING (row) LEFT JOIN size USING (row)
+"""
+
+
+@query("op3_ngram_jaccard", _LINKED_SQL)
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.linked(table(spark, folder, "documents"))
 
