@@ -1,15 +1,18 @@
 """Find license texts by diagonal voting.
 
-All rolling word pairs of a document are hashed and joined to the pairs of the license templates
-(a fixed list, so it is sent to all tasks). A hit at word p of the document and q of the template
-votes for the diagonal p - q. Votes are summed per document, template and diagonal; diagonals of a
-template that lie within ``SLACK`` of each other merge, so a few inserted or missing words do not
-split a license; and a merged span counts if the template's places that it hits, each counted once,
-cover ``COVER`` of the template and have its telling words. Telling words are those that tell the
-license from others of like wording: all their pairs must be hit, of a single word one pair.
-Each hit compares the two words themselves, so a hash collision is no vote.
-
-Base phrases need every pair on one diagonal: their words stand consecutively there.
+The rolling grams of ``K`` words of a document are hashed and joined to those of the license
+templates (a fixed list, so it is sent to all tasks). Grams whose first word begins no template gram
+are left out before; they could not be joined. A hit at word p of the document and q of the template
+votes for the diagonal p - q. Votes are gathered per document, template and diagonal; diagonals of a
+template that lie within ``SLACK`` of the one before merge, so a few inserted or missing words do not
+split a license, as long as they stay within ``drift`` of the first: a place far off is a span of its
+own. A span is then verified: of its hits, in the order of the document, only those count that go
+forward in the template; they must cover ``COVER`` of its grams, and hold a gram with all of its
+telling words, which tell the license from others of like wording. Each hit compares the words
+themselves, so a hash collision is no vote.
+
+Base phrases need every gram on one diagonal: their words stand consecutively there. Templates are
+short notices, sentences, and whole bodies of licenses. Work grows in proportion with a text.
 
 Null and empty texts have no words and no labels. Every row is a document of its own, whatever its
 id; other columns are ignored. An empty table gives an empty result.
@@ -23,8 +26,11 @@ from pyspark.sql import functions as F
 from marketlens.llm.common import whole_text
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+K = 3
 SLACK = 3
 COVER = 0.6
+# How far the diagonals of one span may lie apart, and in a long template, a part of its grams.
+DRIFT, DRIFT_PART = 12, 0.25
 
 # Phrases and labels of the base search.
 BASE = {
@@ -63,6 +69,50 @@ TEMPLATES = {
     "licensed under a creative commons attribution noncommercial 4 0 international license": ("cc-by-nc", "attribution noncommercial"),
 }
 
+# Whole bodies and notices of licenses, by label and telling words.
+BODIES = {
+    """permission is hereby granted free of charge to any person obtaining a copy of this software and associated
+    documentation files the software to deal in the software without restriction including without limitation the
+    rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit
+    persons to whom the software is furnished to do so subject to the following conditions the above copyright notice
+    and this permission notice shall be included in all copies or substantial portions of the software the software is
+    provided as is without warranty of any kind express or implied including but not limited to the warranties of
+    merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright
+    holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise
+    arising from out of or in connection with the software or the use or other dealings in the software""": ("mit", "hereby granted"),
+    """permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
+    provided that the above copyright notice and this permission notice appear in all copies the software is provided as
+    is and the author disclaims all warranties with regard to this software including all implied warranties of
+    merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential
+    damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract
+    negligence or other tortious action arising out of or in connection with the use or performance of this
+    software""": ("isc", "author disclaims"),
+    """licensed under the apache license version 2 0 the license you may not use this file except in compliance with the
+    license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable
+    law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties
+    or conditions of any kind either express or implied see the license for the specific language governing permissions
+    and limitations under the license""": ("apache", "apache license"),
+    """this program is free software you can redistribute it and or modify it under the terms of the gnu general public
+    license as published by the free software foundation either version 3 of the license or at your option any later
+    version this program is distributed in the hope that it will be useful but without any warranty without even the
+    implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more
+    details""": ("gpl", "gnu general"),
+    """redistribution and use in source and binary forms with or without modification are permitted provided that the
+    following conditions are met redistributions of source code must retain the above copyright notice this list of
+    conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this
+    list of conditions and the following disclaimer in the documentation and or other materials provided with the
+    distribution this software is provided by the copyright holders and contributors as is and any express or implied
+    warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose
+    are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental
+    special exemplary or consequential damages including but not limited to procurement of substitute goods or services
+    loss of use data or profits or business interruption however caused and on any theory of liability whether in contract
+    strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if
+    advised of the possibility of such damage""": ("bsd", "must retain"),
+    """this is free and unencumbered software released into the public domain anyone is free to copy modify publish use
+    compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial
+    or non commercial and by any means""": ("unlicense", "unencumbered software"),
+}
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -74,85 +124,113 @@ def license_words(text: Column) -> Column:
     return F.slice(parts, head + 1, F.greatest(F.size(parts) - head - tail, F.lit(0)))
 
 
-def template_pairs(spark: SparkSession) -> DataFrame:
-    """``hash, template, q, first, second`` of each word pair, and a row that every document hits."""
-    rows = [(-1, -1, None, None)]
-    for number, phrase in enumerate([*BASE, *TEMPLATES]):
-        words = phrase.split()
-        rows += [(number, q, a, b) for q, (a, b) in enumerate(zip(words, words[1:], strict=False))]
-    pairs = spark.createDataFrame(rows, "template int, q int, first string, second string")
-    return pairs.withColumn("hash", F.when(F.col("template") < 0, F.lit(0).cast("long")).otherwise(F.xxhash64("first", "second")))
+def patterns() -> list[tuple[str, list[str], list[str] | None]]:
+    """Label, words and telling words of every base phrase (no telling words) and template."""
+    base = [(label, phrase.split(), None) for phrase, label in BASE.items()]
+    return base + [(label, text.split(), telling.split()) for text, (label, telling) in (TEMPLATES | BODIES).items()]
+
 
+def grams_of(words: list[str]) -> list[list[str]]:
+    """The rolling grams of ``K`` words; a shorter phrase is one gram."""
+    return [words[i : i + K] for i in range(max(1, len(words) - K + 1))]
 
-def telling_places(phrase: str, telling: str) -> tuple[list[int], int]:
-    """Pairs of the phrase with its telling words, and how many of them a span must hit."""
-    words, tell = phrase.split(), telling.split()
-    at = next(i for i in range(len(words)) if words[i : i + len(tell)] == tell)
-    if len(tell) > 1:
-        return list(range(at, at + len(tell) - 1)), len(tell) - 1
-    return [q for q in (at - 1, at) if 0 <= q < len(words) - 1], 1
+
+def template_grams(spark: SparkSession) -> DataFrame:
+    """``hash, template, q`` and words ``a, b, c`` of each gram, and a row that every document hits."""
+    rows = [(-1, -1, None, None, None)]
+    for number, (_, words, _) in enumerate(patterns()):
+        rows += [(number, q, *gram, *[None] * (3 - len(gram))) for q, gram in enumerate(grams_of(words))]
+    grams = spark.createDataFrame(rows, "template int, q int, a string, b string, c string")
+    return grams.withColumn("hash", F.when(F.col("template") < 0, F.lit(0).cast("long")).otherwise(F.xxhash64("a", "b", "c")))
 
 
 def template_facts(spark: SparkSession) -> DataFrame:
-    rows = [(i, label, len(p.split()) - 1, True, [], 0) for i, (p, label) in enumerate(BASE.items())]
-    for i, (p, (label, telling)) in enumerate(TEMPLATES.items(), len(BASE)):
-        rows.append((i, label, len(p.split()) - 1, False, *telling_places(p, telling)))
-    return spark.createDataFrame(
-        rows, "template int, label string, pairs int, is_base boolean, telling array<int>, least_telling int"
-    )
+    rows = []
+    for number, (label, words, telling) in enumerate(patterns()):
+        grams = grams_of(words)
+        places = [q for q, g in enumerate(grams) if telling and any(g[i : i + len(telling)] == telling for i in range(K))]
+        if telling and not places:
+            raise ValueError(f"no gram holds the telling words {telling}")
+        rows.append((number, label, len(grams), telling is None, places))
+    return spark.createDataFrame(rows, "template int, label string, grams int, is_base boolean, telling array<int>")
 
 
 def diagonal_votes(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, n_words, template, diagonal, first_q, places``; one row with template -1 per document.
+    """``row, doc_id, n_words, template, diagonal, places``; one row with template -1 per document.
 
     ``places``: the template's places that were hit on the diagonal, at most as many as it has.
     """
     spark = docs.sparkSession
-    words = docs.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", license_words(whole_text()).alias("words")
+    firsts = sorted({g[0] for _, words, _ in patterns() for g in grams_of(words)})
+    pairs = sorted({tuple(words) for _, words, _ in patterns() if len(words) == 2})
+    words = F.col("words")
+    begins = F.array_compact(F.transform(words, lambda w, p: F.when(w.isin(firsts), p)))
+    # Only the words of a gram travel with it, not those of its document.
+    gram = lambda p: F.struct(
+        p.alias("place"), F.get(words, p).alias("a"), F.get(words, p + 1).alias("b"), F.get(words, p + 2).alias("c")
+    )
+    none = F.lit(None).cast("string")
+    every = F.struct(F.lit(-1).alias("place"), none.alias("a"), none.alias("b"), none.alias("c"))
+    split = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", license_words(whole_text()).alias("words"))
+    grams = split.select(
+        "row", "doc_id", F.size("words").cast("long").alias("n_words"), F.inline(F.concat(F.array(every), F.transform(begins, gram)))
     )
-    # Place 0 is the row every document hits; place p + 1 is the pair at word p.
-    hashes = F.expr("""
-        concat(array(0L), transform(
-            slice(words, 1, greatest(size(words) - 1, 0)), (w, p) -> xxhash64(w, words[p + 1])))
-    """)
+    short = F.lit(False)
+    for one, two in pairs:
+        short = short | ((F.col("a") == one) & (F.col("b") == two))
+    # A phrase of two words is met by its own hash, whatever follows.
+    whole = F.when(F.col("c").isNotNull(), F.xxhash64("a", "b", "c"))
+    two = F.when(short, F.xxhash64("a", "b", none))
+    keys = F.when(F.col("place") < 0, F.array(F.lit(0).cast("long"))).otherwise(F.array_compact(F.array(whole, two)))
+    templates = F.broadcast(template_grams(spark)).select("hash", "template", "q", *[F.col(c).alias(f"t_{c}") for c in "abc"])
+    same = (F.col("a") == F.col("t_a")) & (F.col("b") == F.col("t_b")) & (F.col("t_c").isNull() | (F.col("c") == F.col("t_c")))
     hits = (
-        words.withColumn("n_words", F.size("words").cast("long"))
-        .select("*", F.posexplode(hashes).alias("place", "hash"))
-        .join(F.broadcast(template_pairs(spark)), "hash")
-        .where(
-            F.when(F.col("template") < 0, F.col("place") == 0).otherwise(
-                (F.col("place") > 0)
-                & (F.get("words", F.col("place") - 1) == F.col("first"))
-                & (F.get("words", F.col("place")) == F.col("second"))
-            )
-        )
+        grams.select("*", F.explode(keys).alias("hash"))
+        .join(templates, "hash")
+        .where(F.when(F.col("template") < 0, F.col("place") < 0).otherwise(same))
     )
-    diagonal = F.when(F.col("template") < 0, F.lit(0)).otherwise(F.col("place") - 1 - F.col("q"))
+    diagonal = F.when(F.col("template") < 0, F.lit(0)).otherwise(F.col("place") - F.col("q"))
     return hits.groupBy("row", "doc_id", "n_words", "template", diagonal.alias("diagonal")).agg(
-        F.min("q").alias("first_q"), F.collect_set("q").alias("places")
+        F.collect_set("q").alias("places")
     )
 
 
 def license_spans(votes: DataFrame) -> DataFrame:
-    """Merged diagonals: ``row, doc_id, n_words, template, label, is_base, start, cover``."""
+    """Verified spans: ``row, doc_id, n_words, template, label, is_base, start, cover``.
+
+    A document without any has one row, of template -1.
+    """
     facts = F.broadcast(template_facts(votes.sparkSession)).withColumnRenamed("template", "t")
     rows = votes.join(facts, votes["template"] == F.col("t"), "left").drop("t")
     near = Window.partitionBy("row", "template").orderBy("diagonal")
     # A base phrase merges nothing; other diagonals join the one before if it is near.
     far = F.coalesce(F.col("is_base") | (F.col("diagonal") - F.lag("diagonal").over(near) > SLACK), F.lit(True))
+    drift = F.greatest(F.lit(DRIFT), F.floor(F.col("grams") * DRIFT_PART))
+    first = F.min("diagonal").over(Window.partitionBy("row", "template", "chain"))
     merged = (
-        rows.withColumn("span", F.sum(far.cast("int")).over(near))
-        .groupBy("row", "doc_id", "n_words", "template", "label", "is_base", "pairs", "telling", "least_telling", "span")
-        .agg(
-            F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
-            F.min(F.col("diagonal") + F.col("first_q")).alias("start"),
-        )
-        .withColumn("cover", F.size("places") / F.col("pairs"))
+        rows.withColumn("chain", F.sum(far.cast("int")).over(near))
+        .withColumn("part", F.floor((F.col("diagonal") - first) / drift))
+        .groupBy("row", "doc_id", "n_words", "template", "label", "is_base", "grams", "telling", "chain", "part")
+        .agg(F.collect_list(F.struct("diagonal", "places")).alias("votes"))
+    )
+    hit = lambda v: F.transform(v["places"], lambda q: F.struct((v["diagonal"] + q).alias("p"), q.alias("q")))
+    hits = F.array_sort(F.flatten(F.transform("votes", hit)))
+    # In the order of the document, what goes forward in the template.
+    forward = F.aggregate(
+        hits,
+        F.array().cast("array<int>"),
+        lambda kept, h: F.when(h["q"] > F.coalesce(F.array_max(kept), F.lit(-1)), F.concat(kept, F.array(h["q"]))).otherwise(kept),
+    )
+    spans = (
+        merged.withColumn("hits", hits)
+        .withColumn("kept", forward)
+        .withColumn("start", F.col("hits")[0]["p"])
+        .withColumn("cover", F.size("kept") / F.col("grams"))
     )
-    told = F.size(F.array_intersect("places", "telling")) >= F.col("least_telling")
+    told = F.col("is_base") | F.arrays_overlap("kept", "telling")
     least = F.when(F.col("is_base"), F.lit(1.0)).otherwise(F.lit(COVER))
-    return merged.where(F.col("template").eqNullSafe(-1) | ((F.col("cover") >= least) & told))
+    sound = (F.col("template") == -1) | ((F.col("cover") >= least) & told)
+    return spans.where(sound).select("row", "doc_id", "n_words", "template", "label", "is_base", "start", "cover")
 
 
 def license_rows(docs: DataFrame) -> DataFrame:

@@ -91,6 +91,36 @@ def test_license_labels_need_telling_words_and_distinct_places(docs):
     assert {t: got[i]["labels"] for i, t in enumerate(texts)} == texts
 
 
+def test_license_spans_are_verified_in_order(docs):
+    body = next(t for t, (label, _) in licenses.BODIES.items() if label == "isc")
+    words = body.split()
+    rng = random.Random(3)
+    changed = [w for w in words if rng.random() > 0.04]
+    backwards = " ".join(" ".join(words[i : i + 3]) for i in range(len(words) - 3, -1, -3))
+    scattered = " filler words here ".join(" ".join(words[i : i + 3]) for i in range(0, len(words), 3))
+    texts = {1: body.upper(), 2: "before " * 50 + " ".join(changed) + " after", 3: backwards, 4: scattered, 5: " ".join(words[: len(words) // 3])}
+    got = by_id(licenses.license_rows(docs(*texts.items())))
+    assert {i: got[i]["labels"] for i in texts} == {1: "isc", 2: "isc", 3: "", 4: "", 5: ""}
+    assert got[1]["score"] == 1.0 and 0.6 <= got[2]["score"] < 1
+    # All bodies find themselves.
+    bodies = list(licenses.BODIES.items())
+    found = by_id(licenses.license_rows(docs(*[(i, t) for i, (t, _) in enumerate(bodies)])))
+    assert all(label in found[i]["labels"].split(",") and found[i]["score"] == 1 for i, (_, (label, _)) in enumerate(bodies))
+
+
+def test_license_work_grows_with_the_text(docs):
+    import time
+
+    def seconds(n):
+        df = docs((1, "the software is provided " * (n // 4)))
+        start = time.perf_counter()
+        assert licenses.license_rows(df).first()["n_words"] == n
+        return time.perf_counter() - start
+
+    seconds(4_000)
+    assert seconds(320_000) < 12 * seconds(80_000)
+
+
 # --- Fingerprints ----------------------------------------------------------------------------
 
 
