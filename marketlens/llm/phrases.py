@@ -41,7 +41,7 @@ SCALE, COVER = 2_000_000, 80
 # Bits of the bitmap of pairs: 2 MB.
 SLOTS = 1 << 24
 # Distinct grams that a task holds before it hands them on, and grams added up at a time.
-HELD, STEP = 400_000, 20_000
+HELD, STEP = 250_000, 20_000
 # Edges of a path that are one group; longer paths are given in parts.
 PART = 1000
 
