@@ -1,8 +1,8 @@
 """Document fingerprints by consistent weighted sampling.
 
-A text is a weighted set: its terms are words, hashed to ``TERMS`` numbers, weighted by how often
-they occur. For sample k and term i there are fixed variates r, c ~ Gamma(2, 1) and b ~ U(0, 1). A
-term of weight w has
+A text is a weighted set: its terms are words, by a hash of 64 bits, weighted by how often they occur.
+For sample k and term i there are fixed variates r, c ~ Gamma(2, 1) and b ~ U(0, 1). A term of weight
+w has
 
     t = floor(ln w / r + b),   ln a = ln c - r (t - b) - r
 
@@ -10,12 +10,15 @@ and the sample of a text is its smallest ln a. Two texts have equal samples with
 their generalised Jaccard similarity: sum of smaller weights over sum of larger weights. The
 smallest value itself serves as the sample, since term and t alone decide it.
 
-The variates are a table of ``TERMS`` rows whatever the data, sent to all tasks. Documents are
-spread over ranges of ids; all steps after that exchange stay within the range, so each text moves
-once. Fingerprint: ``SAMPLES`` times eight hexadecimal digits.
+The variates of a term and a sample come from one hash of both, for any number of terms: four parts
+of 12 bits are uniform variates, the logarithm of two of them gives r and that of the others c, and 16
+bits are b. Documents are spread over ranges of ids; all steps after that exchange
+stay within the range, so each text moves once. Fingerprint: ``SAMPLES`` times eight hexadecimal
+digits.
 
 Null texts count as empty. Two empty texts are alike (1), an empty and another are not (0). Null ids
-come last, equal ids in the order of a hash of their text. A single document is its own neighbour.
+come last, equal ids in the order of a hash of their text; null ids are spread by that hash. A single
+document is its own neighbour. Other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +30,6 @@ from pyspark.sql import functions as F
 
 from marketlens.llm.common import SPACE, whole_text
 
-TERMS = 8_192
 SAMPLES = 64
 WIDTH = 8
 RANGE_ROWS = 1_000
@@ -39,48 +41,34 @@ def words_of(text: Column) -> Column:
     return F.split(text, SPACE + "+")
 
 
-def variates(spark: SparkSession, samples: int = SAMPLES) -> DataFrame:
-    """``term``, ``part`` and, for the ``WIDTH`` samples of the part, their variates as columns.
+def with_draws(rows: DataFrame) -> DataFrame:
+    """``rows`` once for each part of ``WIDTH`` samples, with a hash ``h{j}`` per term and sample.
 
-    Column ``r{j}`` holds r, ``b{j}`` b, ``c{j}`` ln c, and ``v{j}`` the sample of a term of weight
-    one, which most are; these stand first, so that most look-ups touch little of a row. A few
-    samples per row keep the generated code of the sums small enough to be compiled.
+    A few samples per row keep the generated code of the sums small enough to be compiled.
     """
     sample = F.col("part") * WIDTH
-
-    def uniform(j: int, which: int) -> Column:
-        bits = F.shiftrightunsigned(F.xxhash64("term", sample + j, F.lit(which)), 11)
-        return (bits.cast("double") + 0.5) / float(1 << 53)
-
-    def gamma(j: int, which: int) -> Column:
-        return -F.log(uniform(j, which) * uniform(j, which + 1))
-
-    rows = spark.range(0, TERMS * (samples // WIDTH), 1, 1).select(
-        F.floor(F.col("id") / (samples // WIDTH)).cast("int").alias("term"),
-        (F.col("id") % (samples // WIDTH)).cast("int").alias("part"),
-    )
-    drawn = rows.select(
-        "term",
-        "part",
-        *[gamma(j, 0).alias(f"r{j}") for j in range(WIDTH)],
-        *[uniform(j, 2).alias(f"b{j}") for j in range(WIDTH)],
-        *[F.log(gamma(j, 3)).alias(f"c{j}") for j in range(WIDTH)],
-    )
-    single = [log_a(j, F.lit(0.0)).alias(f"v{j}") for j in range(WIDTH)]
-    return drawn.select("term", "part", *single, *[c for c in drawn.columns if c not in ("term", "part")])
+    return rows.select("*", *[F.xxhash64("term", sample + j).alias(f"h{j}") for j in range(WIDTH)])
 
 
 def log_a(j: int, log_w: Column) -> Column:
-    r, b = F.col(f"r{j}"), F.col(f"b{j}")
-    return F.col(f"c{j}") - r * (F.floor(log_w / r + b) - b) - r
+    # A product of two uniform variates; minus its logarithm is Gamma(2, 1).
+    part = lambda low: F.shiftrightunsigned(F.col(f"h{j}"), low).bitwiseAND(F.lit(4095)) + 0.5
+    r, c = (-F.log(part(low) * part(low - 12) / float(1 << 24)) for low in (52, 28))
+    b = (F.col(f"h{j}").bitwiseAND(F.lit(65535)) + 0.5) / 65536.0
+    return F.log(c) - r * (F.floor(log_w / r + b) - b + 1)
 
 
 def with_ranges(docs: DataFrame) -> tuple[DataFrame, int]:
-    """``docs`` with the number of its id range in ``bucket`` (null ids: -1), and their count.
+    """``docs`` (with ``tie``) with the number of its id range in ``bucket``, and their count.
 
-    The limits are quantiles of the ids, about ``RANGE_ROWS`` rows apart, searched in two steps.
+    The limits are quantiles of the ids, about ``RANGE_ROWS`` rows apart, searched in two steps. Null
+    ids have ranges below 0, of their ties.
     """
-    n = docs.count()
+    n, nulls = docs.agg(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
+    deep = max(1, nulls // RANGE_ROWS).bit_length() - 1
+    # The sign bit flipped, the highest bits of a tie number its range in order.
+    tie = F.shiftrightunsigned(F.col("tie").bitwiseXOR(F.lit(-1 << 63)), 64 - deep) if deep else F.lit(0)
+    of_null = (tie - (1 << deep)).cast("int")
     ranges = min(MOST_RANGES, n // RANGE_ROWS + 1)
     side = math.isqrt(ranges - 1) + 1 if ranges > 1 else 1
     cuts = []
@@ -88,20 +76,20 @@ def with_ranges(docs: DataFrame) -> tuple[DataFrame, int]:
         steps = [i / ranges for i in range(1, ranges)]
         cuts = [int(x) for x in docs.select("doc_id").dropna().approxQuantile("doc_id", steps, 0.25 / ranges)]
     if not cuts:
-        return docs.withColumn("bucket", F.when(F.col("doc_id").isNull(), -1).otherwise(0)), 1
+        return docs.withColumn("bucket", F.when(F.col("doc_id").isNull(), of_null).otherwise(0)), 1
     rows = [cuts[i : i + side] for i in range(0, len(cuts), side)]
     tops = "array(" + ",".join(f"{r[0]}L" for r in rows) + ")"
     table = "array(" + ",".join("array(" + ",".join(f"{x}L" for x in r) + ")" for r in rows) + ")"
     block = f"size(filter({tops}, x -> x <= doc_id))"
     place = f"if({block} = 0, 0, ({block} - 1) * {side} + size(filter({table}[{block} - 1], x -> x <= doc_id)))"
-    return docs.withColumn("bucket", F.expr(f"if(doc_id IS NULL, -1, {place})")), ranges
+    found = F.when(F.col("doc_id").isNull(), of_null).otherwise(F.expr(place))
+    return docs.withColumn("bucket", found), ranges
 
 
 def with_next_text(docs: DataFrame) -> tuple[DataFrame, int]:
     """``bucket, ord, doc_id, text, next_text``: the neighbour by descending id, the last's is the first."""
-    rows = docs.select("doc_id", whole_text().alias("text"))
+    rows = docs.select("doc_id", whole_text().alias("text")).withColumn("tie", F.xxhash64("text"))
     rows, ranges = with_ranges(rows)
-    rows = rows.withColumn("tie", F.xxhash64("text"))
     # The first row of each range is needed at the end of the range above it; one row per range.
     heads = rows.groupBy("bucket").agg(F.max(F.struct("doc_id", "tie")).alias("head"))
     above = Window.orderBy("bucket")
@@ -153,7 +141,7 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     texts = paired.withColumn("changed", changed)
     facts = [F.col("doc_id").cast("long"), F.char_length("text").cast("long"), *_sha_longs(F.col("changed"))]
     fact = lambda kind, term, value: F.struct(
-        F.lit(kind).alias("kind"), F.lit(term).alias("term"), value.alias("n")
+        F.lit(kind).alias("kind"), F.lit(term).cast("long").alias("term"), value.alias("n")
     )
 
     def terms(kind: int, text: Column) -> Column:
@@ -163,7 +151,7 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
                 w != "",
                 F.struct(
                     F.lit(kind).alias("kind"),
-                    F.pmod(F.xxhash64(w), F.lit(TERMS)).cast("int").alias("term"),
+                    F.xxhash64(w).alias("term"),
                     F.lit(1).cast("long").alias("n"),
                 ),
             ),
@@ -182,17 +170,14 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
         .agg(F.sum("n").alias("n"))
         .withColumn("log_w", F.when(F.col("kind") < FACTS, F.log(F.col("n").cast("double"))))
     )
-    table = variates(docs.sparkSession, samples)
-    def sample(j: int) -> Column:
-        single = F.when((F.col("n") == 1) & (F.col("kind") < FACTS), F.col(f"v{j}"))
-        return F.min(single.otherwise(log_a(j, F.col("log_w")))).alias(f"a{j}")
+    parts = F.explode(F.array(*[F.lit(p) for p in range(samples // WIDTH)]))
+    drawn = with_draws(weighted.withColumn("part", parts))
 
     # The facts of a document ride on the terms 0 to 5 of their kind; fact i is read off part i.
     per_part = (
-        weighted.join(F.broadcast(table), "term")
-        .groupBy("bucket", "ord", "kind", "part")
+        drawn.groupBy("bucket", "ord", "kind", "part")
         .agg(
-            *[sample(j) for j in range(WIDTH)],
+            *[F.min(log_a(j, F.col("log_w"))).alias(f"a{j}") for j in range(WIDTH)],
             F.max(F.when((F.col("kind") == FACTS) & (F.col("term") == F.col("part")), F.col("n"))).alias("fact"),
         )
     )

@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marketlens.llm import attention, fingerprints, licenses, lm_score, pieces, quality, secret_spans
 
@@ -143,6 +144,39 @@ def test_fingerprints_estimate_weighted_jaccard(docs, corpus, monkeypatch):
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.09
 
 
+def test_fingerprints_of_long_and_unlike_texts(docs):
+    make = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    # By descending id: unlike its next, half of it shared, and twice as often.
+    shared = make("s", 6_000)
+    texts = {
+        6: make("a", 20_000),
+        5: make("b", 20_000),
+        4: shared + " " + make("c", 6_000),
+        3: shared,
+        2: shared + " " + shared,
+        1: "",
+    }
+    got = by_id(fingerprints.with_likeness(fingerprints.fingerprints(docs(*texts.items()), 256), 256))
+    for i, want in ((6, 0.0), (5, 0.0), (4, 0.5), (3, 0.5), (2, 0.0), (1, 0.0)):
+        assert got[i]["near_next"] == pytest.approx(want, abs=0.11 if want else 0.02), i
+
+
+def test_rows_without_id_are_spread_and_keep_their_order(docs, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 4)
+    rows = [(None, f"text {i} of none") for i in range(40)] + [(i, f"text {i}") for i in range(5)]
+    prints = fingerprints.fingerprints(docs(*rows))
+    buckets = {r["bucket"] for r in prints.where("doc_id IS NULL").select("bucket").distinct().collect()}
+    assert min(buckets) >= -16 and max(buckets) == -1 and len(buckets) > 4
+    got = fingerprints.with_likeness(prints).collect()
+    ordered = docs(*rows).orderBy(F.desc_nulls_last("doc_id"), F.xxhash64("text").desc()).collect()
+    texts = [r["text"] for r in ordered]
+    want = Counter()
+    for text, following in zip(texts, [*texts[1:], texts[0]], strict=True):
+        half = len(text) // 2
+        want[hashlib.sha256((text[: len(text) - half] + following[:half]).encode()).hexdigest()] += 1
+    assert Counter(r["edited_sha256"] for r in got) == want
+
+
 def test_fingerprints_of_odd_rows(docs, odd_rows):
     got = fingerprints.with_likeness(fingerprints.fingerprints(docs(*odd_rows))).collect()
     assert len(got) == len(odd_rows)
