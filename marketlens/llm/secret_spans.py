@@ -1,21 +1,22 @@
 """Find secrets: fixed patterns, and a linear-chain conditional random field over tokens.
 
 Tokens are runs of bytes between white space and delimiters; each delimiter is a token. The field
-tags the tokens of a line as begin, inside or outside of a secret. While it learns, a line of over
-``SEQUENCE`` tokens is cut into sequences of so many, whose features still look across the cut; when
-it scans, such a line is decoded in sequences that overlap by ``MARGIN`` tokens on either side, and
-tags are taken from their middles, so a secret at a cut is one span. What a token scores for a tag
-comes from its shape, its word, the words and shapes around it, and features of the whole text;
-lines are decoded by Viterbi, many at once in numpy.
+tags the tokens of a line as begin, inside or outside of a secret. What a token scores for a tag
+comes from its shape, its word, the words and shapes around it, and features of the whole text.
+Whole lines are decoded by Viterbi, many of similar length at once in numpy; only while the field
+learns is a line of over ``SEQUENCE`` tokens cut, with features that look across the cut.
 
 The field is trained here by maximum likelihood on at most ``TRAIN_HITS`` texts with a match of the
 patterns and ``TRAIN_OTHERS`` texts at large, chosen by a hash of the id, none over ``TRAIN_CHARS``
-characters; the secrets that the patterns find are its labels. Words are dropped at random while it
-learns, so it knows secrets by their shape as well and adds spans that no pattern gives. A span that
-reaches further than a pattern's match stands beside it; one that a match covers is left out. Scanning
-has no bound: whole texts, all rows.
-
-Null and empty texts have no spans. Other columns are ignored. An empty table gives an empty result.
+characters. Its labels are the secrets that the patterns find, and secrets of forms that no pattern
+gives, which are planted into copies of the texts at large: random strings after words such as
+``INTROS``, or alone. The same words before ordinary ones are planted too, and are no secrets. Words are
+dropped at random while it learns, so it knows secrets by their shape as well. A span that reaches
+further than a pattern's match stands beside it; one that a match covers is left out. Scanning has no
+bound: whole texts, all rows.
+
+Null and empty texts have no spans. Other columns are kept; those with the names of the result are
+replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from marketlens.llm.common import chosen_texts, whole_text
 TRAIN_HITS, TRAIN_OTHERS, TRAIN_CHARS = 200, 300, 20_000
 STEPS, RATE, DROP = 40, 0.5, 0.4
 SEQUENCE = 128
-MARGIN = 32
+PLANTS = 16
 RUN_BYTES = 4_000_000
 WORD_BITS = 12
 SHAPES = 8 * 32
@@ -51,10 +52,27 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 8, "access": 16, "hex": 32}
+# The field's spans have a digit: without one, a secret is not told from a word for certain.
+_DIGIT = re.compile("[0-9]")
 _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 # The same three, for Spark to choose training texts.
 _LIKELY = r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{12}|[0-9a-f]{32}"
 
+# Words that the planted secrets follow, and the characters that these are made of.
+INTROS = (
+    "password is", "the password was", "my pwd", "passphrase", "bearer", "authorization bearer", "credential",
+    "login with", "private key", "signing key is", "auth", "session", "pin code", "client key", "use key", "",
+)
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+ALPHABETS = (
+    _LETTERS + _LETTERS.upper() + "0123456789",
+    _LETTERS + _LETTERS.upper() + "0123456789!#$%&*+-_@^~",
+    _LETTERS + "0123456789",
+    "0123456789ABCDEF",
+    _LETTERS.upper() + "0123456789",
+    _LETTERS + _LETTERS.upper() + "0123456789+/",
+)
+
 _DELIMITERS = b"\"'`,;:=()[]{}<>|"
 
 
@@ -262,22 +280,6 @@ def decode(field: Field, features: np.ndarray, line: np.ndarray) -> np.ndarray:
     return tags
 
 
-def decode_lines(field: Field, features: np.ndarray, line: np.ndarray, whole: np.ndarray) -> np.ndarray:
-    """The tags of whole lines: sequences (``line``) are decoded with ``MARGIN`` tokens around them."""
-    if not len(line):
-        return np.zeros(0, np.int8)
-    first, length = _lines(line)
-    line_first, line_length = _lines(whole)
-    at = np.searchsorted(line_first, first, side="right") - 1
-    low = np.maximum(first - MARGIN, line_first[at])
-    high = np.minimum(first + length + MARGIN, (line_first + line_length)[at])
-    size = high - low
-    number = np.repeat(np.arange(len(first)), size)
-    place = np.arange(len(number)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
-    own = (place >= first[number]) & (place < (first + length)[number])
-    return decode(field, features[place], number)[own]
-
-
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis)
     return top + np.log(np.exp(x - np.expand_dims(top, axis)).sum(axis))
@@ -311,8 +313,40 @@ def _marginals(scores: np.ndarray, moves: np.ndarray, line: np.ndarray) -> tuple
     return out, pairs
 
 
-def train(texts: list[str], seed: int = 0) -> Field:
-    """Fit by maximum likelihood with AdaGrad; labels are the values that the patterns find."""
+def made_secret(rng: np.random.Generator) -> str:
+    """A random string of 12 to 48 characters, with at least one digit."""
+    letters = ALPHABETS[rng.integers(len(ALPHABETS))]
+    made = [letters[i] for i in rng.integers(0, len(letters), rng.integers(12, 49))]
+    made[rng.integers(len(made))] = str(rng.integers(10))
+    return "".join(made)
+
+
+def planted(texts: list[str], rng: np.random.Generator, intros: tuple[str, ...] = INTROS) -> tuple[list[str], list[list[tuple[int, int]]]]:
+    """Copies of the texts with phrases put between their words, and where the secrets among them stand."""
+    out, spans = [], []
+    for text in texts:
+        places = [m.end() for m in re.finditer(r"[^\s] ", text)] or [0]
+        cuts = sorted(rng.choice(places, min(PLANTS, len(places)), replace=False).tolist())
+        made, found, last = [], [], 0
+        for cut in cuts:
+            made.append(text[last:cut])
+            intro = intros[rng.integers(len(intros))]
+            if rng.random() < 0.3:  # ordinary words after the same intro
+                made.append(f"{intro} ")
+            else:
+                made.append(f"{intro} ".lstrip())
+                begin = sum(map(len, made))
+                made.append(made_secret(rng))
+                found.append((begin, begin + len(made[-1])))
+                made.append(" ")
+            last = cut
+        out.append("".join([*made, text[last:]]))
+        spans.append(found)
+    return out, spans
+
+
+def train(texts: list[str], seed: int = 0, spans: list[list[tuple[int, int]]] | None = None) -> Field:
+    """Fit by maximum likelihood with AdaGrad; labels are the values that the patterns find, and ``spans``."""
     moves = np.zeros((3, 3))
     moves[OUTSIDE, INSIDE] = NEVER
     weights = np.zeros((N_FEATURES, 3))
@@ -324,7 +358,8 @@ def train(texts: list[str], seed: int = 0) -> Field:
     gold = np.zeros(len(tokens.start), np.int64)
     offsets = np.cumsum([0, *(len(d) + 1 for d in data)])
     for i, text in enumerate(texts):
-        for *_, a, b in base_matches(text):
+        known = [(a, b) for *_, a, b in base_matches(text)] + (spans[i] if spans else [])
+        for a, b in known:
             low = offsets[i] + len(text[:a].encode("utf-8", "replace"))
             high = offsets[i] + len(text[:b].encode("utf-8", "replace"))
             inside = np.flatnonzero((tokens.start < high) & (tokens.end > low))
@@ -368,19 +403,24 @@ def fit_field(docs: DataFrame) -> Field:
     texts = docs.select("doc_id", whole_text().alias("text"))
     texts = texts.where(F.char_length("text").between(1, TRAIN_CHARS))
     hits = chosen_texts(texts.where(F.col("text").rlike(_LIKELY)), TRAIN_HITS, "hits")
-    return train([*hits, *chosen_texts(texts, TRAIN_OTHERS, "others")])
+    return train_planted(hits, chosen_texts(texts, TRAIN_OTHERS, "others"))
+
+
+def train_planted(hits: list[str], others: list[str], seed: int = 0) -> Field:
+    """Train on texts as they are, and on copies of a third of the texts at large with secrets planted."""
+    made, spans = planted(others[::3], np.random.default_rng(seed))
+    plain = [*hits, *others]
+    return train([*plain, *made], seed, [[] for _ in plain] + spans)
 
 
 def field_spans(texts: list[str], data: list[bytes], field: Field) -> list[list[tuple[int, int]]]:
     """Per text the tagged spans in code points."""
     tokens = tokenized(data)
-    tags = decode_lines(field, tokens.features, tokens.line, tokens.whole)
+    tags = decode(field, tokens.features, tokens.whole)
     out: list[list[tuple[int, int]]] = [[] for _ in texts]
     offsets = np.cumsum([0, *(len(d) + 1 for d in data)])
     same = np.append(False, tokens.whole[1:] == tokens.whole[:-1])[: len(tags)]
-    # Where the tags of two sequences meet, a secret may go on that the one before did not see.
-    opens = (tags == INSIDE) & ~(same & (np.append(OUTSIDE, tags[:-1]) != OUTSIDE)[: len(tags)])
-    for i in np.flatnonzero((tags == BEGIN) | opens):
+    for i in np.flatnonzero(tags == BEGIN):
         j = i
         while j + 1 < len(tags) and tags[j + 1] == INSIDE and same[j + 1]:
             j += 1
@@ -397,7 +437,11 @@ def spans_of(texts: list[str], field: Field) -> list[tuple]:
     rows = []
     for text, raw, tagged in zip(texts, data, field_spans(texts, data, field), strict=True):
         base = base_matches(text, raw)
-        extra = [(s, e) for s, e in tagged if not any(bs <= s and e <= be for bs, _, be, _, _ in base)]
+        extra = [
+            (s, e)
+            for s, e in tagged
+            if _DIGIT.search(text, s, e) and not any(bs <= s and e <= be for bs, _, be, _, _ in base)
+        ]
         spans = [(s, KINDS.index(k), e) for s, k, e, _, _ in base]
         text_of = lambda found: ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(found))
         kinds = [k for _, k, _, _, _ in base]
@@ -433,4 +477,5 @@ def with_secrets(docs: DataFrame, field: Field) -> DataFrame:
 
     scanned.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     found = F.pandas_udf(scanned, SCHEMA)(whole_text())
-    return docs.withColumn("__found", found).select(*docs.columns, *[F.col(f"__found.{n}") for n in names])
+    kept = [c for c in docs.columns if c not in names]
+    return docs.withColumn("__found", found).select(*kept, *[F.col(f"__found.{n}") for n in names])

@@ -308,6 +308,54 @@ def test_secret_across_the_cut_of_a_long_line_is_one_span():
     assert [text[a:b] for a, b in spans] == ["XY ZQ"]
 
 
+def test_field_finds_secrets_that_no_pattern_gives(corpus):
+    """Held-out texts and words before the secrets; base patterns cover none of what is counted."""
+    texts = [r["text"] for r in corpus.orderBy("doc_id").collect() if r["text"] and len(r["text"]) < 20_000]
+    hits = [t for t in texts[::2] if secret_spans.base_matches(t)]
+    field = secret_spans.train_planted(hits, texts[::2])
+    intros = ("webhook", "license code is", "connection string", "door code", "passcode was")
+    made, planted = secret_spans.planted(texts[1::2], np.random.default_rng(9), intros)
+    right = wrong = missed = 0
+    for text, want, row in zip(made, planted, secret_spans.spans_of(made, field), strict=True):
+        covered = [(s, e) for s, _, e, _, _ in secret_spans.base_matches(text)]
+        want = {(a, b) for a, b in want if not any(s < b and a < e for s, e in covered)}
+        found = [tuple(map(int, x.split(":")[1:])) for x in row[-1].split(",") if x.startswith("crf")]
+        found = {(a, b) for a, b in found if not any(s < b and a < e for s, e in covered)}
+        right, wrong, missed = right + len(found & want), wrong + len(found - want), missed + len(want - found)
+    assert right > 200
+    assert right / (right + wrong) > 0.97
+    assert right / (right + missed) > 0.4
+    # Texts as they are: next to nothing beside the patterns.
+    plain = secret_spans.spans_of(texts[1::2], field)
+    assert sum(r[-1].count("crf") for r in plain) <= len(plain) / 50
+
+
+def test_long_lines_are_decoded_whole():
+    rng = np.random.default_rng(2)
+    field = secret_spans.Field(rng.normal(size=(secret_spans.N_FEATURES, 3)).astype(np.float32), rng.normal(size=(3, 3)))
+    field.moves[secret_spans.OUTSIDE, secret_spans.INSIDE] = secret_spans.NEVER
+    n = 700
+    features = rng.integers(0, secret_spans.N_FEATURES, (n, 5))
+    tags = secret_spans.decode(field, features, np.zeros(n, int))
+    scores = field.weights[features].sum(1)
+    best, came = scores[0] + [0, 0, secret_spans.NEVER], []
+    for t in range(1, n):
+        ways = best[:, None] + field.moves
+        came.append(ways.argmax(0))
+        best = ways.max(0) + scores[t]
+    path = [int(best.argmax())]
+    for back in reversed(came):
+        path.append(int(back[path[-1]]))
+    assert tags.tolist() == path[::-1]
+
+
+def test_result_columns_replace_those_of_the_input(docs):
+    extra = docs((1, "password: Abcd1234xyz")).withColumn("spans", F.lit("old")).withColumn("other", F.lit(1))
+    got = secret_spans.with_secrets(extra, secret_spans.train([]))
+    assert got.columns.count("spans") == 1 and "other" in got.columns
+    assert got.first()["spans"].startswith("assign:0:21")
+
+
 # --- Language models -------------------------------------------------------------------------
 
 
