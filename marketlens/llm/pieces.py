@@ -10,7 +10,8 @@ The best segmentation has the highest sum of piece scores; of equal ones, the on
 is longest, and so on backwards. Characters without a piece become their UTF-8 bytes. A word mark in
 the text itself is such a character, so decoding gives back every text exactly.
 
-Null texts count as empty; empty texts have no ids. Very long words cost time in proportion. Tokens
+Null texts count as empty; empty texts have no ids. Repeated rows are all returned, other columns are
+ignored, and an empty table gives an empty result. Very long words cost time in proportion. Tokens
 are read from a vocabulary file whose path is a parameter; nothing is trained.
 """
 

@@ -158,6 +158,10 @@ def _some_chars(text: Column, order: Column) -> Column:
 
 
 def with_quality(docs: DataFrame, model: QualityModel, score: str = "score") -> DataFrame:
-    """``docs`` with the score from 0 to 1 of each whole text in column ``score``."""
+    """``docs`` with the score from 0 to 1 of each whole text in column ``score``.
+
+    A column of that name is replaced, all others are kept. Null texts count as empty; repeated rows,
+    and texts that are equal, get the same score. An empty table gives an empty result.
+    """
     x = compressed_difference(whole_text(), model.good, model.bad)
     return docs.withColumn(score, 1 / (1 + F.exp(-(x * model.slope + model.offset))))

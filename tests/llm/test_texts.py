@@ -483,3 +483,22 @@ def test_short_texts_train_the_weights(monkeypatch):
     monkeypatch.setattr(attention, "STEPS", 0)
     blank = attention.train(texts, counts, edge=50)
     assert attention.log10_scores(model, texts).sum() > 0.9 * attention.log10_scores(blank, texts).sum()
+
+
+# --- Names that clash ------------------------------------------------------------------------
+
+
+@needs_tokenizers
+def test_other_columns_of_any_name_do_no_harm(spark, docs):
+    """Each operator with columns named as those it makes on the way, and a repeated row."""
+    names = ["ids", "row", "n", "term", "word", "pair", "bucket", "ord", "words", "place", "kind", "key", "value", "template"]
+    base = docs((1, "under the mit license here"), (2, None), (2, None), (3, "one two"))
+    extra = base.withColumns({c: F.lit("x") for c in names})
+    assert pieces.encoded_rows(extra).count() == 4
+    assert licenses.license_rows(extra).count() == 4
+    assert lm_score.scored_rows(extra).count() == 4
+    assert fingerprints.with_likeness(fingerprints.fingerprints(extra)).count() == 4
+    labels = spark.createDataFrame([(1, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    scored = quality.with_quality(extra.withColumn("score", F.lit("old")), quality.fit_quality(extra, labels))
+    assert scored.columns.count("score") == 1 and all(0 <= r["score"] <= 1 for r in scored.collect())
+    assert [r["n"] for r in scored.collect()] == ["x"] * 4
