@@ -9,13 +9,17 @@ with a mask that hides later ids.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 
 WINDOW, STRIDE = 16, 12
 WIDTH, CLASSES, SINGLE = 16, 32, 12
 BATCH, STEPS, RATE = 256, 500, 0.01
+# Windows of a step, and its rate, when start weights are fitted to whole texts.
+WIDE_BATCH, WIDE_RATE = 1_024, 0.01
+# After as many steps the rate begins to fall, with the root of their number.
+STEADY = 500
 SLAB = 1_024
 
 
@@ -34,6 +38,9 @@ class Model:
 
 
 _MASK = np.tril(np.ones((WINDOW, WINDOW), np.float32))
+_PLACES, _KINDS = np.ones((WINDOW, 1), np.float32), np.ones(CLASSES, np.float32)
+# The weights but for ``embed``, in the order in which ``rows_of`` lines them up.
+_SHARED = ("place", "look", "head", "bias")
 
 
 def classes_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -49,14 +56,14 @@ def classes_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return of_class, np.log10(smooth / total[of_class]).astype(np.float32)
 
 
-def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(lengths: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For texts laid end to end: first place, number of places and number of context places of each window."""
-    n = 1 + np.maximum(0, -(-(lengths - WINDOW) // STRIDE))
+    n = 1 + np.maximum(0, -(-(lengths - WINDOW) // stride))
     text = np.repeat(np.arange(len(lengths)), n)
     number = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
-    begin = number * STRIDE
+    begin = number * stride
     size = np.minimum(WINDOW, lengths[text] - begin)
-    return (np.cumsum(lengths) - lengths)[text] + begin, size, np.where(number, WINDOW - STRIDE, 0)
+    return (np.cumsum(lengths) - lengths)[text] + begin, size, np.where(number, WINDOW - stride, 0)
 
 
 def _forward(model: Model, ids: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -67,7 +74,7 @@ def _forward(model: Model, ids: np.ndarray) -> tuple[np.ndarray, ...]:
     np.clip(a, -30, 30, out=a)
     np.exp(a, out=a)
     a *= _MASK
-    a /= a.sum(2, keepdims=True)
+    a /= a @ _PLACES
     h = np.tanh(x + np.matmul(a, v))
     z = h.reshape(-1, WIDTH) @ model.head + model.bias
     np.clip(z, -30, 30, out=z)
@@ -92,7 +99,7 @@ def log10_scores(model: Model, texts: list[np.ndarray], shares: bool = True) ->
         z = _forward(model, seen[at])[-1]
         own = z[np.arange(len(z)), kinds[at].ravel()]
         np.exp(z, out=z)
-        log_p = (own - np.log(z.sum(1))).reshape(at.shape)
+        log_p = (own - np.log(z @ _KINDS)).reshape(at.shape)
         new = (steps >= c) & (steps < s)
         out[at[new]] += log_p[new] / np.log(10)
     return np.add.reduceat(out, np.cumsum(lengths) - lengths)
@@ -129,17 +136,32 @@ def train(
 
 
 def _descend(p: dict, seen, kinds, first, size, rng, of_class, share, edge) -> None:
-    mean = {k: np.zeros_like(v) for k, v in p.items()}
-    square = {k: np.zeros_like(v) for k, v in p.items()}
+    descent = Descent(p, of_class, share, edge)
     for step in range(1, STEPS + 1):
         some = rng.choice(len(first), min(BATCH, len(first)))
+        descent.step(seen, kinds, first[some], size[some], RATE * min(1.0, 2 * (1 - step / (STEPS + 1))))
+
+
+class Descent:
+    """Adam on weights ``p``, which it changes in place. Rows of ``embed`` move where their ids occur."""
+
+    def __init__(self, p: dict[str, np.ndarray], of_class: np.ndarray, share: np.ndarray, edge: int):
+        self.p, self.model = p, Model(**p, of_class=of_class, share=share, edge=edge)
+        self.mean = {k: np.zeros_like(v) for k, v in p.items()}
+        self.square = {k: np.zeros_like(v) for k, v in p.items()}
+        self.steps = 0
+
+    def step(self, seen, kinds, first, size, rate: float) -> None:
+        """One step on the windows that begin at ``first``."""
+        self.steps += 1
+        p = self.p
         # Places past the end of a short window repeat its last and do not count.
-        at = first[some, None] + np.minimum(np.arange(WINDOW), size[some, None] - 1)
-        real = (np.arange(WINDOW) < size[some, None]).ravel()
+        at = first[:, None] + np.minimum(np.arange(WINDOW), size[:, None] - 1)
+        real = (np.arange(WINDOW) < size[:, None]).ravel()
         ids, want = seen[at], kinds[at].ravel()
-        x, q, k, v, a, h, z = _forward(Model(**p, of_class=of_class, share=share, edge=edge), ids)
-        chance = np.exp(z)
-        chance /= chance.sum(1, keepdims=True)
+        x, q, k, v, a, h, z = _forward(self.model, ids)
+        chance = np.exp(z, out=z)
+        chance /= (chance @ _KINDS)[:, None]
         dz = chance
         dz[np.arange(len(dz)), want] -= 1
         dz *= real[:, None] / np.float32(real.sum())
@@ -147,21 +169,67 @@ def _descend(p: dict, seen, kinds, first, size, rng, of_class, share, edge) -> N
         dh = (dz @ p["head"].T).reshape(h.shape) * (1 - h * h)
         da = np.matmul(dh, v.transpose(0, 2, 1))
         dv = np.matmul(a.transpose(0, 2, 1), dh)
-        ds = a * (da - (da * a).sum(2, keepdims=True))
+        ds = a * (da - (da * a) @ _PLACES)
         dq, dk = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q)
         d = np.concatenate([dq, dk, dv], axis=2).reshape(-1, 3 * WIDTH)
         g["look"] = x.reshape(-1, WIDTH).T @ d
         dx = dh + (d @ p["look"].T).reshape(x.shape)
         g["place"] = dx.sum(0)
-        rows, where = np.unique(ids.ravel(), return_inverse=True)
-        per_row = np.zeros((len(rows), WIDTH), np.float32)
-        np.add.at(per_row, where, dx.reshape(-1, WIDTH))
-        fade = RATE * min(1.0, 2 * (1 - step / (STEPS + 1)))
-        for name in ("place", "look", "head", "bias", "embed"):
+        flat = ids.ravel()
+        order = np.argsort(flat)
+        flat = flat[order]
+        start = np.flatnonzero(np.diff(flat, prepend=-1))
+        rows, g["embed"] = flat[start], np.add.reduceat(dx.reshape(-1, WIDTH)[order], start)
+        for name in (*_SHARED, "embed"):
             part = rows if name == "embed" else slice(None)
-            grad = per_row if name == "embed" else g[name]
-            mean[name][part] = 0.9 * mean[name][part] + 0.1 * grad
-            square[name][part] = 0.99 * square[name][part] + 0.01 * grad**2
-            m = mean[name][part] / (1 - 0.9**step)
-            s = square[name][part] / (1 - 0.99**step)
-            p[name][part] -= fade * m / (np.sqrt(s) + 1e-8)
+            m = self.mean[name][part] = 0.9 * self.mean[name][part] + 0.1 * g[name]
+            s = self.square[name][part] = 0.99 * self.square[name][part] + 0.01 * g[name] ** 2
+            m, s = m / (1 - 0.9**self.steps), s / (1 - 0.99**self.steps)
+            p[name][part] -= rate * m / (np.sqrt(s) + 1e-8)
+
+
+def weights_of(model: Model) -> dict[str, np.ndarray]:
+    """A copy of the weights, to be changed."""
+    return {k: getattr(model, k).copy() for k in ("embed", *_SHARED)}
+
+
+class WholePass:
+    """Fits a copy of a model's weights to every window of the texts it is given, once each.
+
+    A text's windows follow each other without overlap, so every id and every end is a target once.
+    """
+
+    def __init__(self, model: Model):
+        self.weights = weights_of(model)
+        self.descent = Descent(self.weights, model.of_class, model.share, model.edge)
+        self.rng = np.random.default_rng(0)
+        self.visits = np.zeros(len(model.of_class), np.int64)
+        self.n = 0
+
+    def take(self, texts: list[np.ndarray]) -> None:
+        model, edge = self.descent.model, np.array([self.descent.model.edge])
+        seen = np.concatenate([x for t in texts for x in (edge, t)])
+        goal = np.concatenate([x for t in texts for x in (t, edge)])
+        kinds = model.of_class[goal]
+        first, size, _ = windows(np.array([len(t) + 1 for t in texts]), WINDOW)
+        order = self.rng.permutation(len(first))
+        for some in np.array_split(order, -(-len(order) // WIDE_BATCH)):
+            rate = WIDE_RATE / np.sqrt(1 + self.descent.steps / STEADY)
+            self.descent.step(seen, kinds, first[some], size[some], rate)
+        self.visits += np.bincount(seen, minlength=len(self.visits))
+        self.n += len(first)
+
+
+def rows_of(weights: dict[str, np.ndarray]) -> np.ndarray:
+    """All weights as rows of ``WIDTH`` numbers: a row per id first, then the others."""
+    return np.concatenate([weights["embed"], *(weights[k].reshape(-1, WIDTH) for k in _SHARED)])
+
+
+def with_rows(model: Model, rows: np.ndarray) -> Model:
+    """The model with weights as ``rows_of`` gives them."""
+    parts, at = {}, 0
+    for name in ("embed", *_SHARED):
+        old = getattr(model, name)
+        parts[name] = rows[at : at + old.size // WIDTH].reshape(old.shape).astype(np.float32)
+        at += old.size // WIDTH
+    return replace(model, **parts)

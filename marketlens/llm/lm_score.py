@@ -8,9 +8,12 @@ predicted from the id before it:
     (c(before, id) + PRIOR * share) / (c(before, class) + PRIOR)
 
 with the counts of id pairs, and of classes after an id, in all training documents, and the id's
-share of its class. So what is known of a context grows with the corpus. Bounded are the attention
-weights: they are fitted on at most ``TRAIN_ROWS`` texts, chosen by a hash of the id, of each a
-stretch of at most ``TRAIN_CHARS`` characters that begins anywhere in it.
+share of its class. So what is known of a context grows with the corpus. The attention weights are
+fitted to every id and end of all training documents: each task goes through its own texts once, and
+the tasks' weights are averaged, an id's row by how often each task met the id. All tasks begin with the
+same weights; only these starting values come from few texts, a stretch of at most ``TRAIN_CHARS`` characters
+of each of ``TRAIN_ROWS`` texts chosen by a hash of the id. As with any such descent, another layout of the
+table gives slightly other weights.
 
 Words are counted by 64-bit hash, id pairs by number. Words that make up at least one ``HEAD``-th of
 the corpus, of which there are at most ``HEAD``, are looked up in the task, and pairs alike; all others of a
@@ -158,7 +161,12 @@ def _counts(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
 
 
 def train_model(docs: DataFrame, id_counts: np.ndarray, ranks: bytes) -> attention.Model:
-    """Fit the attention weights; see the module for the bound."""
+    """Fit the attention weights to all training documents."""
+    return whole_pass(docs, start_model(docs, id_counts, ranks), ranks)
+
+
+def start_model(docs: DataFrame, id_counts: np.ndarray, ranks: bytes) -> attention.Model:
+    """The weights with which every task begins; see the module."""
     length = F.char_length("text")
     start = F.pmod(F.xxhash64("doc_id", F.lit("at")), F.greatest(F.lit(1), length - TRAIN_CHARS + 1)) + 1
     ends = F.concat((start == 1).cast("int"), (start + TRAIN_CHARS > length).cast("int"))
@@ -173,6 +181,39 @@ def train_model(docs: DataFrame, id_counts: np.ndarray, ranks: bytes) -> attenti
     )
 
 
+def whole_pass(docs: DataFrame, start: attention.Model, ranks: bytes) -> attention.Model:
+    """The averaged weights of tasks that each fit ``start`` to all their training documents.
+
+    What meets in one place is a row of weights per id of the vocabulary, whatever the corpus.
+    """
+    names = [f"w{j}" for j in range(attention.WIDTH)]
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding = tokenizer(ranks)
+        local = attention.WholePass(start)
+        for batch in batches:
+            texts, raw = _texts(batch)
+            for low, high in wordhash.runs_of(raw):
+                local.take([np.array(encoding.encode_ordinary(t), np.int64) for t in texts[low:high]])
+        rows = attention.rows_of(local.weights)
+        n = np.concatenate([local.visits, np.full(len(rows) - len(local.visits), local.n)])
+        some = np.flatnonzero(n)
+        columns = (rows[some] * n[some, None].astype(np.float64)).T
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, n[some], *columns)], names=["key", "n", *names])
+
+    texts = docs.where(~held_out()).select(whole_text().alias("text"))
+    sums = (
+        texts.mapInArrow(fitted, "key long, n long, " + ", ".join(f"{w} double" for w in names))
+        .groupBy("key")
+        .agg(F.sum("n").alias("n"), *[F.sum(w).alias(w) for w in names])
+        .toArrow()
+    )
+    rows = attention.rows_of(attention.weights_of(start)).astype(np.float64)
+    found = np.stack([sums.column(w).to_numpy() for w in names], axis=1)
+    rows[sums.column("key").to_numpy()] = found / sums.column("n").to_numpy()[:, None]
+    return attention.with_rows(start, rows)
+
+
 def _scored(batches: Iterator[pa.RecordBatch], model, ranks, words, pairs, after) -> Iterator[pa.RecordBatch]:
     """Rows ``word, row, n, value``: rare words and pairs of a document with their number, and its facts.
 

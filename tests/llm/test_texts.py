@@ -485,6 +485,28 @@ def test_short_texts_train_the_weights(monkeypatch):
     assert attention.log10_scores(model, texts).sum() > 0.9 * attention.log10_scores(blank, texts).sum()
 
 
+@needs_tokenizers
+def test_weights_learn_from_every_training_text(docs, monkeypatch):
+    """Also from texts that gave nothing to the starting weights; held-out ones teach nothing."""
+    monkeypatch.setattr(attention, "STEPS", 3)
+    monkeypatch.setattr(lm_score, "TRAIN_ROWS", 2)
+    ranks = Path(lm_score.VOCABULARY).read_bytes()
+    encoding = lm_score.tokenizer(ranks)
+    rows = [(i, f"word{i} {chr(97 + i % 26)}{chr(97 + i // 26)} " * 30) for i in range(60)]
+    out = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    ids = {i: encoding.encode_ordinary(t) for i, t in rows}
+    met = {encoding.n_vocab, *(k for i in ids if not out(i) for k in ids[i])}
+    counts = np.bincount([k for i in ids if not out(i) for k in ids[i]], minlength=encoding.n_vocab + 1).astype(float)
+    counts[-1] = sum(not out(i) for i in ids)
+    df = docs(*rows).select("doc_id", "text")
+    blank = attention.train([], counts, edge=encoding.n_vocab)
+    model = lm_score.train_model(df, counts, ranks)
+    assert set(np.flatnonzero((model.embed != blank.embed).any(1))) == met
+    held = [np.array(ids[i]) for i in ids if out(i)]
+    start = lm_score.start_model(df, counts, ranks)
+    assert attention.log10_scores(model, held).sum() > attention.log10_scores(start, held).sum()
+
+
 # --- Names that clash ------------------------------------------------------------------------
 
 
