@@ -10,6 +10,8 @@ from ..schema import DAY_SECONDS
 
 # A day of one key with more rows than this is cut further.
 SLICE_ROWS = 1_000_000
+# So many keys may be sent to all tasks.
+MOST_KEYS = 1_000_000
 # Stands for the second of a row without time: earlier than any other.
 UNDATED = -(1 << 42)
 
@@ -24,6 +26,17 @@ def day_number(second: Column) -> Column:
     return F.floor(second / DAY_SECONDS)
 
 
+def large_keys(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """The keys of more than ``rows`` rows, in ``_large_key``; null is a key.
+
+    The limit rises with the table beyond ``MOST_KEYS`` times ``rows`` rows, so that at most ``MOST_KEYS``
+    keys are large and all tasks can be sent their list.
+    """
+    counts = df.groupBy(F.col(key).alias("_large_key")).count()
+    least = df.agg(F.greatest(F.lit(rows), F.floor(F.count("*") / MOST_KEYS)).alias("_least"))
+    return counts.join(F.broadcast(least), F.col("count") > F.col("_least")).select("_large_key")
+
+
 def slice_starts(
     df: DataFrame, key: str, time: str, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:

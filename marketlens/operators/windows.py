@@ -1,8 +1,8 @@
 """Lagged values and trailing means per key.
 
 A key is cut into time slices, so none of any size goes into one task, and the cost of a mean does
-not grow with the rows in its frame. All keys take this one way, whatever their number of rows. The
-plain form, one window per key, gives the same values and serves as the comparison in tests.
+not grow with the rows in its frame. In ``sized_windows`` keys of few rows take the plain form, one window per
+key: it moves each row once, and a frame has few rows to add. Both give the same values.
 """
 
 from __future__ import annotations
@@ -15,7 +15,10 @@ from pyspark.sql import types as T
 
 from ..functions import epoch_seconds
 from ..schema import DAY_SECONDS
-from .slices import SLICE_ROWS, UNDATED, day_number, second_of, slice_starts, with_slice
+from .slices import SLICE_ROWS, UNDATED, day_number, large_keys, second_of, slice_starts, with_slice
+
+# Keys of more rows are sliced. A plain mean costs a row as many additions as its frame has rows.
+PLAIN_ROWS = 1_000
 
 
 def plain_lags(
@@ -85,6 +88,43 @@ def sliced_windows(
     return result.select(*df.columns, *lags, *means)
 
 
+def sized_windows(
+    df: DataFrame,
+    key: str,
+    time: str,
+    order: Sequence[str],
+    value: str,
+    lags: Mapping[str, int],
+    means: Mapping[str, int],
+    slice_rows: int = SLICE_ROWS,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """As ``sliced_windows``, which only keys of more than ``PLAIN_ROWS`` rows (or ``slice_rows``) need.
+
+    The rows of all others are shuffled once, by key, and nothing else of them is. A list in all tasks tells
+    the large keys; rows are counted in ``counted``.
+    """
+    counted = df if counted is None else counted
+    large = large_keys(counted, key, min(slice_rows, PLAIN_ROWS))
+    of_large = lambda rows, how: rows.join(
+        F.broadcast(large), F.col(key).eqNullSafe(F.col("_large_key")), how
+    )
+    plain = plain_lags(of_large(df, "left_anti"), key, order, value, lags)
+    plain = plain_trailing_means(plain, key, time, value, means)
+    sliced = sliced_windows(
+        of_large(df, "left_semi"),
+        key,
+        time,
+        order,
+        value,
+        lags,
+        means,
+        slice_rows,
+        of_large(counted, "left_semi"),
+    )
+    return plain.select(*sliced.columns).unionByName(sliced)
+
+
 def _with_sliced_lags(
     df: DataFrame,
     rows: DataFrame,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import change_or_zero, segment_of, to_instant
 from ..operators.quality import clean
 from ..operators.slices import SLICE_ROWS
-from ..operators.windows import sliced_windows
+from ..operators.windows import sized_windows
 from ..schema import (
     ASSET,
     CAP,
@@ -74,8 +74,8 @@ def features_of(
     slice_rows: int = SLICE_ROWS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
-    """The feature table of rows that are clean already. ``counted``: see ``sliced_windows``."""
-    windowed = sliced_windows(
+    """The feature table of rows that are clean already. ``counted``: see ``sized_windows``."""
+    windowed = sized_windows(
         cleaned, ASSET, TIME, _ORDER, PRICE, LAG_ROWS, TRAILING_DAYS, slice_rows, counted
     )
     price = F.col(PRICE)

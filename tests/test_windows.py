@@ -11,8 +11,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from marketlens.operators.slices import second_of, slice_starts, with_slice
-from marketlens.operators.windows import plain_lags, plain_trailing_means, sliced_windows
+from marketlens.operators import slices
+from marketlens.operators.slices import large_keys, second_of, slice_starts, with_slice
+from marketlens.operators.windows import plain_lags, plain_trailing_means, sized_windows, sliced_windows
 
 LAGS = {"back_1": 1, "back_3": 3, "back_7": 7}
 MEANS = {"mean_1": 1, "mean_7": 7, "mean_30": 30}
@@ -235,6 +236,38 @@ def test_rows_move_once(spark, tmp_path):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def _sized(df, slice_rows):
+    return sized_windows(df, "k", "t", ["t", "id"], "v", LAGS, MEANS, slice_rows)
+
+
+@pytest.mark.parametrize("slice_rows", [1, 20, 30, 1_000_000])
+def test_sizes_of_keys_do_not_matter(spark, slice_rows):
+    """Keys on both sides of the limit, null keys and rows without time among them."""
+    rows = _random_rows(21, 60) + [(1_000 + i, None, START + dt.timedelta(hours=i), 1.0 + i) for i in range(25)]
+    rows += [(2_000 + i, "few", START + dt.timedelta(days=i), 2.0) for i in range(3)] + [(3_000, "few", None, 7.0)]
+    _check(_result(_sized(_frame(spark, rows), slice_rows)), _brute(rows))
+
+
+def test_rows_of_small_keys_are_shuffled_once(spark, tmp_path):
+    rows = [(i, f"k{i % 40}", START + dt.timedelta(minutes=i), float(i)) for i in range(400)]
+    _frame(spark, rows).write.parquet(str(tmp_path / "rows"))
+    done = _sized(spark.read.parquet(str(tmp_path / "rows")), 1_000_000)
+    assert len(done.collect()) == 400
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")]
+    # One of all rows by key; the others count: rows per key, and all rows.
+    moved = [line for line in final.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("v#" in line or "Exchange hashpartitioning(k#" in line for line in moved) <= 2, final
+
+
+def test_few_keys_are_large(spark, monkeypatch):
+    """The list of large keys stays short however many rows there are."""
+    df = spark.createDataFrame([(f"k{i}",) for i in range(50) for _ in range(i)], "k string")
+    assert large_keys(df, "k", 39).count() == 10
+    monkeypatch.setattr(slices, "MOST_KEYS", 25)
+    assert large_keys(df, "k", 39).count() == 0
+
+
 def test_unused_means_are_not_computed(spark):
     lags_only = _sliced(_frame(spark, _random_rows(9, 20)), 1_000).select("id", *LAGS)
     plan = lags_only._jdf.queryExecution().executedPlan().toString()
