@@ -27,7 +27,7 @@ from ..schema import (
     TIME,
     TRAILING_DAYS,
 )
-from ..sinks.parquet import write_partitioned
+from ..sinks.parquet import write_partitioned, write_plain
 from ..sources.files import path_exists
 from .features import clean_prices, features_of
 
@@ -67,12 +67,15 @@ def grow(
 
     Only folders of these days are written. Days must come in order: prices of a day before one
     that is there already and not given again are refused, since the later days depend on them.
-    Rows without time belong to no day and are left out; ``undated`` finds them.
+    Rows without time belong to no day and are left out; ``undated`` finds them. The clean rows of the
+    load are written first, to a folder that the next load overwrites, so ``prices`` are read and
+    de-duplicated once.
     """
     spark = prices.sparkSession
-    features, tails = f"{folder}/features", f"{folder}/tails"
+    features, tails, load = f"{folder}/features", f"{folder}/tails", f"{folder}/load"
     cleaned = clean_prices(prices).filter(F.col(TIME).isNotNull())
-    cleaned = cleaned.withColumn(DAY, F.date_format(TIME, "yyyy-MM-dd"))
+    write_plain(cleaned.withColumn(DAY, F.date_format(TIME, "yyyy-MM-dd")), load)
+    cleaned = spark.read.parquet(load)
     given = sorted(r[DAY] for r in cleaned.select(DAY).distinct().collect())
     if not given:
         return Load(None, None)

@@ -90,6 +90,21 @@ def test_grown_table_equals_the_one_built_at_once(spark, prices, tmp_path):
     assert incremental.grow(raw.limit(0), path) == incremental.Load(None, None)
 
 
+def test_a_load_reads_its_prices_once(spark, prices, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch_ in batches:
+            seen.add(batch_.num_rows)
+            yield batch_
+
+    raw = prices(*_ticks(12, seed=4))
+    given = raw.mapInArrow(passed, raw.schema)
+    incremental.grow(given, str(tmp_path))
+    assert seen.value == raw.count()
+    assert _rows(incremental.read_grown(spark, str(tmp_path))) == _rows(price_features(raw))
+
+
 def test_a_load_writes_only_its_own_days(spark, prices, tmp_path):
     raw, path = prices(*_ticks(40, seed=5)), str(tmp_path)
     incremental.grow(_between(raw, "2025-01-01", "2025-02-05"), path)
