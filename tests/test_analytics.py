@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlens.operators.selection import drop_keys, page, sample_rows
+from marketlens.operators import pairs
 from marketlens.plans import analytics
 
 FEATURES = (
@@ -159,3 +160,16 @@ def test_pages_and_samples(spark):
 def test_drop_keys(spark):
     left = spark.range(5)
     assert sorted(r.id for r in drop_keys(left, spark.range(2), "id").collect()) == [2, 3, 4]
+
+
+def test_pairs_of_crowded_times_are_dealt_in_blocks(spark, monkeypatch):
+    """Nulls, copies, and times with more rows than a block on one side or both."""
+    monkeypatch.setattr(pairs, "BLOCK_ROWS", 3)
+    rows = [("a", t, float(i) if i % 5 else None) for t, n in ((1, 10), (2, 1), (3, 7), (4, 2)) for i in range(n)]
+    rows += [("b", t, 0.5 * (i // 2)) for t, n in ((1, 8), (2, 9), (3, 1), (5, 2)) for i in range(n)]
+    rows += [("c", 1, 1.0), ("a", None, 1.0), ("b", None, 2.0), (None, 1, 3.0)]
+    done = pairs.pair_on_time(spark.createDataFrame(rows, "k string, t int, v double"), "k", "t", "v", "a", "b", ("x", "y"))
+    want = [(t, v, w) for k, t, v in rows for m, u, w in rows if (k, m) == ("a", "b") and t == u and t is not None]
+    assert sorted(map(tuple, done.collect()), key=repr) == sorted(want, key=repr)
+    # Few bytes, many combinations: they are not merged into one task.
+    assert done.select(F.spark_partition_id().alias("p")).distinct().count() > 1
