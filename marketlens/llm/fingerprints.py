@@ -12,8 +12,8 @@ smallest value itself serves as the sample, since term and t alone decide it.
 
 The variates of a term and a sample come from one hash of both, for any number of terms: four parts
 of 12 bits are uniform variates, the logarithm of two of them gives r and that of the others c, and 16
-bits are b. Documents are spread over ranges of ids; all steps after that exchange
-stay within the range, so each text moves once. Fingerprint: ``SAMPLES`` times eight hexadecimal
+bits are b. A term of a text and of its edited text draws once for both. Documents are spread over ranges
+of ids; all steps after that exchange stay within the range, so each text moves once. Fingerprint: ``SAMPLES`` times eight hexadecimal
 digits.
 
 Null texts count as empty. Two empty texts are alike (1), an empty and another are not (0). Null ids
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from marketlens.llm.common import SPACE, whole_text
 
 SAMPLES = 64
-WIDTH = 8
+WIDTH = 4
 RANGE_ROWS = 1_000
 MOST_RANGES = 65_536
 OWN, EDITED, FACTS = 0, 1, 2
@@ -42,20 +42,27 @@ def words_of(text: Column) -> Column:
 
 
 def with_draws(rows: DataFrame) -> DataFrame:
-    """``rows`` once for each part of ``WIDTH`` samples, with a hash ``h{j}`` per term and sample.
+    """``rows`` once for each part of ``WIDTH`` samples, with the variates ``r{j}``, ``log_c{j}`` and ``b{j}``.
 
-    A few samples per row keep the generated code of the sums small enough to be compiled.
+    A few samples per row keep the generated code of the sums small enough to be compiled. The variates
+    are columns of their own, so a row draws them once for all its weights.
     """
     sample = F.col("part") * WIDTH
-    return rows.select("*", *[F.xxhash64("term", sample + j).alias(f"h{j}") for j in range(WIDTH)])
+    hashed = rows.select("*", *[F.xxhash64("term", sample + j).alias(f"h{j}") for j in range(WIDTH)])
+    return hashed.select(*rows.columns, *[v for j in range(WIDTH) for v in variates(j)])
 
 
-def log_a(j: int, log_w: Column) -> Column:
+def variates(j: int) -> list[Column]:
     # A product of two uniform variates; minus its logarithm is Gamma(2, 1).
     part = lambda low: F.shiftrightunsigned(F.col(f"h{j}"), low).bitwiseAND(F.lit(4095)) + 0.5
     r, c = (-F.log(part(low) * part(low - 12) / float(1 << 24)) for low in (52, 28))
     b = (F.col(f"h{j}").bitwiseAND(F.lit(65535)) + 0.5) / 65536.0
-    return F.log(c) - r * (F.floor(log_w / r + b) - b + 1)
+    return [r.alias(f"r{j}"), F.log(c).alias(f"log_c{j}"), b.alias(f"b{j}")]
+
+
+def log_a(j: int, log_w: Column) -> Column:
+    r, b = F.col(f"r{j}"), F.col(f"b{j}")
+    return F.col(f"log_c{j}") - r * (F.floor(log_w / r + b) - b + 1)
 
 
 def with_ranges(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -134,65 +141,65 @@ def _sha_text(parts: list[Column]) -> Column:
     return F.lower(F.concat(*[F.lpad(F.hex(p), 16, "0") for p in parts]))
 
 
+def weighted_terms(texts: DataFrame) -> DataFrame:
+    """``bucket, ord, term, log_own, log_edited, fact`` of ``bucket, ord, text, changed, facts``.
+
+    A term of both texts is one row with two weights, null where it does not occur. A document's
+    facts, numbers joined by spaces, are read as a third text: fact i is the row of term i.
+    """
+    bodies = [(OWN, "text"), (EDITED, "changed"), (FACTS, "facts")]
+    entry = F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(name).alias("body")) for kind, name in bodies]))
+    words = (
+        texts.select("bucket", "ord", entry.alias("e"))
+        .select("bucket", "ord", "e.kind", F.posexplode(words_of(F.col("e.body"))).alias("at", "word"))
+        .where("word != ''")
+    )
+    is_fact = F.col("kind") == FACTS
+    weight = lambda kind: F.log(F.count_if(F.col("kind") == kind).cast("double"))
+    counted = words.select(
+        "bucket",
+        "ord",
+        "kind",
+        is_fact.alias("is_fact"),
+        F.when(is_fact, F.col("at").cast("long")).otherwise(F.xxhash64("word")).alias("term"),
+        F.when(is_fact, F.expr("try_cast(word AS bigint)")).alias("fact"),
+    )
+    return (
+        counted.groupBy("bucket", "ord", "is_fact", "term")
+        .agg(weight(OWN).alias("log_own"), weight(EDITED).alias("log_edited"), F.max("fact").alias("fact"))
+        .drop("is_fact")
+    )
+
+
 def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``."""
     paired, _ = with_next_text(docs)
-    changed = edited(F.col("text"), F.col("next_text"))
-    texts = paired.withColumn("changed", changed)
+    texts = paired.withColumn("changed", edited(F.col("text"), F.col("next_text")))
     facts = [F.col("doc_id").cast("long"), F.char_length("text").cast("long"), *_sha_longs(F.col("changed"))]
-    fact = lambda kind, term, value: F.struct(
-        F.lit(kind).alias("kind"), F.lit(term).cast("long").alias("term"), value.alias("n")
-    )
-
-    def terms(kind: int, text: Column) -> Column:
-        return F.transform(
-            words_of(text),
-            lambda w: F.when(
-                w != "",
-                F.struct(
-                    F.lit(kind).alias("kind"),
-                    F.xxhash64(w).alias("term"),
-                    F.lit(1).cast("long").alias("n"),
-                ),
-            ),
-        )
-
-    entries = F.concat(
-        terms(OWN, F.col("text")),
-        terms(EDITED, F.col("changed")),
-        F.array(*[fact(FACTS, i, x) for i, x in enumerate(facts)]),
-    )
-    weighted = (
-        texts.select("bucket", "ord", F.explode(entries).alias("e"))
-        .where("e IS NOT NULL")
-        .select("bucket", "ord", "e.kind", "e.term", "e.n")
-        .groupBy("bucket", "ord", "kind", "term")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("log_w", F.when(F.col("kind") < FACTS, F.log(F.col("n").cast("double"))))
-    )
+    # A null id is a word that is no number.
+    numbers = F.concat_ws(" ", *[F.coalesce(x.cast("string"), F.lit("-")) for x in facts])
     parts = F.explode(F.array(*[F.lit(p) for p in range(samples // WIDTH)]))
-    drawn = with_draws(weighted.withColumn("part", parts))
+    drawn = with_draws(weighted_terms(texts.withColumn("facts", numbers)).withColumn("part", parts))
 
-    # The facts of a document ride on the terms 0 to 5 of their kind; fact i is read off part i.
+    # The facts of a document ride on the terms 0 to 5; fact i is read off part i.
     per_part = (
-        drawn.groupBy("bucket", "ord", "kind", "part")
+        drawn.groupBy("bucket", "ord", "part")
         .agg(
-            *[F.min(log_a(j, F.col("log_w"))).alias(f"a{j}") for j in range(WIDTH)],
-            F.max(F.when((F.col("kind") == FACTS) & (F.col("term") == F.col("part")), F.col("n"))).alias("fact"),
+            *[F.min(log_a(j, F.col(f"log_{k}"))).alias(f"{k}{j}") for k in ("own", "edited") for j in range(WIDTH)],
+            F.max(F.when(F.col("term") == F.col("part"), F.col("fact"))).alias("fact"),
         )
     )
-    digits = F.concat(
-        *[F.lpad(F.hex(F.xxhash64(f"a{j}").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0") for j in range(WIDTH)]
-    )
-    part = F.struct("part", F.lower(digits).alias("digits"))
-    pick = lambda kind, value: F.when(F.col("kind") == kind, value)
-    joined = lambda kind: F.array_join(
-        F.transform(F.array_sort(F.collect_list(pick(kind, part))), lambda p: p["digits"]), ""
-    )
+
+    def joined(k: str) -> Column:
+        low = [F.xxhash64(f"{k}{j}").bitwiseAND(F.lit(0xFFFFFFFF)) for j in range(WIDTH)]
+        digits = F.lower(F.concat(*[F.lpad(F.hex(x), 8, "0") for x in low]))
+        found = F.when(F.col(f"{k}0").isNotNull(), F.struct("part", digits.alias("digits")))
+        return F.array_join(F.transform(F.array_sort(F.collect_list(found)), lambda p: p["digits"]), "")
+
     per_doc = per_part.groupBy("bucket", "ord").agg(
-        joined(OWN).alias("own"),
-        joined(EDITED).alias("other"),
-        *[F.max(pick(FACTS, F.when(F.col("part") == i, F.col("fact")))).alias(f"f{i}") for i in range(len(facts))],
+        joined("own").alias("own"),
+        joined("edited").alias("other"),
+        *[F.max(F.when(F.col("part") == i, F.col("fact"))).alias(f"f{i}") for i in range(len(facts))],
     )
     blank = F.lit("0" * 8 * samples)
     return per_doc.select(

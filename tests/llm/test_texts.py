@@ -5,7 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
-from math import log10
+from math import log, log10
 from pathlib import Path
 
 import numpy as np
@@ -144,6 +144,17 @@ def test_fingerprints_estimate_weighted_jaccard(docs, corpus, monkeypatch):
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.09
 
 
+def test_term_of_both_texts_draws_once(spark):
+    rows = [(0, 1, " a b  b c", "b x x b b", "7 9"), (0, 2, "", "", "- 0")]
+    texts = spark.createDataFrame(rows, "bucket int, ord int, text string, changed string, facts string")
+    got = fingerprints.weighted_terms(texts).collect()
+    log2, log3 = pytest.approx(log(2)), pytest.approx(log(3))
+    weights = [(r["log_own"], r["log_edited"]) for r in got if r["fact"] is None and r["ord"] == 1]
+    assert sorted(weights, key=str) == sorted([(0.0, None), (log2, log3), (0.0, None), (None, log2)], key=str)
+    facts = {(r["ord"], r["term"]): r["fact"] for r in got if r["log_own"] is None and r["log_edited"] is None}
+    assert facts == {(1, 0): 7, (1, 1): 9, (2, 0): None, (2, 1): 0}
+
+
 def test_fingerprints_of_long_and_unlike_texts(docs):
     make = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
     # By descending id: unlike its next, half of it shared, and twice as often.
