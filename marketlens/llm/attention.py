@@ -66,17 +66,22 @@ def windows(lengths: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.n
     return (np.cumsum(lengths) - lengths)[text] + begin, size, np.where(number, WINDOW - stride, 0)
 
 
-def _forward(model: Model, ids: np.ndarray) -> tuple[np.ndarray, ...]:
-    x = model.embed[ids] + model.place
+def _forward(model: Model, ids: np.ndarray, known: int = 0) -> tuple[np.ndarray, ...]:
+    """The steps of the model for windows of ids; ``a`` and later ones for the places from ``known`` on."""
+    x = model.embed.take(ids, axis=0)
+    x += model.place
     q, k, v = np.split(x.reshape(-1, WIDTH) @ model.look, 3, axis=1)
     q, k, v = (a.reshape(x.shape) for a in (q, k, v))
-    a = np.matmul(q, k.transpose(0, 2, 1))
+    a = np.matmul(q[:, known:], k.transpose(0, 2, 1))
     np.clip(a, -30, 30, out=a)
     np.exp(a, out=a)
-    a *= _MASK
-    a /= a @ _PLACES
-    h = np.tanh(x + np.matmul(a, v))
-    z = h.reshape(-1, WIDTH) @ model.head + model.bias
+    a *= _MASK[known:]
+    a /= (a.reshape(-1, WINDOW) @ _PLACES).reshape(*a.shape[:2], 1)
+    h = np.matmul(a, v)
+    h += x[:, known:]
+    np.tanh(h, out=h)
+    z = h.reshape(-1, WIDTH) @ model.head
+    z += model.bias
     np.clip(z, -30, 30, out=z)
     return x, q, k, v, a, h, z
 
@@ -92,16 +97,19 @@ def log10_scores(model: Model, texts: list[np.ndarray], shares: bool = True) ->
     kinds = model.of_class[goal]
     out = model.share[goal].astype(np.float64) if shares else np.zeros(len(goal))
     first, size, context = windows(lengths)
-    steps = np.arange(WINDOW)
-    for low in range(0, len(first), SLAB):
-        f, s, c = first[low : low + SLAB, None], size[low : low + SLAB, None], context[low : low + SLAB, None]
-        at = f + np.minimum(steps, s - 1)
-        z = _forward(model, seen[at])[-1]
-        own = z[np.arange(len(z)), kinds[at].ravel()]
-        np.exp(z, out=z)
-        log_p = (own - np.log(z @ _KINDS)).reshape(at.shape)
-        new = (steps >= c) & (steps < s)
-        out[at[new]] += log_p[new] / np.log(10)
+    # Windows that begin a text, and others: their first places are context alone and need no score.
+    for known in (0, WINDOW - STRIDE):
+        steps = np.arange(known, WINDOW)
+        some = np.flatnonzero(context == known)
+        for low in range(0, len(some), SLAB):
+            f, s = (x[some[low : low + SLAB], None] for x in (first, size))
+            z = _forward(model, seen[f + np.minimum(np.arange(WINDOW), s - 1)], known)[-1]
+            at = f + np.minimum(steps, s - 1)
+            own = z[np.arange(len(z)), kinds[at].ravel()]
+            np.exp(z, out=z)
+            log_p = (own - np.log(z @ _KINDS)).reshape(at.shape)
+            new = steps < s
+            out[at[new]] += log_p[new] / np.log(10)
     return np.add.reduceat(out, np.cumsum(lengths) - lengths)
 
 
@@ -166,20 +174,27 @@ class Descent:
         dz[np.arange(len(dz)), want] -= 1
         dz *= real[:, None] / np.float32(real.sum())
         g = {"head": h.reshape(-1, WIDTH).T @ dz, "bias": dz.sum(0)}
-        dh = (dz @ p["head"].T).reshape(h.shape) * (1 - h * h)
+        dh = h * h
+        np.subtract(1, dh, out=dh)
+        dh *= (dz @ p["head"].T).reshape(h.shape)
         da = np.matmul(dh, v.transpose(0, 2, 1))
-        dv = np.matmul(a.transpose(0, 2, 1), dh)
-        ds = a * (da - (da * a) @ _PLACES)
-        dq, dk = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q)
-        d = np.concatenate([dq, dk, dv], axis=2).reshape(-1, 3 * WIDTH)
+        ds = da
+        ds -= (da * a) @ _PLACES
+        ds *= a
+        d = np.empty((*x.shape[:2], 3 * WIDTH), x.dtype)
+        np.matmul(ds, k, out=d[..., :WIDTH])
+        np.matmul(ds.transpose(0, 2, 1), q, out=d[..., WIDTH : 2 * WIDTH])
+        np.matmul(a.transpose(0, 2, 1), dh, out=d[..., 2 * WIDTH :])
+        d = d.reshape(-1, 3 * WIDTH)
         g["look"] = x.reshape(-1, WIDTH).T @ d
-        dx = dh + (d @ p["look"].T).reshape(x.shape)
+        dx = (d @ p["look"].T).reshape(x.shape)
+        dx += dh
         g["place"] = dx.sum(0)
         flat = ids.ravel()
         order = np.argsort(flat)
         flat = flat[order]
         start = np.flatnonzero(np.diff(flat, prepend=-1))
-        rows, g["embed"] = flat[start], np.add.reduceat(dx.reshape(-1, WIDTH)[order], start)
+        rows, g["embed"] = flat[start], np.add.reduceat(dx.reshape(-1, WIDTH).take(order, axis=0), start)
         for name in (*_SHARED, "embed"):
             part = rows if name == "embed" else slice(None)
             m = self.mean[name][part] = 0.9 * self.mean[name][part] + 0.1 * g[name]

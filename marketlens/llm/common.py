@@ -18,13 +18,13 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs the tasks it ran, not the plan below the table.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -15,6 +15,8 @@ same weights; only these starting values come from few texts, a stretch of at mo
 of each of ``TRAIN_ROWS`` texts chosen by a hash of the id. As with any such descent, another layout of the
 table gives slightly other weights.
 
+Texts are split into subword ids once; all later steps read the ids stored beside the text.
+
 Words are counted by 64-bit hash, id pairs by number. Words that make up at least one ``HEAD``-th of
 the corpus, of which there are at most ``HEAD``, are looked up in the task, and pairs alike; all others of a
 document go by a shuffle to their counts. So no frequent word or pair is a large group, and nothing
@@ -35,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from marketlens.llm import attention, wordhash
 from marketlens.llm.common import chosen_texts, id_crc, stored, whole_text
@@ -45,6 +48,8 @@ TRAIN_ROWS, TRAIN_CHARS = 1_000, 3_000
 COUNT_WORDS = 4_000_000
 # What an id's plain share of its class weighs against the pairs counted, in pairs.
 PRIOR = 4.0
+# Columns of a text's subword ids and of its size in bytes.
+IDS, SIZE = "subword_ids", "text_bytes"
 WORD_COUNT, ID_COUNT, DOC_COUNT, PAIR_COUNT = 0, 1, 2, 3
 # What a row of a document says, in place of a count of a word.
 LENGTH, KNOWN, LOGS, SCORE, DOC_ID = -1, -2, -3, -4, -5
@@ -64,17 +69,47 @@ def tokenizer(ranks: bytes):
     return tiktoken.Encoding("subwords", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
 
 
-def _texts(batch: pa.RecordBatch) -> tuple[list[str], list[bytes]]:
-    column = batch.column("text")
-    return column.to_pylist(), column.cast(pa.binary()).to_pylist()
+def with_ids(docs: DataFrame, ranks: bytes) -> DataFrame:
+    """``docs`` (``text`` and others) with each text's subword ids, as numbers in bytes, and its size in bytes.
+
+    Documents that have both already are given back.
+    """
+    if {IDS, SIZE} <= set(docs.columns):
+        return docs
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding = tokenizer(ranks)
+        kind = id_type(encoding.n_vocab)
+        for batch in batches:
+            ids = [np.array(encoding.encode_ordinary(t), kind).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(ids, pa.binary())], names=[*batch.schema.names, IDS]
+            )
+
+    rows = docs.select(*[F.col(c) for c in docs.columns if c != "text"], whole_text().alias("text"))
+    rows = rows.withColumn(SIZE, F.octet_length("text"))
+    return rows.mapInArrow(encoded, StructType([*rows.schema.fields, StructField(IDS, BinaryType())]))
+
+
+def id_type(n_vocab: int) -> type:
+    return np.uint16 if n_vocab <= 1 << 16 else np.uint32
+
+
+def _ids(batch: pa.RecordBatch, n_vocab: int) -> list[np.ndarray]:
+    return [np.frombuffer(x, id_type(n_vocab)).astype(np.int64) for x in batch.column(IDS).to_pylist()]
+
+
+def _raw(batch: pa.RecordBatch) -> list[bytes]:
+    return batch.column("text").cast(pa.binary()).to_pylist()
 
 
 def corpus_counts(docs: DataFrame, ranks: bytes) -> DataFrame:
     """``kind, key, n``: words by hash, subword ids and their pairs, and documents, over the training documents."""
 
+    n_vocab = tokenizer(ranks).n_vocab
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = tokenizer(ranks)
-        ids = np.zeros(encoding.n_vocab + 1, np.int64)
+        ids = np.zeros(n_vocab + 1, np.int64)
         held: dict[int, list[np.ndarray]] = {WORD_COUNT: [], PAIR_COUNT: []}
         size = dict.fromkeys(held, 0)
         n_docs = 0
@@ -85,12 +120,11 @@ def corpus_counts(docs: DataFrame, ranks: bytes) -> DataFrame:
             return _counts(kind, keys.view(np.int64), n)
 
         for batch in batches:
-            texts, raw = _texts(batch)
-            n_docs += len(texts)
+            raw, encoded = _raw(batch), _ids(batch, n_vocab)
+            n_docs += len(raw)
             for low, high in wordhash.runs_of(raw):
                 hashes, _ = wordhash.word_hashes(raw[low:high])
-                encoded = [np.array(encoding.encode_ordinary(t), np.int64) for t in texts[low:high]]
-                before, goal = pairs_of(encoded, encoding.n_vocab)
+                before, goal = pairs_of(encoded[low:high], n_vocab)
                 ids[:-1] += np.bincount(goal, minlength=len(ids))[:-1]
                 for kind, keys in ((WORD_COUNT, hashes), (PAIR_COUNT, before * len(ids) + goal)):
                     held[kind].append(keys)
@@ -104,7 +138,7 @@ def corpus_counts(docs: DataFrame, ranks: bytes) -> DataFrame:
         yield _counts(ID_COUNT, some, ids[some])
         yield _counts(DOC_COUNT, np.zeros(1, np.int64), np.array([n_docs]))
 
-    rows = docs.where(~held_out()).select(whole_text().alias("text"))
+    rows = with_ids(docs, ranks).where(~held_out()).select("text", IDS)
     return (
         rows.mapInArrow(counted, "kind int, key long, n long")
         .groupBy("kind", "key")
@@ -189,21 +223,20 @@ def whole_pass(docs: DataFrame, start: attention.Model, ranks: bytes) -> attenti
     names = [f"w{j}" for j in range(attention.WIDTH)]
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = tokenizer(ranks)
         local = attention.WholePass(start)
         for batch in batches:
-            texts, raw = _texts(batch)
-            for low, high in wordhash.runs_of(raw):
-                local.take([np.array(encoding.encode_ordinary(t), np.int64) for t in texts[low:high]])
+            encoded = _ids(batch, start.edge)
+            for low, high in wordhash.runs_of_sizes(batch.column(SIZE).to_pylist()):
+                local.take(encoded[low:high])
         rows = attention.rows_of(local.weights)
         n = np.concatenate([local.visits, np.full(len(rows) - len(local.visits), local.n)])
         some = np.flatnonzero(n)
         columns = (rows[some] * n[some, None].astype(np.float64)).T
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, n[some], *columns)], names=["key", "n", *names])
 
-    texts = docs.where(~held_out()).select(whole_text().alias("text"))
+    rows = with_ids(docs, ranks).where(~held_out()).select(SIZE, IDS)
     sums = (
-        texts.mapInArrow(fitted, "key long, n long, " + ", ".join(f"{w} double" for w in names))
+        rows.mapInArrow(fitted, "key long, n long, " + ", ".join(f"{w} double" for w in names))
         .groupBy("key")
         .agg(F.sum("n").alias("n"), *[F.sum(w).alias(w) for w in names])
         .toArrow()
@@ -214,16 +247,15 @@ def whole_pass(docs: DataFrame, start: attention.Model, ranks: bytes) -> attenti
     return attention.with_rows(start, rows)
 
 
-def _scored(batches: Iterator[pa.RecordBatch], model, ranks, words, pairs, after) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], model, words, pairs, after) -> Iterator[pa.RecordBatch]:
     """Rows ``word, row, n, value``: rare words and pairs of a document with their number, and its facts.
 
     ``value`` is zero for a word, and for a pair what is added to its count. ``words`` and ``pairs``
     are the heads of both.
     """
-    encoding = tokenizer(ranks)
     prior = PRIOR * 10.0 ** model.share.astype(np.float64)
     for batch in batches:
-        texts, raw = _texts(batch)
+        raw, ids_of = _raw(batch), _ids(batch, model.edge)
         row = batch.column("row").to_numpy()
         ids = batch.column("doc_id")
         yield _facts(ids, row, DOC_ID, np.zeros(len(row)))
@@ -245,9 +277,9 @@ def _scored(batches: Iterator[pa.RecordBatch], model, ranks, words, pairs, after
                 start = np.flatnonzero(new)
                 times = np.diff(np.append(start, len(rare)))
                 yield _facts(rare[start], own[owner[start]], times, np.zeros(len(start)))
-            encoded = [np.array(encoding.encode_ordinary(t), np.int64) for t in texts[low:high]]
+            encoded = ids_of[low:high]
             score = attention.log10_scores(model, encoded, shares=False)
-            before, goal = pairs_of(encoded, encoding.n_vocab)
+            before, goal = pairs_of(encoded, model.edge)
             which = np.repeat(np.arange(n_texts), [len(e) + 1 for e in encoded])
             # A class of one id leaves nothing to predict. An edge leads to the next text's first id.
             kinds = model.of_class[goal]
@@ -285,6 +317,8 @@ def scored_rows(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     with open(path, "rb") as file:
         ranks = file.read()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    texts = texts.withColumn("row", F.monotonically_increasing_id())
+    texts = stored(with_ids(texts, ranks), "ids", compression="zstd")
     counts = stored(corpus_counts(texts, ranks), "counts")
     totals = counts.where(F.col("kind").isin(WORD_COUNT, DOC_COUNT)).groupBy("kind").agg(F.sum("n"), F.count("*")).collect()
     totals = {r[0]: (r[1], r[2]) for r in totals}
@@ -306,10 +340,10 @@ def scored_rows(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     rest = rest.select(F.col("key").alias("word"), (F.col("kind") == PAIR_COUNT).alias("pair"), F.col("n").alias("c"))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _scored(batches, model, ranks, words, pairs, after)
+        return _scored(batches, model, words, pairs, after)
 
     rows = (
-        texts.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+        texts.select("doc_id", "text", "row", IDS)
         .mapInArrow(scored, "word long, row long, n int, value double")
         .withColumn("pair", F.col("value") > 0)
         .join(rest, ["word", "pair"], "left")

@@ -43,10 +43,13 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     size = end - start
     first = np.cumsum(size) - size
     place = np.arange(int(size.sum())) - np.repeat(first, size)
-    weight = _WEIGHTS[place % _PLACES]
-    far = np.flatnonzero(place >= _PLACES)
-    weight[far] *= mixed((place[far] // _PLACES).astype(np.uint64)) * np.uint64(2) + _ODD
-    return mixed(np.add.reduceat(_CODES[data[inside]] * weight, first)), counts
+    long = size.max() > _PLACES
+    value = _WEIGHTS.take(place % _PLACES if long else place)
+    if long:
+        far = np.flatnonzero(place >= _PLACES)
+        value[far] *= mixed((place[far] // _PLACES).astype(np.uint64)) * np.uint64(2) + _ODD
+    value *= _CODES.take(data[inside])
+    return mixed(np.add.reduceat(value, first)), counts
 
 
 def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
@@ -81,11 +84,16 @@ def set_key(members: np.ndarray) -> int:
 
 def runs_of(texts: list, limit: int = RUN_BYTES) -> Iterator[tuple[int, int]]:
     """Cut a list of texts into stretches of about ``limit`` bytes."""
-    begin = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= limit:
+    return runs_of_sizes([len(text) for text in texts], limit)
+
+
+def runs_of_sizes(sizes: list[int], limit: int = RUN_BYTES) -> Iterator[tuple[int, int]]:
+    """Cut a list of texts, given their sizes, into stretches of about ``limit`` bytes."""
+    begin = total = 0
+    for i, size in enumerate(sizes):
+        total += size
+        if total >= limit:
             yield begin, i + 1
-            begin, size = i + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
+            begin, total = i + 1, 0
+    if begin < len(sizes):
+        yield begin, len(sizes)

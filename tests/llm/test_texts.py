@@ -446,6 +446,24 @@ def test_attention_learns_and_sums_to_one(monkeypatch):
     assert np.isfinite(total) and total + 10**ends <= 1.0
 
 
+@needs_tokenizers
+def test_texts_are_split_into_ids_once(docs):
+    ranks = Path(lm_score.VOCABULARY).read_bytes()
+    encoding = lm_score.tokenizer(ranks)
+    df = docs((1, "one river, one stone"), (3, None), (4, "é\tZ"))
+    rows = lm_score.with_ids(df, ranks)
+    assert lm_score.with_ids(rows, ranks) is rows
+    for r in rows.collect():
+        text = r["text"] or ""
+        assert np.frombuffer(r[lm_score.IDS], np.uint16).tolist() == encoding.encode_ordinary(text)
+        assert r[lm_score.SIZE] == len(text.encode())
+    # Later steps go by the ids beside the text.
+    other = rows.withColumn(lm_score.IDS, F.lit(np.array([7, 7, 9], np.uint16).tobytes()))
+    counts = {r["key"]: r["n"] for r in lm_score.corpus_counts(other, ranks).where("kind = 1").collect()}
+    n = sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in (1, 3, 4))
+    assert counts == {7: 2 * n, 9: n}
+
+
 @needs_tokenizers
 def test_id_is_predicted_from_the_one_before(docs):
     # "b" and "d" are as frequent as each other; only what stands before tells them apart.
