@@ -17,9 +17,9 @@ table gives slightly other weights.
 
 Texts are split into subword ids once; all later steps read the ids stored beside the text.
 
-Words are counted by 64-bit hash, id pairs by number. Words that make up at least one ``HEAD``-th of
-the corpus, of which there are at most ``HEAD``, are looked up in the task, and pairs alike; all others of a
-document go by a shuffle to their counts. So no frequent word or pair is a large group, and nothing
+Words are counted by 64-bit hash, id pairs by number. The most frequent words, at most ``HEAD``, are looked up in the
+task, and pairs alike; all others of a document go by a shuffle to their counts. Those that make up at least one
+``HEAD``-th of the corpus always fit, further ones as far as a count of the counts shows room. So no frequent word or pair is a large group, and nothing
 is sent to all tasks that grows with the corpus: counts of classes after an id are as many as the
 vocabulary has ids, times the classes.
 
@@ -31,7 +31,9 @@ result.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import re
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,16 +59,36 @@ LENGTH, KNOWN, LOGS, SCORE, DOC_ID = -1, -2, -3, -4, -5
 # Fixed value: how the byte-level tokenizers cut a text before merging.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# The same without looking ahead, which takes longer: right where only the last of several blanks stands before a word.
+_PLAIN_PATTERN = PATTERN.replace(r"\s+(?!\S)|", "")
+_BLANK = "\\x09-\\x0D \\x85\\xA0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_BLANKS, _LAST_BLANK = re.compile(f"[{_BLANK}]{{2}}"), re.compile(f"(?<=[{_BLANK}])(?=[{_BLANK}][^{_BLANK}])")
+
 
 def held_out() -> Column:
     return F.pmod(id_crc(), F.lit(7)) == 2
 
 
-def tokenizer(ranks: bytes):
+def tokenizer(ranks: bytes, pattern: str = PATTERN):
     import tiktoken
 
     table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
-    return tiktoken.Encoding("subwords", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
+    return tiktoken.Encoding("subwords", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+
+
+def id_bytes(ranks: bytes) -> Callable[[str], bytes]:
+    """A function that gives a text's subword ids as numbers in bytes, as ``tokenizer`` splits it.
+
+    Of several blanks before a word, PATTERN takes all but the last as one piece. The text is cut there first.
+    """
+    encoding = tokenizer(ranks, _PLAIN_PATTERN)
+    code = np.dtype(id_type(encoding.n_vocab)).char
+
+    def encode(text: str) -> bytes:
+        parts = _LAST_BLANK.split(text) if _BLANKS.search(text) else [text]
+        return b"".join(array(code, encoding.encode_ordinary(part)).tobytes() for part in parts)
+
+    return encode
 
 
 def with_ids(docs: DataFrame, ranks: bytes) -> DataFrame:
@@ -78,10 +100,9 @@ def with_ids(docs: DataFrame, ranks: bytes) -> DataFrame:
         return docs
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = tokenizer(ranks)
-        kind = id_type(encoding.n_vocab)
+        encode = id_bytes(ranks)
         for batch in batches:
-            ids = [np.array(encoding.encode_ordinary(t), kind).tobytes() for t in batch.column("text").to_pylist()]
+            ids = [encode(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(ids, pa.binary())], names=[*batch.schema.names, IDS]
             )
@@ -170,6 +191,20 @@ def after_counts(counts: DataFrame, of_class: np.ndarray) -> np.ndarray:
     return after.reshape(size, attention.CLASSES)
 
 
+def least_common(sizes: list[tuple[int, int]], total: int) -> int:
+    """From which count on keys are common, so that at most ``HEAD`` are; ``total`` is the sum of all counts.
+
+    ``sizes``: the least count of each range of counts, and how many keys are in it.
+    """
+    least, taken = max(2, -(-total // HEAD)), 0
+    for n, keys in sorted(sizes, reverse=True):
+        taken += keys
+        if taken > HEAD:
+            break
+        least = min(least, n)
+    return least
+
+
 def _head(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys counted at least ``least`` times, in order, and their counts: at most ``HEAD``."""
     common = counts.where(F.col("n") >= least).select("key", "n").toArrow()
@@ -320,8 +355,14 @@ def scored_rows(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     texts = texts.withColumn("row", F.monotonically_increasing_id())
     texts = stored(with_ids(texts, ranks), "ids", compression="zstd")
     counts = stored(corpus_counts(texts, ranks), "counts")
-    totals = counts.where(F.col("kind").isin(WORD_COUNT, DOC_COUNT)).groupBy("kind").agg(F.sum("n"), F.count("*")).collect()
-    totals = {r[0]: (r[1], r[2]) for r in totals}
+    # Counts by ranges of an eighth of a power of two: at most some hundred of each kind.
+    ranges = counts.where(F.col("kind") != ID_COUNT).groupBy("kind", F.floor(8 * F.log2("n")).alias("range"))
+    ranges = ranges.agg(F.sum("n").alias("n"), F.count("*").alias("keys"), F.min("n").alias("least")).collect()
+    totals, sizes = {}, {WORD_COUNT: [], PAIR_COUNT: [], DOC_COUNT: []}
+    for r in ranges:
+        n, keys = totals.get(r["kind"], (0, 0))
+        totals[r["kind"]] = n + r["n"], keys + r["keys"]
+        sizes[r["kind"]].append((r["least"], r["keys"]))
     n_docs = totals.get(DOC_COUNT, (0, 0))[0]
     n_words, n_distinct = totals.get(WORD_COUNT, (0, 0))
     train_tokens, distinct = n_words + n_docs, n_distinct + (n_docs > 0)
@@ -333,7 +374,7 @@ def scored_rows(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     model = train_model(texts, id_counts, ranks)
 
     after = after_counts(counts, model.of_class)
-    kinds = {WORD_COUNT: max(2, -(-train_tokens // HEAD)), PAIR_COUNT: max(2, -(-int(id_counts.sum()) // HEAD))}
+    kinds = {kind: least_common(sizes[kind], totals.get(kind, (0, 0))[0]) for kind in (WORD_COUNT, PAIR_COUNT)}
     words, pairs = (_head(counts.where(F.col("kind") == kind), least) for kind, least in kinds.items())
     least = F.when(F.col("kind") == PAIR_COUNT, kinds[PAIR_COUNT]).otherwise(kinds[WORD_COUNT])
     rest = counts.where(F.col("kind").isin(*kinds)).where(F.col("n") < least)

@@ -464,6 +464,44 @@ def test_texts_are_split_into_ids_once(docs):
     assert counts == {7: 2 * n, 9: n}
 
 
+@needs_tokenizers
+def test_ids_are_those_of_the_whole_pattern():
+    ranks = Path(lm_score.VOCABULARY).read_bytes()
+    encoding, encode = lm_score.tokenizer(ranks), lm_score.id_bytes(ranks)
+    bits = [*" \n\t\r\x0b\x1c\x85\xa0\u1680\u2003\u2028\u3000\u200b", "  ", "'s", "'", "don't", "a", "Word", "12", "é", "中文", "!?", "\u0301"]
+    rng = random.Random(1)
+    for _ in range(20_000):
+        text = "".join(rng.choices(bits, k=rng.randrange(14)))
+        assert encode(text) == np.array(encoding.encode_ordinary(text), np.uint16).tobytes(), text
+
+
+def test_common_keys_fill_the_head(monkeypatch):
+    """Not only keys that make up a HEAD-th of the corpus are looked up, but as many as have room."""
+    monkeypatch.setattr(lm_score, "HEAD", 10)
+    sizes = [(1, 50), (2, 6), (3, 1), (9, 3)]
+    assert lm_score.least_common(sizes, 50 + 12 + 3 + 27) == 2
+    assert lm_score.least_common([(1, 4)], 4) == 1
+    assert lm_score.least_common([(1, 11)], 11) == 2
+    assert lm_score.least_common([(1, 8), (2, 3)], 14) == 2
+    # A range that is too large as a whole: a HEAD-th of all is common in any case.
+    assert lm_score.least_common([(16, 11)], 16 * 10 + 17) == 18
+    assert lm_score.least_common([], 0) == 2
+
+
+@needs_tokenizers
+def test_words_with_room_in_the_head_are_not_shuffled(spark, docs, monkeypatch):
+    monkeypatch.setattr(attention, "STEPS", 2)
+    sent = []
+    inner = lm_score._head
+    monkeypatch.setattr(lm_score, "_head", lambda counts, least: sent.append(inner(counts, least)) or sent[-1])
+    rows = [(i, f"only{i} word{i} " + "same " * 5) for i in range(30)]
+    train = sum(zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows)
+    got = by_id(lm_score.scored_rows(docs(*rows)))
+    words, _ = sent
+    assert sorted(words[1].tolist()) == [1.0] * (2 * train) + [5.0 * train]
+    assert [got[i]["n_known"] for i, _ in rows] == [8 if zlib.crc32(str(i).encode()) % 7 != 2 else 6 for i, _ in rows]
+
+
 @needs_tokenizers
 def test_id_is_predicted_from_the_one_before(docs):
     # "b" and "d" are as frequent as each other; only what stands before tells them apart.
